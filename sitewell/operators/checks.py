@@ -49,14 +49,15 @@ def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, l
     return reduce(DataFrame.unionByName, kinds)
 
 
-def site_keys(raw: dict[str, DataFrame]) -> DataFrame:
-    """(source_system, source_location) of every row of the eleven feeds that carry a site."""
+def site_keys(lines: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
+    """(source_system, source_location) of every row that carries a site: the gathered practice
+    lines, and the business feeds present in ``raw``."""
     # Feeds beside the practice systems, and the column that names the site.
     business = {"ukg__timecards": ("ukg", "org_level1"), "sage_intacct__gl_detail": ("sage_intacct", "locationid"),
                 "inventory__usage": ("inventory", "site_code"),
                 "marketing__channel_performance": ("marketing", "site_slug"),
                 "windsor__facebook_ads": ("windsor_facebook", "account_id")}
-    parts = [conform.gather(raw, "lines").select("source_system", "source_location")]
+    parts = [lines.select("source_system", "source_location")]
     parts += [raw[t].select(F.lit(system).alias("source_system"), F.col(c).alias("source_location"))
               for t, (system, c) in business.items() if t in raw]
     return reduce(DataFrame.unionByName, parts)

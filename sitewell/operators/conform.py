@@ -10,7 +10,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewell.functions import exprs
@@ -115,21 +116,40 @@ def gather(raw: dict[str, DataFrame], subject: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def system_table(spark: SparkSession) -> DataFrame:
+    """Per system: its date layout and id prefix. A few literal rows, whose size Spark knows."""
+    return spark.createDataFrame(pa.table({
+        "source_system": list(SYSTEMS), "dates": [v.dates for v in SYSTEMS.values()],
+        "id_prefix": [v.id_prefix for v in SYSTEMS.values()]}))
+
+
+def word_table(spark: SparkSession, said: str, means: str, words: dict[str, dict[str, str]]) -> DataFrame:
+    """(source_system, ``said``) -> ``means``, from {system: {word: meaning}}."""
+    rows = [(s, w, m) for s, meanings in words.items() for w, m in meanings.items()]
+    return spark.createDataFrame(pa.table(dict(zip(("source_system", said, means), map(list, zip(*rows))))))
+
+
+def _dated(column: str, kinds: str = "dates") -> Column:
+    used = dict.fromkeys(v.dates for v in SYSTEMS.values())
+    return exprs.per_system(kinds, {k: exprs.parse_date(column, k) for k in used})
+
+
 def conform_lines(lines: DataFrame, providers: DataFrame | None) -> DataFrame:
-    """Typed, translated procedure lines of all systems, before any site or code mapping."""
-    name = F.col("source_system")
-    prefix = exprs.per_system(name, {s: F.lit(v.id_prefix) for s, v in SYSTEMS.items()})
-    typed = lines.select(
+    """Typed, translated procedure lines of all systems, before any site or code mapping.
+
+    The systems' words are joined in as literal tables rather than written out as one CASE per
+    column: the generated code stays small enough to be compiled.
+    """
+    spark = lines.sparkSession
+    statuses = word_table(spark, "status_word", "status", {s: v.status for s, v in SYSTEMS.items()})
+    said = lines.join(system_table(spark), "source_system").join(statuses, ["source_system", "status_word"], "left")
+    typed = said.select(
         "source_system", "source_location",
-        F.concat(prefix, "appointment").alias("appointment_id"),
-        F.concat(prefix, "patient").alias("patient_id"),
-        exprs.per_system(name, {s: exprs.parse_date("service_date", v.dates)
-                                for s, v in SYSTEMS.items()}).alias("service_date"),
-        "provider_id",
+        F.concat("id_prefix", "appointment").alias("appointment_id"),
+        F.concat("id_prefix", "patient").alias("patient_id"),
+        _dated("service_date").alias("service_date"), "provider_id",
         F.nullif(F.col("code"), F.lit("")).alias("cdt_code"),
-        exprs.amount("fee").alias("fee"), exprs.amount("writeoff").alias("writeoff"),
-        exprs.per_system(name, {s: exprs.words_to("status_word", v.status)
-                                for s, v in SYSTEMS.items()}).alias("status"))
+        exprs.amount("fee").alias("fee"), exprs.amount("writeoff").alias("writeoff"), "status")
     return with_provider_type(typed, providers)
 
 
@@ -158,11 +178,8 @@ def with_provider_type(lines: DataFrame, providers: DataFrame | None) -> DataFra
 
 
 def conform_payments(payments: DataFrame) -> DataFrame:
-    name = F.col("source_system")
-    insurance = exprs.per_system(name, {s: F.col("payer_word") == v.insurance for s, v in SYSTEMS.items()})
-    return payments.select(
-        "source_system", "source_location",
-        exprs.per_system(name, {s: exprs.parse_date("paid_date", v.dates)
-                                for s, v in SYSTEMS.items()}).alias("paid_date"),
-        F.when(insurance, "Insurance").otherwise("Patient").alias("payer"),
-        exprs.amount("amount").alias("amount"))
+    spark = payments.sparkSession
+    payers = word_table(spark, "payer_word", "payer", {s: {v.insurance: "Insurance"} for s, v in SYSTEMS.items()})
+    said = payments.join(system_table(spark), "source_system").join(payers, ["source_system", "payer_word"], "left")
+    return said.select("source_system", "source_location", _dated("paid_date").alias("paid_date"),
+                       F.coalesce("payer", F.lit("Patient")).alias("payer"), exprs.amount("amount").alias("amount"))

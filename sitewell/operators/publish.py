@@ -22,6 +22,13 @@ SPAN = 6
 BLOCK = 500
 
 
+def settled(mart: DataFrame) -> DataFrame:
+    """A mart that is computed once, for documents that read it several times. A build publishes
+    from written tables and does not need this."""
+    checkpointing(mart.sparkSession)
+    return mart.checkpoint()
+
+
 def without_test_sites(df: DataFrame, first_test_key: int = TEST_SITE_KEY) -> DataFrame:
     return df.where(F.col("location_key") < first_test_key)
 
@@ -119,10 +126,11 @@ def week_picks(last_day: Column) -> Column:
     return F.array(monday, F.date_sub(monday, 7), F.date_sub(monday, 7 * 52))
 
 
-def last_full_weeks(weekly: DataFrame, visits: DataFrame) -> DataFrame:
+def last_full_weeks(weekly: DataFrame, dated: DataFrame) -> DataFrame:
     """Rows of the weekly mart for the weeks of :func:`week_picks`; a week is full once its Sunday
-    has visits. The newest date is a scalar subquery, and the picks become a plain filter."""
-    newest = visits.select(F.max("service_date")).scalar()
+    has a service date in ``dated`` (visits or their lines). The newest date is a scalar subquery,
+    and the picks become a plain filter."""
+    newest = dated.select(F.max("service_date")).scalar()
     return weekly.where(F.array_contains(week_picks(newest), F.col("week")))
 
 

@@ -2,64 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewell.operators import checks, conform, marts, publish, staging
 from sitewell.operators.translate import rejected_rows
+from sitewell.plans.frames import Frames
 
 DAILY_ADS = "windsor__facebook_ads"
 
 
-def stage(raw: dict[str, DataFrame], seeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Staging frames by name, lazily."""
-    crosswalk = seeds["location_crosswalk"]
-    lines = staging.procedures(conform.gather(raw, "lines"), conform.gather(raw, "providers"), crosswalk,
-                               seeds["cdt_procedure_map"])
-    return {
-        "stg_pms_procedures": lines,
-        "stg_pms_appointments": staging.appointments(lines),
-        "stg_pms_payments": staging.payments(conform.gather(raw, "payments"), crosswalk),
-        "stg_ukg_labor": staging.labor(raw["ukg__timecards"], crosswalk, seeds["ukg_job_map"],
-                                       seeds["ukg_earning_map"]),
-        "stg_sage_gl": staging.ledger(raw["sage_intacct__gl_detail"], crosswalk, seeds["gl_account_map"]),
-        "stg_inventory": staging.inventory(raw["inventory__usage"], crosswalk, seeds["inventory_category_map"]),
-        "stg_marketing": staging.marketing(raw["marketing__channel_performance"], crosswalk,
-                                           seeds["marketing_channel_map"], raw.get(DAILY_ADS)),
-    }
+def stage(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Frames:
+    """Staging frames by name, lazily, from raw tables as landed."""
+    return stage_gathered(Frames({s: lambda s=s: conform.gather(raw, s) for s in ("lines", "providers", "payments")}),
+                          raw, seeds)
 
 
-def build_marts(staged: dict[str, DataFrame], seeds: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Marts by name, lazily."""
-    lines, visits, paid = (staged[n] for n in ("stg_pms_procedures", "stg_pms_appointments", "stg_pms_payments"))
-    labor, ledger = staged["stg_ukg_labor"], staged["stg_sage_gl"]
-    supplies, ads = staged["stg_inventory"], staged["stg_marketing"]
-    accounts, sites = seeds["gl_account_map"], seeds["dim_location"]
-    opex = marts.opex_monthly(ledger, labor, supplies, ads, accounts)
-    return {
-        "mart_opex_monthly": opex,
-        "mart_location_monthly": marts.location_monthly(visits, paid, labor, ledger, supplies, ads, accounts, sites),
-        "mart_location_weekly": marts.location_weekly(visits, paid, labor),
-        "mart_procedure_mix": marts.procedure_mix(lines),
-        "mart_marketing_channel_monthly": marts.marketing_channel_monthly(ads),
-        "mart_reconciliation": marts.reconciliation(paid, labor, supplies, ads, ledger),
-        "mart_operations_monthly": marts.operations_monthly(opex, paid, sites),
-    }
+def stage_gathered(practice: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
+                   seeds: Mapping[str, DataFrame]) -> Frames:
+    """The same from practice feeds that already share one table per subject: lines, providers and
+    payments."""
+    def site(): return seeds["location_crosswalk"]
 
+    staged = Frames({
+        "stg_pms_procedures": lambda: staging.procedures(practice["lines"], practice["providers"], site(),
+                                                         seeds["cdt_procedure_map"]),
+        "stg_pms_appointments": lambda: staging.appointments(staged["stg_pms_procedures"]),
+        "stg_pms_payments": lambda: staging.payments(practice["payments"], site()),
+        "stg_ukg_labor": lambda: staging.labor(raw["ukg__timecards"], site(), seeds["ukg_job_map"],
+                                               seeds["ukg_earning_map"]),
+        "stg_sage_gl": lambda: staging.ledger(raw["sage_intacct__gl_detail"], site(), seeds["gl_account_map"]),
+        "stg_inventory": lambda: staging.inventory(raw["inventory__usage"], site(), seeds["inventory_category_map"]),
+        "stg_marketing": lambda: staging.marketing(raw["marketing__channel_performance"], site(),
+                                                   seeds["marketing_channel_map"], raw.get(DAILY_ADS)),
+    })
+    return staged
 
-def find_problems(raw: dict[str, DataFrame], seeds: dict[str, DataFrame], staged: dict[str, DataFrame],
+
+def build_marts(staged: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Frames:
+    """Marts by name, lazily."""
+    def subjects(*names: str) -> list[DataFrame]:
+        return [staged[f"stg_{n}"] for n in names]
+
+    built = Frames({
+        "mart_opex_monthly": lambda: marts.opex_monthly(
+            *subjects("sage_gl", "ukg_labor", "inventory", "marketing"), seeds["gl_account_map"]),
+        "mart_location_monthly": lambda: marts.location_monthly(
+            *subjects("pms_appointments", "pms_payments", "ukg_labor", "sage_gl", "inventory", "marketing"),
+            seeds["gl_account_map"], seeds["dim_location"]),
+        "mart_location_weekly": lambda: marts.location_weekly(
+            *subjects("pms_appointments", "pms_payments", "ukg_labor")),
+        "mart_procedure_mix": lambda: marts.procedure_mix(*subjects("pms_procedures")),
+        "mart_marketing_channel_monthly": lambda: marts.marketing_channel_monthly(*subjects("marketing")),
+        "mart_reconciliation": lambda: marts.reconciliation(
+            *subjects("pms_payments", "ukg_labor", "inventory", "marketing", "sage_gl")),
+        "mart_operations_monthly": lambda: marts.operations_monthly(
+            built["mart_opex_monthly"], *subjects("pms_payments"), seeds["dim_location"]),
+    })
+    return built
+
+
+def find_problems(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], staged: Mapping[str, DataFrame],
                   strict: bool = False) -> DataFrame:
-    return checks.dq_unmapped(checks.site_keys(raw), seeds["location_crosswalk"], staged["stg_pms_procedures"],
+    sites = checks.site_keys(conform.gather(raw, "lines"), raw)
+    return checks.dq_unmapped(sites, seeds["location_crosswalk"], staged["stg_pms_procedures"],
                               staged["stg_sage_gl"], staged["stg_ukg_labor"], staged["stg_inventory"],
                               staged["stg_marketing"], strict)
 
 
-def rejects(raw: dict[str, DataFrame], seeds: dict[str, DataFrame]) -> DataFrame:
+def rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> DataFrame:
     """Procedure lines, still as delivered, of sites the crosswalk does not know."""
     return rejected_rows(conform.gather(raw, "lines"), seeds["location_crosswalk"])
 
 
-def write_layer(frames: dict[str, DataFrame], database: str, partition: str | None = "month") -> None:
+def write_layer(frames: Mapping[str, DataFrame], database: str, partition: str | None = "month") -> None:
     """Write frames as tables of one database. Large facts are partitioned by month, so a report over
     a few months reads only those."""
     spark = next(iter(frames.values())).sparkSession
@@ -74,7 +92,7 @@ def write_layer(frames: dict[str, DataFrame], database: str, partition: str | No
         writer.saveAsTable(f"{database}.{name}")
 
 
-def build(spark: SparkSession, raw: dict[str, DataFrame], seeds: dict[str, DataFrame],
+def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
           documents: str | None = None, strict: bool = False) -> DataFrame:
     """Build staging and marts as tables, check them, and write the documents.
 
@@ -98,7 +116,7 @@ def build(spark: SparkSession, raw: dict[str, DataFrame], seeds: dict[str, DataF
     return checks.summary(spark.table("staging.dq_unmapped"), built["mart_reconciliation"])
 
 
-def documents_of(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def documents_of(built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Published documents by name: the columnar datasets, and the expense lines with their accounts."""
     entries, opex = publish.opex_documents(built["mart_opex_monthly"])
     return {
@@ -115,7 +133,7 @@ def documents_of(built: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-def verify(built: dict[str, DataFrame], unmapped: DataFrame, tolerance: float = 0.01) -> None:
+def verify(built: Mapping[str, DataFrame], unmapped: DataFrame, tolerance: float = 0.01) -> None:
     """The tests a build must pass before its numbers are trusted."""
     checks.expect_empty(unmapped, "unmapped values")
     scorecard = built["mart_location_monthly"]
