@@ -76,7 +76,7 @@ def ratio(top: str | Column, bottom: str | Column) -> Column:
     return _col(top).cast("double") / F.nullif(_col(bottom).cast("double"), F.lit(0.0))
 
 
-def words_to(c: str | Column, words: dict[str, str], otherwise: str | None = None) -> Column:
+def words_to(c: str | Column, words: dict, otherwise: str | None = None) -> Column:
     """Simple CASE: delivered word -> our word. Without ``otherwise`` an unknown word is null."""
     c, out = _col(c), None
     for said, meant in words.items():

@@ -38,14 +38,25 @@ def procedures(lines: DataFrame, providers: DataFrame | None, crosswalk: DataFra
         (F.col("fee") - F.col("writeoff")).alias("net_production"))
 
 
+# Visit statuses in alphabetical order. The last one among a visit's lines wins.
+STATUSES = ("cancelled", "completed", "no_show")
+
+
 def appointments(lines: DataFrame) -> DataFrame:
     """Lines rolled up to visits. Status and provider type are the alphabetically last of the
-    visit's lines; the month follows from the date, so it stays out of the shuffle key."""
-    return lines.groupBy(*VISIT_KEYS).agg(
-        F.max("provider_type").alias("provider_type"), F.max("status").alias("status"),
+    visit's lines: compared as a rank and a flag, because a maximum of text would make Spark sort
+    all lines before and after the shuffle instead of hashing them. The month follows from the
+    date, so it stays out of the shuffle key."""
+    rank = exprs.words_to("status", {s: i for i, s in enumerate(STATUSES)})
+    visits = lines.groupBy(*VISIT_KEYS).agg(
+        F.max(F.col("provider_type") == "Hygienist").alias("_hygienist"), F.max(rank).alias("_rank"),
         F.max("is_new_patient_code").alias("is_new_patient"),
-        *[F.sum(c).alias(c) for c in ("gross_production", "adjustments", "net_production")],
-    ).withColumn("month", exprs.month_of("service_date"))
+        *[F.sum(c).alias(c) for c in ("gross_production", "adjustments", "net_production")])
+    return visits.select(
+        *VISIT_KEYS, exprs.month_of("service_date").alias("month"),
+        F.when(F.col("_hygienist"), "Hygienist").otherwise("Dentist").alias("provider_type"),
+        exprs.words_to("_rank", dict(enumerate(STATUSES))).alias("status"),
+        "is_new_patient", "gross_production", "adjustments", "net_production")
 
 
 def payments(rows: DataFrame, crosswalk: DataFrame) -> DataFrame:

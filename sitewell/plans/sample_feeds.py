@@ -73,7 +73,8 @@ def procedure_lines(spark: SparkSession, folder: str) -> DataFrame:
              for flag, meaning in (("N", "completed"), ("R", "no_show"), ("A", "cancelled"))]
     name, flag, word = map(list, zip(*words))
     said = local(spark, source_system=name, l_returnflag=flag, word=word)
-    return line.join(order, F.col("l_orderkey") == F.col("o_orderkey")).join(
+    # two facts that grow together: never worth broadcasting one of them
+    return line.join(order.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
         said, ["source_system", "l_returnflag"]).select(
         "source_system", "source_location", F.col("o_orderkey").cast("string").alias("appointment"),
         F.col("o_custkey").cast("string").alias("patient"), date_text("o_orderdate").alias("service_date"),
