@@ -33,9 +33,15 @@ def without_test_sites(df: DataFrame, first_test_key: int = TEST_SITE_KEY) -> Da
     return df.where(F.col("location_key") < first_test_key)
 
 
-def without_columns(df: DataFrame, *names: str) -> DataFrame:
-    """All columns but some; dimension columns leave a fact before it is written as rows."""
-    return df.drop(*names)
+def as_rows(mart: DataFrame, leave_out: list[str], first_test_key: int | None = None, scale: int = 2) -> DataFrame:
+    """A mart for a row-oriented document: without dimension columns, months as text, every amount
+    rounded. Test sites stay unless ``first_test_key`` says where they begin."""
+    kept = mart if first_test_key is None else without_test_sites(mart, first_test_key)
+    return exprs.rounded(kept.drop(*leave_out).withColumn("month", exprs.month_text("month")), scale)
+
+
+def site_rows(locations: DataFrame) -> DataFrame:
+    return without_test_sites(locations).select("location_key", "location_name", "region", "specialty", "pms_system")
 
 
 def chunked(df: DataFrame, span: int = SPAN, month: str = "month") -> DataFrame:
@@ -212,6 +218,14 @@ def opex_documents(opex: DataFrame, first_test_key: int = TEST_SITE_KEY, places:
     return entries, pack(coded, ["chunk", "block"], ["m", "k", "i"], ["k", "m", "i", "amt"])
 
 
+def opex_rows(entries: DataFrame, packed: DataFrame, first_month: Column) -> DataFrame:
+    """Packed expense lines back as rows: month text counted from ``first_month``, account by name."""
+    lines = unpack(packed, ["chunk", "block"], ["k", "m", "i", "amt"])
+    return lines.join(entries, "i").select(
+        F.col("k").alias("location_key"), exprs.shift_month_text(first_month, F.col("m")).alias("month"),
+        "account_no", "account_title", "category", "source", F.col("amt").alias("amount"))
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """JSON lines, one document each; replaced as a whole, complete once _SUCCESS appears."""
     documents.write.mode("overwrite").json(path, ignoreNullFields=False)

@@ -16,6 +16,10 @@ class Frames(Mapping):
             self._made[name] = self._makers[name]()
         return self._made[name]
 
+    def replace(self, name: str, df: DataFrame) -> None:
+        """Stand ``df`` in for a frame, so that frames made later build on it."""
+        self._made[name] = df
+
     def __iter__(self) -> Iterator[str]:
         return iter(self._makers)
 

@@ -190,18 +190,20 @@ def od_payments(spark, folder):
         F.count(F.lit(1)).alias("n"), F.sum("PayAmt").alias("total")))
 
 
-@registered("od_providers", f"""
+@registered("od_providers", """
     SELECT s_suppkey AS "ProvNum", CASE WHEN s_acctbal < 4000 THEN 1 ELSE 0 END AS "IsSecondary",
-           n_name AS "ClinicNum" FROM supplier JOIN nation ON n_nationkey = s_nationkey
-    WHERE s_acctbal >= 0 AND n_nationkey IN (0, 7, 14, 21)""")
+           r_name AS "ClinicNum" FROM supplier JOIN nation ON n_nationkey = s_nationkey
+    JOIN region ON r_regionkey = n_regionkey WHERE s_acctbal >= 0""")
 def od_providers(spark, folder):
-    # one provider table per office of the first system, each stamped with its office code
-    supplier = table(spark, folder, "supplier").select(
-        "s_nationkey", F.col("s_suppkey").alias("ProvNum"),
+    # one provider table per region, each stamped with the region as its office code
+    nation = table(spark, folder, "nation")
+    supplier = table(spark, folder, "supplier").join(nation, F.col("n_nationkey") == F.col("s_nationkey")).select(
+        "n_regionkey", F.col("s_suppkey").alias("ProvNum"),
         F.when(F.col("s_acctbal") < feeds.HYGIENIST_BALANCE, 1).otherwise(0).alias("IsSecondary"),
         F.when(F.col("s_acctbal") < 0, 1).otherwise(0).alias("IsHidden"))
-    return extracts.stamped({f"NATION_{k}": extracts.open_dental_providers(supplier.where(F.col("s_nationkey") == k))
-                             for k in (0, 7, 14, 21)})
+    regions = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+    return extracts.stamped({r: extracts.open_dental_providers(supplier.where(F.col("n_regionkey") == i))
+                             for i, r in enumerate(regions)})
 
 
 @registered("dentrix_extract", """
@@ -302,9 +304,9 @@ def dolphin_providers(spark, folder):
            count(json_extract_string(props, '$.absent')) AS absent
     FROM events GROUP BY ALL""")
 def json_flatten(spark, folder):
-    # each user's day of events is one page of the API: {"data": [ ... ]}
+    # a hundred neighbouring events are one page of the API: {"data": [ ... ]}
     item = F.concat(F.lit('{"kind": "'), "event_type", F.lit('", "props": '), "props", F.lit("}"))
-    pages = table(spark, folder, "events").groupBy("user_id", F.col("ts").cast("date").alias("day")) \
+    pages = table(spark, folder, "events").groupBy(F.floor(F.col("event_id") / 100).alias("page")) \
         .agg(F.concat(F.lit('{"data": ['), F.concat_ws(", ", F.collect_list(item)), F.lit("]}")).alias("body"))
     flat = extracts.flatten_json(pages, "body", {"event_type": "kind", "k": "props.k", "absent": "props.no.such"})
     return flat.groupBy("event_type", F.col("k").cast("bigint").alias("k")).agg(
@@ -755,10 +757,19 @@ def last_full_weeks(s):
            round(CAST(total_opex AS DOUBLE), 2) AS total_opex FROM scorecard WHERE location_key < 20""")
 def exclude_test_site(s):
     # row-oriented document: no test sites, no dimension columns, amounts in cents
-    kept = publish.without_test_sites(s.marts["mart_location_monthly"], 20)
-    facts = publish.without_columns(kept, "location_name", "region", "specialty", "pms_system") \
-        .withColumn("month", exprs.month_text("month"))
-    return exprs.rounded(facts.select("location_key", "month", "scheduled", "collections", "total_opex"))
+    shown = s.marts["mart_location_monthly"].select("location_key", "location_name", "region", "month", "scheduled",
+                                                    "collections", "total_opex")
+    return publish.as_rows(shown, ["location_name", "region"], first_test_key=20)
+
+
+@on_sample("opex_unpacked", f"""
+    SELECT location_key, strftime(month, '%Y-%m') AS month, account_no, account_title, category, source,
+           CAST(round(amount) AS DOUBLE) AS amount FROM opex WHERE location_key < 20""")
+def opex_unpacked(s):
+    mart = publish.settled(s.marts["mart_opex_monthly"])
+    entries, packed = publish.opex_documents(mart, first_test_key=20)
+    first = publish.without_test_sites(mart, 20).select(exprs.month_text(F.min("month"))).scalar()
+    return doubles(publish.opex_rows(entries, packed, first))
 
 
 # --- reports ----------------------------------------------------------------------------------------

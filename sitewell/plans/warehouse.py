@@ -77,19 +77,26 @@ def rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Dat
     return rejected_rows(conform.gather(raw, "lines"), seeds["location_crosswalk"])
 
 
-def write_layer(frames: Mapping[str, DataFrame], database: str, partition: str | None = "month") -> None:
-    """Write frames as tables of one database. Large facts are partitioned by month, so a report over
-    a few months reads only those."""
-    spark = next(iter(frames.values())).sparkSession
+def write_layer(frames: Frames, database: str, partition: str | None = "month") -> Frames:
+    """Write frames as tables of one database and hand them back as those tables.
+
+    Each frame is replaced by its table as soon as it is written, so a frame that builds on an
+    earlier one reads the table instead of computing it again. Facts are partitioned by month: a
+    report over a few months reads only those.
+    """
+    spark = frames[next(iter(frames))].sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    for name, df in frames.items():
-        writer = df.write.mode("overwrite").format("parquet")
+    for name in frames:
+        df, table = frames[name], f"{database}.{name}"
         if partition in df.columns:
             # rows of a month meet before the write, else every task opens a file in every month;
             # the rebalance splits a month that is larger than a file should be
-            df = df.hint("rebalance", partition)
-            writer = df.write.mode("overwrite").format("parquet").partitionBy(partition)
-        writer.saveAsTable(f"{database}.{name}")
+            writer = df.hint("rebalance", partition).write.partitionBy(partition)
+        else:
+            writer = df.write
+        writer.mode("overwrite").format("parquet").saveAsTable(table)
+        frames.replace(name, spark.table(table))
+    return frames
 
 
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
@@ -99,38 +106,38 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str,
     Staging is written once because several marts read each frame; marts read it back pruned.
     Returns the build summary.
     """
-    write_layer(stage(raw, seeds), "staging")
-    staged = {n: spark.table(f"staging.{n}") for n in stage(raw, seeds)}
-    write_layer({"rejects_location": rejects(raw, seeds),
-                 "dq_unmapped": find_problems(raw, seeds, staged, strict)}, "staging", None)
-    write_layer(build_marts(staged, seeds), "marts", None)
-    built = {n: spark.table(f"marts.{n}") for n in build_marts(staged, seeds)}
+    staged = write_layer(stage(raw, seeds), "staging")
+    found = write_layer(Frames({"rejects_location": lambda: rejects(raw, seeds),
+                                "dq_unmapped": lambda: find_problems(raw, seeds, staged, strict)}), "staging", None)
+    built = write_layer(build_marts(staged, seeds), "marts", None)
     if documents:
-        for name, df in documents_of(built).items():
+        counts = publish.source_counts(raw, publish.SOURCE_GROUPS)
+        facts = {**columnar_documents(staged, built), **row_documents(built)}
+        small = {"locations": publish.site_rows(seeds["dim_location"]), "sources": counts,
+                 "unmapped": found["dq_unmapped"].agg(F.count(F.lit(1)).alias("unmapped"))}
+        for name, df in {**facts, **small}.items():
             publish.write_documents(df, f"{documents.rstrip('/')}/{name}")
-        sites = publish.without_test_sites(seeds["dim_location"])
-        publish.write_documents(sites.select("location_key", "location_name", "region", "specialty", "pms_system"),
-                                f"{documents.rstrip('/')}/locations")
-        publish.write_documents(publish.source_counts(raw, publish.SOURCE_GROUPS),
-                                f"{documents.rstrip('/')}/sources")
-    return checks.summary(spark.table("staging.dq_unmapped"), built["mart_reconciliation"])
+    return checks.summary(found["dq_unmapped"], built["mart_reconciliation"])
 
 
-def documents_of(built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Published documents by name: the columnar datasets, and the expense lines with their accounts."""
+def columnar_documents(staged: Mapping[str, DataFrame], built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Compact documents by name: arrays per dataset, and the expense lines with their accounts."""
+    weeks = publish.last_full_weeks(built["mart_location_weekly"], staged["stg_pms_procedures"])
+    marts_of = {"monthly": built["mart_location_monthly"], "weekly": weeks,
+                "channels": built["mart_marketing_channel_monthly"], "mix": built["mart_procedure_mix"],
+                "recon": built["mart_reconciliation"]}
     entries, opex = publish.opex_documents(built["mart_opex_monthly"])
-    return {
-        "monthly": publish.dataset("monthly", built["mart_location_monthly"]),
-        "weekly": publish.dataset("weekly", publish.last_full_weeks(
-            built["mart_location_weekly"],
-            built["mart_location_weekly"].sparkSession.table("staging.stg_pms_appointments"))),
-        "channels": publish.dataset("channels", built["mart_marketing_channel_monthly"]),
-        "mix": publish.dataset("mix", built["mart_procedure_mix"]),
-        "recon": publish.dataset("recon", built["mart_reconciliation"]),
-        "opex": opex,
-        "accounts": entries.withColumn("entry", publish.entry_text(
-            ["account_no", "account_title", "category", "source"])).select(F.col("i"), "entry"),
-    }
+    accounts = entries.select("i", publish.entry_text(["account_no", "account_title", "category", "source"])
+                              .alias("entry"))
+    return {**{n: publish.dataset(n, df) for n, df in marts_of.items()}, "opex": opex, "accounts": accounts}
+
+
+def row_documents(built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The same marts one JSON object per row, amounts in cents, under names ending in _rows."""
+    return {f"{name}_rows": publish.as_rows(built[mart], drop) for name, mart, drop in (
+        ("monthly", "mart_location_monthly", ["location_name", "region", "specialty", "pms_system"]),
+        ("channels", "mart_marketing_channel_monthly", []), ("mix", "mart_procedure_mix", []),
+        ("opex", "mart_opex_monthly", []), ("recon", "mart_reconciliation", []))}
 
 
 def verify(built: Mapping[str, DataFrame], unmapped: DataFrame, tolerance: float = 0.01) -> None:
