@@ -16,10 +16,14 @@ class CheckFailed(RuntimeError):
     """A check found rows it must not find."""
 
 
-def unmapped_codes(df: DataFrame, kind: str, value: str, marker: Column) -> DataFrame:
-    """(kind, value, row_count) of the values whose translation fell back to its default."""
-    return df.where(marker).groupBy(F.col(value).cast("string").alias("value")) \
-        .agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(kind).alias("kind"), "value", "row_count")
+def unmapped_codes(df: DataFrame, kinds: list[tuple[str, str, Column]]) -> DataFrame:
+    """(kind, value, row_count) of the values whose translation fell back to its default. ``kinds``
+    lists (kind, value column, fell back); all are counted in one pass over ``df``."""
+    found = F.array(*[F.when(marker, F.struct(F.lit(kind).alias("kind"), F.col(value).cast("string").alias("value")))
+                      for kind, value, marker in kinds])
+    return df.where(reduce(Column.__or__, [F.coalesce(marker, F.lit(False)) for _, _, marker in kinds])) \
+        .select(F.explode(F.array_compact(found)).alias("_f")).groupBy("_f.kind", "_f.value") \
+        .agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, ledger: DataFrame,
@@ -33,19 +37,17 @@ def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, l
     where = unmapped_sites(sites, crosswalk).select(
         F.lit("location").alias("kind"),
         F.concat("source_system", F.lit(" / "), "source_location").alias("value"), "row_count")
+    codes = [("cdt_code", "cdt_code", F.col("procedure_category") == conform.UNMAPPED_CODE)]
+    jobs = [("ukg_job", "job_code", F.col("role") == staging.UNMAPPED_JOB)]
+    if strict:
+        codes.append(("status", "pms_system", F.col("status").isNull()))
+        jobs.append(("ukg_earning", "earning_code", F.col("is_productive").isNull()))
     kinds = [
-        where,
-        unmapped_codes(procedures, "cdt_code", "cdt_code",
-                       F.col("procedure_category") == conform.UNMAPPED_CODE),
-        unmapped_codes(ledger, "gl_account", "account_no", F.col("category") == staging.UNMAPPED_ACCOUNT),
-        unmapped_codes(labor, "ukg_job", "job_code", F.col("role") == staging.UNMAPPED_JOB),
-        unmapped_codes(inventory, "inventory_item", "item_number",
-                       F.col("category") == staging.UNMAPPED_ITEM),
-        unmapped_codes(marketing, "utm_campaign", "campaign", F.col("channel") == staging.OTHER_CHANNEL),
+        where, unmapped_codes(procedures, codes), unmapped_codes(labor, jobs),
+        unmapped_codes(ledger, [("gl_account", "account_no", F.col("category") == staging.UNMAPPED_ACCOUNT)]),
+        unmapped_codes(inventory, [("inventory_item", "item_number", F.col("category") == staging.UNMAPPED_ITEM)]),
+        unmapped_codes(marketing, [("utm_campaign", "campaign", F.col("channel") == staging.OTHER_CHANNEL)]),
     ]
-    if strict:
-        kinds += [unmapped_codes(procedures, "status", "pms_system", F.col("status").isNull()),
-                  unmapped_codes(labor, "ukg_earning", "earning_code", F.col("is_productive").isNull())]
     return reduce(DataFrame.unionByName, kinds)
 
 

@@ -47,10 +47,13 @@ WEEKLY_MEASURES = (
     "new_patients", "labor_cost", "labor_hours", "overtime_hours")
 
 
-def align(branches: list[DataFrame], keys: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
-    """Union aggregated branches and bring them to one row per key; an absent measure stays null."""
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    return together.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+def union_all(branches: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+
+
+def align(branches: DataFrame, keys: tuple[str, ...], measures: tuple[str, ...]) -> DataFrame:
+    """Unioned branches to one row per key; a measure no branch has stays null."""
+    return branches.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
 
 
 def _opex_lines(ledger: DataFrame, labor: DataFrame, inventory: DataFrame, marketing: DataFrame,
@@ -79,17 +82,17 @@ def opex_monthly(ledger: DataFrame, labor: DataFrame, inventory: DataFrame, mark
         *MONTH_KEYS, "category", "account_no", "account_title", "source", "amount")
 
 
-def _opex_measures(account: Column, category: Column, amount: Column) -> list[Column]:
+def _opex_measures(account: str, category: str, amount: str) -> list[Column]:
     """Expense columns of the scorecard; a line whose account has no map entry counts nowhere."""
-    counted = F.when(category.isNotNull(), amount)
+    number, kind, mapped = F.col(account), F.col(category), F.col(category).isNotNull()
 
     def part(cond: Column) -> Column:
-        return F.when(category.isNotNull(), F.when(cond, amount).otherwise(F.lit(0)))
+        return F.when(mapped, F.when(cond, F.col(amount)).otherwise(F.lit(0)))
 
-    return [counted.alias("total_opex"), part(category == DOCTOR_CATEGORY).alias("doctor_comp"),
-            part(account == LAB_ACCOUNT).alias("lab_fees"),
-            part(account.isin(PAYROLL_BURDEN_ACCOUNTS)).alias("payroll_taxes_benefits"),
-            part(category.isin(FACILITY_CATEGORIES)).alias("facility_costs")]
+    return [F.when(mapped, F.col(amount)).alias("total_opex"),
+            part(kind == DOCTOR_CATEGORY).alias("doctor_comp"), part(number == LAB_ACCOUNT).alias("lab_fees"),
+            part(number.isin(PAYROLL_BURDEN_ACCOUNTS)).alias("payroll_taxes_benefits"),
+            part(kind.isin(FACILITY_CATEGORIES)).alias("facility_costs")]
 
 
 def _visit_measures(visits: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -124,28 +127,27 @@ def location_monthly(visits: DataFrame, payments: DataFrame, labor: DataFrame, l
                      locations: DataFrame) -> DataFrame:
     """Monthly scorecard, one row per site and month that has visits.
 
-    Expense columns come from the same pass over each subject as its own measures: payroll,
-    supply and ad totals are looked up in the account map after they are aggregated.
+    Expense columns come from the same pass over each subject as its own measures: every subject's
+    totals carry the account they post to, and the account map is joined once, to those totals.
     """
-    def with_opex(df: DataFrame, amount: str) -> DataFrame:
-        coded = map_code(df, account_map, {"account_no": "account_no"}, ["category"])
-        return coded.select("*", *_opex_measures(F.col("account_no"), F.col("category"), F.col(amount))) \
-            .drop("account_no", "category")
+    def posted(df: DataFrame, account: str | None, cost: str) -> DataFrame:
+        df = df.withColumn("account_no", F.lit(account)) if account else df
+        return df.withColumn("_cost", F.col(cost))
 
     by_account = labor.groupBy(*MONTH_KEYS, F.col("gl_account_no").alias("account_no")).agg(*_labor_sums())
     own = ledger.where(F.col("is_opex") & (F.col("mart_source") == "gl")) \
-        .groupBy(*MONTH_KEYS, "account_no").agg(F.sum("amount").alias("_booked"))
+        .groupBy(*MONTH_KEYS, "account_no").agg(F.sum("amount").alias("_cost"))
     supplies = inventory.groupBy(*MONTH_KEYS).agg(
         F.sum("supply_cost").alias("supply_cost"), F.sum("on_hand_value").alias("inventory_on_hand"))
     ads = marketing.groupBy(*MONTH_KEYS).agg(
         F.sum("spend").alias("marketing_spend"), F.sum("form_leads").alias("leads"),
         F.sum("booked_appts").alias("booked_from_marketing"))
-    measured = align(
-        [_visit_measures(visits, MONTH_KEYS), _payment_measures(payments, MONTH_KEYS),
-         with_opex(by_account, "labor_cost"), with_opex(own, "_booked").drop("_booked"),
-         with_opex(supplies.withColumn("account_no", F.lit(SUPPLIES_ACCOUNT)), "supply_cost"),
-         with_opex(ads.withColumn("account_no", F.lit(ADS_ACCOUNT)), "marketing_spend")],
-        MONTH_KEYS, SCORECARD_MEASURES)
+    totals = union_all([_visit_measures(visits, MONTH_KEYS), _payment_measures(payments, MONTH_KEYS),
+                        posted(by_account, None, "labor_cost"), own,
+                        posted(supplies, SUPPLIES_ACCOUNT, "supply_cost"), posted(ads, ADS_ACCOUNT, "marketing_spend")])
+    coded = map_code(totals, account_map, {"account_no": "account_no"}, ["category"])
+    measured = align(coded.select("*", *_opex_measures("account_no", "category", "_cost")), MONTH_KEYS,
+                     SCORECARD_MEASURES)
     site = locations.select("location_key", "location_name", "region", "specialty", "pms_system")
     return measured.where(F.col("scheduled").isNotNull()).join(site, "location_key").select(
         *site.columns, "month", *SCORECARD_MEASURES,
@@ -154,10 +156,10 @@ def location_monthly(visits: DataFrame, payments: DataFrame, labor: DataFrame, l
 
 def location_weekly(visits: DataFrame, payments: DataFrame, labor: DataFrame) -> DataFrame:
     """Monday weeks; subjects booked by the month are not part of it."""
-    measured = align(
+    measured = align(union_all(
         [_visit_measures(visits.withColumn("week", exprs.week_of("service_date")), WEEK_KEYS),
          _payment_measures(payments.withColumn("week", exprs.week_of("paid_date")), WEEK_KEYS),
-         labor.withColumn("week", exprs.week_of("work_date")).groupBy(*WEEK_KEYS).agg(*_labor_sums())],
+         labor.withColumn("week", exprs.week_of("work_date")).groupBy(*WEEK_KEYS).agg(*_labor_sums())]),
         WEEK_KEYS, WEEKLY_MEASURES)
     return measured.where(F.col("scheduled").isNotNull()).select(*WEEK_KEYS, *WEEKLY_MEASURES)
 
@@ -190,11 +192,10 @@ def reconciliation(payments: DataFrame, labor: DataFrame, inventory: DataFrame,
     booked = (ledger.where(F.col("mart_source").isin(list(RECONCILED)))
               .withColumn("category", exprs.words_to("mart_source", RECONCILED))
               .groupBy(*keys).agg(F.sum("amount").alias("gl_amount")))
-    both = align([operational(payments, "Revenue", "amount"),
-                  operational(labor, "Staff Wages", "labor_cost"),
-                  operational(inventory, "Supplies", "supply_cost"),
-                  operational(marketing, "Marketing", "spend"), booked],
-                 keys, ("ops_amount", "gl_amount", "_ops"))
+    both = align(union_all([operational(payments, "Revenue", "amount"),
+                            operational(labor, "Staff Wages", "labor_cost"),
+                            operational(inventory, "Supplies", "supply_cost"),
+                            operational(marketing, "Marketing", "spend"), booked]), keys, ("ops_amount", "gl_amount", "_ops"))
     if not full:
         both = both.where(F.col("_ops").isNotNull())
     difference = F.col("gl_amount") - F.col("ops_amount")

@@ -46,8 +46,9 @@ def site_rows(locations: DataFrame) -> DataFrame:
 
 def chunked(df: DataFrame, span: int = SPAN, month: str = "month") -> DataFrame:
     """Add ``month_index`` (months since the first) and ``chunk`` (spans back from the newest month,
-    0 = newest). The two ends are scalar subqueries, so no row is joined to anything."""
-    first, last = (df.select(f(month)).scalar() for f in (F.min, F.max))
+    0 = newest). The two ends are one scalar subquery, so no row is joined to anything."""
+    ends = df.select(F.struct(F.min(month).alias("first"), F.max(month).alias("last"))).scalar()
+    first, last = ends["first"], ends["last"]
     return df.withColumn("month_index", exprs.months_apart(month, first)) \
         .withColumn("chunk", F.floor(exprs.months_apart(last, month) / F.lit(span)).cast("int"))
 
@@ -134,10 +135,10 @@ def week_picks(last_day: Column) -> Column:
 
 def last_full_weeks(weekly: DataFrame, dated: DataFrame) -> DataFrame:
     """Rows of the weekly mart for the weeks of :func:`week_picks`; a week is full once its Sunday
-    has a service date in ``dated`` (visits or their lines). The newest date is a scalar subquery,
-    and the picks become a plain filter."""
-    newest = dated.select(F.max("service_date")).scalar()
-    return weekly.where(F.array_contains(week_picks(newest), F.col("week")))
+    has a service date in ``dated`` (visits or their lines). The picks are one scalar
+    subquery, and choosing them is a plain filter that reaches the scans."""
+    picks = dated.select(week_picks(F.max("service_date"))).scalar()
+    return weekly.where(F.array_contains(picks, F.col("week")))
 
 
 def source_counts(tables: dict[str, DataFrame], groups: dict[str, str]) -> DataFrame:

@@ -46,17 +46,21 @@ def compare(df: DataFrame, keys: list[str], period: str, measures: list[str],
     """Each row next to the same site's earlier rows.
 
     ``back`` maps a suffix to the period shifted forward, e.g. {"_prev": add_months(month, 1)}.
-    Earlier rows are moved onto the period they are compared with and meet the current row in one
-    aggregate, so a gap in the calendar compares with nothing rather than with the row before it.
+    Each row is copied onto the periods it is compared from, in one pass, and meets the current row
+    there in one aggregate: a gap in the calendar compares with nothing rather than with the row
+    before it.
     """
-    branches = [df.select(*keys, period, *measures, F.lit(1).alias("_now"))]
-    for suffix, moved in back.items():
-        branches.append(df.select(*keys, moved.alias(period), *[F.col(m).alias(m + suffix) for m in measures]))
-    names = [*measures, *[m + s for s in back for m in measures]]
-    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
-    met = together.groupBy(*keys, period).agg(F.max("_now").alias("_now"), *[F.sum(n).alias(n) for n in names])
+    def copy(at: Column, suffix: str) -> Column:
+        return F.struct(at.alias(period), F.lit(suffix).alias("_as"))
+
+    copies = F.array(copy(F.col(period), ""), *[copy(moved, suffix) for suffix, moved in back.items()])
+    spread = df.select(*keys, *measures, F.inline(copies))
+    suffixes = ["", *back]
+    met = spread.groupBy(*keys, period).agg(
+        F.max(F.col("_as") == "").alias("_now"),
+        *[F.sum(F.when(F.col("_as") == s, F.col(m))).alias(m + s) for s in suffixes for m in measures])
     changes = [exprs.ratio(F.col(m) - F.col(m + s), m + s).alias(f"{m}{s}_change") for s in back for m in measures]
-    return met.where(F.col("_now").isNotNull()).select(*keys, period, *names, *changes)
+    return met.where("_now").select(*keys, period, *[m + s for s in suffixes for m in measures], *changes)
 
 
 def compare_months(scorecard: DataFrame, measures: list[str]) -> DataFrame:

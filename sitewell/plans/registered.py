@@ -843,7 +843,7 @@ def site_ratios(s):
           WINDOW w AS (PARTITION BY month, metric))
     WHERE abs((value - mean) / nullif(deviation, 0)) > 2.5 OR (metric = 'no_show_rate' AND value > 0.8)""")
 def alerts(s):
-    ratios = reports.site_ratios(s.marts["mart_location_monthly"])
+    ratios = publish.settled(reports.site_ratios(s.marts["mart_location_monthly"]))
     found = reports.alerts(ratios, 2.5, {"no_show_rate": 0.8})
     return found.select("location_key", "month", "metric", F.round("value", 6).alias("value"),
                         F.round("mean", 6).alias("mean"), F.round("score", 4).alias("score"))
