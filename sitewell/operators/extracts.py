@@ -127,6 +127,19 @@ def json_path(text: str | Column, path: str) -> Column:
     return F.get_json_object(text, "$" + "".join(f"['{part}']" for part in path.split(".")))
 
 
+def flatten_xml(pages: DataFrame, text: str, record: str, columns: list[str]) -> DataFrame:
+    """Records of ledger pages as text rows. An element a record lacks is null; a page whose status
+    is not ``success`` fails the job with the message it carries."""
+    fields = ", ".join(f"{c} string" for c in columns)
+    page = F.from_xml(text, f"result struct<status string, data struct<{record}: array<struct<{fields}>>>, "
+                            "errormessage struct<error: struct<description2: string>>>", {"rowTag": "response"})
+    result = page["result"]
+    message = F.coalesce(result["errormessage"]["error"]["description2"], F.lit("no success status"))
+    records = F.when(result["status"] == "success", result["data"][record]) \
+        .otherwise(F.raise_error(F.concat(F.lit("ledger page failed: "), message)))
+    return pages.select(F.inline(records))
+
+
 # --- marketing: three feeds folded to one row per site, month, source and medium -------------------
 
 CHANNEL_KEYS = ["site_slug", "month", "utm_source", "utm_medium"]

@@ -7,6 +7,7 @@ codes of the maps. A small warehouse gets one document per dataset and span, a l
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -141,29 +142,26 @@ def last_full_weeks(weekly: DataFrame, dated: DataFrame) -> DataFrame:
     return weekly.where(F.array_contains(picks, F.col("week")))
 
 
-def source_counts(tables: dict[str, DataFrame], groups: dict[str, str]) -> DataFrame:
-    """Rows per group of raw tables ({table: group}). A bare count of a parquet table is answered
-    from its footers."""
-    counts = [tables[t].agg(F.count(F.lit(1)).alias("n")).select(F.lit(g).alias("source"), "n")
-              for t, g in groups.items() if t in tables]
-    return reduce(DataFrame.unionByName, counts).groupBy("source").agg(F.sum("n").alias("n"))
-
-
-# How raw tables group in the published source list.
-SOURCE_GROUPS = {
-    "pms_open_dental__procedures": "Practice management",
-    "pms_dentrix_ascend__procedures": "Practice management",
-    "pms_sensei__procedures": "Practice management",
-    "pms_dolphin__procedures": "Practice management",
-    "pms_tdo__procedures": "Practice management",
-    "pms_dentrix__procedures": "Practice management",
-    "pms_dox__procedures": "Practice management",
-    "sage_intacct__gl_detail": "Sage Intacct",
-    "ukg__timecards": "UKG",
-    "inventory__usage": "Inventory",
-    "marketing__channel_performance": "Marketing / websites",
-    "windsor__facebook_ads": "Marketing / websites",
-}
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(table_name, n) of each table. A bare count of a parquet table is answered from its footers."""
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("table_name"), "n")
+                                          for t, df in tables.items()])
+
+
+def source_group(name: str | Column = "table_name") -> Column:
+    """Which group of the published source list a raw table counts under; null for the others.
+    The underscore of the pattern is a plain character, not a wildcard."""
+    name = F.col(name) if isinstance(name, str) else name
+    return (F.when(name.like(r"pms\_%procedures"), "Practice management")
+            .when(name == "sage_intacct__gl_detail", "Sage Intacct").when(name == "ukg__timecards", "UKG")
+            .when(name == "inventory__usage", "Inventory")
+            .when(name.isin("marketing__channel_performance", "windsor__facebook_ads"), "Marketing / websites"))
+
+
+def source_counts(counts: DataFrame, group: Column) -> DataFrame:
+    """Rows per group of tables; tables without a group are left out."""
+    return counts.select(group.alias("source"), "n").where(F.col("source").isNotNull()) \
+        .groupBy("source").agg(F.sum("n").alias("n"))
 
 
 # The datasets of the published documents with their columns, sort order and places.

@@ -139,9 +139,22 @@ def late_rows(spark, folder):
     UNION ALL SELECT 'web', (SELECT count(*) FROM events) + (SELECT count(*) FROM pages)
     UNION ALL SELECT 'texts', (SELECT count(*) FROM documents) + (SELECT count(*) FROM conversations)""")
 def source_counts(spark, folder):
-    groups = {"orders": "sales", "lineitem": "sales", "customer": "people", "supplier": "people", "events": "web",
-              "pages": "web", "documents": "texts", "conversations": "texts"}
-    return publish.source_counts({t: table(spark, folder, t) for t in groups}, groups)
+    names = ["orders", "lineitem", "customer", "supplier", "events", "pages", "documents", "conversations"]
+    counts = publish.table_counts({t: table(spark, folder, t) for t in names})
+    name = F.col("table_name")
+    group = F.when(name.isin("orders", "lineitem"), "sales").when(name.isin("customer", "supplier"), "people") \
+        .when(name.isin("events", "pages"), "web").otherwise("texts")
+    return publish.source_counts(counts, group)
+
+
+@on_sample("raw_source_counts", """
+    SELECT 'Practice management' AS source, count(*) AS n FROM all_procedures
+    UNION ALL SELECT 'Sage Intacct', count(*) FROM all_supplied UNION ALL SELECT 'UKG', count(*) FROM all_supplied
+    UNION ALL SELECT 'Inventory', count(*) FROM all_supplied
+    UNION ALL SELECT 'Marketing / websites', count(*) + count(*) FILTER (event_type = 'view') FROM all_events""")
+def raw_source_counts(s):
+    tables = {**feeds.vendor_tables(s.practice["lines"], "lines"), **s.raw, "pms_x__payments": s.practice["payments"]}
+    return publish.source_counts(publish.table_counts(tables), publish.source_group())
 
 
 # --- source-side extracts ---------------------------------------------------------------------------
@@ -313,6 +326,25 @@ def json_flatten(spark, folder):
         F.count(F.lit(1)).alias("n"), F.count("absent").alias("absent"))
 
 
+@registered("xml_flatten", """
+    SELECT o_orderstatus AS status, count(*) AS n, count(*) FILTER (o_orderpriority <> '5-LOW') AS with_priority,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY ALL""")
+def xml_flatten(spark, folder):
+    # a hundred neighbouring orders are one page of ledger records; some lack an element
+    price = money("o_totalprice").cast("string")
+    kind = F.when(F.col("o_orderpriority") == "5-LOW", "").otherwise(
+        F.concat(F.lit("<PRIORITY>"), "o_orderpriority", F.lit("</PRIORITY>")))
+    record = F.concat(F.lit("<gldetail><AMOUNT>"), price, F.lit("</AMOUNT><STATUS>"), "o_orderstatus",
+                      F.lit("</STATUS>"), kind, F.lit("</gldetail>"))
+    pages = table(spark, folder, "orders").groupBy(F.floor(F.col("o_orderkey") / 100).alias("page")).agg(F.concat(
+        F.lit("<response><result><status>success</status><data>"), F.concat_ws("", F.collect_list(record)),
+        F.lit("</data></result></response>")).alias("body"))
+    flat = extracts.flatten_xml(pages, "body", "gldetail", ["AMOUNT", "STATUS", "PRIORITY"])
+    return doubles(flat.groupBy(F.col("STATUS").alias("status")).agg(
+        F.count(F.lit(1)).alias("n"), F.count("PRIORITY").alias("with_priority"),
+        F.sum(exprs.amount("AMOUNT")).alias("total")))
+
+
 @registered("tag_extract", """
     SELECT regexp_extract(url, 'utm_source=([a-z0-9-]+)', 1) AS site_slug, count(*) AS pages, sum(length(html))::BIGINT AS size
     FROM pages WHERE regexp_extract(url, 'utm_source=([a-z0-9-]+)', 1) <> '' GROUP BY ALL""")

@@ -111,7 +111,7 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str,
                                 "dq_unmapped": lambda: find_problems(raw, seeds, staged, strict)}), "staging", None)
     built = write_layer(build_marts(staged, seeds), "marts", None)
     if documents:
-        counts = publish.source_counts(raw, publish.SOURCE_GROUPS)
+        counts = publish.source_counts(publish.table_counts(raw), publish.source_group())
         facts = {**columnar_documents(staged, built), **row_documents(built)}
         small = {"locations": publish.site_rows(seeds["dim_location"]), "sources": counts,
                  "unmapped": found["dq_unmapped"].agg(F.count(F.lit(1)).alias("unmapped"))}

@@ -29,10 +29,12 @@ def session(app: str = "sitewell", master: str | None = None, **settings: str) -
 
 
 def checkpointing(spark: SparkSession) -> SparkSession:
-    """Checkpoints go where the cluster says (spark.checkpoint.dir). Only a session without that
-    setting, such as a test, gets a folder of its own."""
+    """Checkpoints go where the cluster says (spark.checkpoint.dir). Only a local session without
+    that setting, such as a test, gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
-                                 or tempfile.mkdtemp(prefix="sitewell-checkpoint-"))
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None and not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder all executors share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sitewell-checkpoint-"))
     return spark

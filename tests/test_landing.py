@@ -2,6 +2,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sitewell.operators import checks, extracts
@@ -51,14 +52,19 @@ def test_json_pages(spark, tmp_path):
 
 def test_xml_pages(spark, tmp_path):
     page = ("<response><result><status>{s}</status>{e}<data numremaining='0'><gldetail><RECORDNO>1</RECORDNO>"
-            "<AMOUNT>2.50</AMOUNT></gldetail><gldetail><RECORDNO>02</RECORDNO></gldetail></data></result></response>")
-    put(tmp_path / "good", "1.xml", page.format(s="success", e=""))
-    got = landing.read_xml_records(spark, str(tmp_path / "good"), "gldetail", ["RECORDNO", "AMOUNT"])
-    assert rows(got) == [{"RECORDNO": "02", "AMOUNT": None}, {"RECORDNO": "1", "AMOUNT": "2.50"}]
+            "<AMOUNT>2.50</AMOUNT></gldetail>{more}</data></result></response>")
+    put(tmp_path / "good", "1.xml", page.format(s="success", e="", more="<gldetail><RECORDNO>02</RECORDNO></gldetail>"))
+    put(tmp_path / "good", "2.xml", page.format(s="success", e="", more=""))
+    pages = landing.read_pages(spark, str(tmp_path / "good"))
+    got = extracts.flatten_xml(pages, "value", "gldetail", ["RECORDNO", "AMOUNT"])
+    assert rows(got) == [{"RECORDNO": "02", "AMOUNT": None}, *[{"RECORDNO": "1", "AMOUNT": "2.50"}] * 2]
     error = "<errormessage><error><description2>no such object</description2></error></errormessage>"
-    put(tmp_path / "bad", "1.xml", page.format(s="failure", e=error))
-    with pytest.raises(RuntimeError, match="no such object"):
-        landing.read_xml_records(spark, str(tmp_path / "bad"), "gldetail", ["RECORDNO"])
+    put(tmp_path / "bad", "1.xml", page.format(s="failure", e=error, more=""))
+    put(tmp_path / "torn", "1.xml", "<response><result>")
+    for folder, message in (("bad", "no such object"), ("torn", "no success status")):
+        with pytest.raises(PySparkException, match=message):
+            extracts.flatten_xml(landing.read_pages(spark, str(tmp_path / folder)), "value", "gldetail",
+                                 ["RECORDNO"]).collect()
 
 
 def test_jdbc_options():
