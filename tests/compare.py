@@ -41,6 +41,11 @@ def rows_of(columns, rows):
     return sorted(columns), sorted((tuple(plain(r[i]) for i in order) for r in rows), key=repr)
 
 
+# Spark type -> the type DuckDB must give the same column
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "boolean": "BOOLEAN"}
+
+
 def differences(spark, con, query, sql, folder) -> str | None:
     """None when both sides give the same columns and the same rows, else a short description."""
     df = query(spark, folder)
@@ -49,6 +54,10 @@ def differences(spark, con, query, sql, folder) -> str | None:
     theirs = rows_of([d[0] for d in result.description], result.fetchall())
     if mine[0] != theirs[0]:
         return f"columns {mine[0]} / {theirs[0]}"
+    types = {d[0]: str(d[1]) for d in con.execute(f"SELECT * FROM ({sql}) LIMIT 0").description}
+    unlike = {c: (t, types[c]) for c, t in df.dtypes if TYPES.get(t, t) != types[c]}
+    if unlike:
+        return f"types {unlike}"
     if mine[1] != theirs[1]:
         a, b = set(mine[1]), set(theirs[1])
         return f"rows {len(mine[1])} / {len(theirs[1])}, only Spark {list(a - b)[:3]}, only SQL {list(b - a)[:3]}"

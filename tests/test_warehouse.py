@@ -292,3 +292,39 @@ def test_alerts_flag_planted_site(spark):
     assert found == {(20, "collection_rate"), (20, "labor_share")}
     limited = reports.alerts(ratios, 99.0, {"cost_per_booked_visit": 39.0})
     assert limited.count() == 20
+
+
+def test_hot_site_and_code(spark, group):
+    """A third of all lines in one site, without a code: sums stay whole, shuffled or broadcast."""
+    _, maps, _, _ = group
+    n = 30_000
+    lines = spark.range(n).select(
+        F.lit("sensei").alias("source_system"), F.lit("P1").alias("source_location"),
+        F.when(F.col("id") % 3 == 0, "0").otherwise(F.col("id").cast("string")).alias("appointment"),
+        (F.col("id") % 100).cast("string").alias("patient"), F.lit("5-Mar-2025").alias("service_date"),
+        F.lit("H").alias("provider_id"), F.when(F.col("id") % 3 == 0, "").otherwise("D1").alias("code"),
+        F.lit("1.5").alias("fee"), F.lit("0").alias("writeoff"), F.lit("Completed").alias("status_word"))
+    providers = group[0]["pms_sensei__providers"].select(
+        F.lit("sensei").alias("source_system"), F.col("practice").alias("source_location"),
+        F.col("provider").alias("provider_id"), F.col("provider_type").alias("type_word"))
+    from sitewell.operators import staging
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (before, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            staged = staging.procedures(lines, providers, maps["location_crosswalk"], maps["cdt_procedure_map"])
+            visits = staging.appointments(staged)
+            total = visits.agg(F.sum("gross_production").alias("s"), F.count("*").alias("n"),
+                               F.count_if(F.col("provider_type") == "Hygienist").alias("h")).first()
+            assert (float(total["s"]), total["n"], total["h"]) == (1.5 * n, 20_100, 20_100)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bounded_documents(spark):
+    """More sites than a block holds become more documents, never a longer one."""
+    mart = spark.range(1200).select(F.col("id").cast("int").alias("location_key"), F.lit(MARCH).alias("month"),
+                                    F.lit("x").alias("channel"), F.lit(1).cast("decimal(18,2)").alias("spend"),
+                                    F.lit(1).alias("leads"), F.lit(1).alias("booked"))
+    packed = publish.dataset("channels", mart, first_test_key=10_000)
+    assert sorted(len(r["spend"]) for r in packed.collect()) == [200, 500, 500]
