@@ -34,9 +34,11 @@ def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, l
     ``sites`` holds (source_system, source_location) of every raw row. ``strict`` adds two kinds
     that otherwise pass unseen: status words and earning codes nobody mapped.
     """
-    where = unmapped_sites(sites, crosswalk).select(
-        F.lit("location").alias("kind"),
-        F.concat("source_system", F.lit(" / "), "source_location").alias("value"), "row_count")
+    # a missing site has no text in any system, so all of them count as one value
+    where = unmapped_sites(sites, crosswalk) \
+        .groupBy(F.lit("location").alias("kind"),
+                 F.concat("source_system", F.lit(" / "), "source_location").alias("value")) \
+        .agg(F.sum("row_count").alias("row_count"))
     codes = [("cdt_code", "cdt_code", F.col("procedure_category") == conform.UNMAPPED_CODE)]
     jobs = [("ukg_job", "job_code", F.col("role") == staging.UNMAPPED_JOB)]
     if strict:

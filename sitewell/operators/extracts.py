@@ -116,7 +116,7 @@ def dolphin_providers(doctors: DataFrame, offices: DataFrame) -> DataFrame:
 def flatten_json(pages: DataFrame, text: str, fields: dict[str, str], keep: list[str] | None = None) -> DataFrame:
     """Rows of API pages: {landing column: dotted path into an item}. A page is ``{"data": [...]}``
     or a bare list; a path that leads nowhere is null. Values stay text."""
-    body = F.col(text)
+    body = F.ltrim(text)
     listed = F.when(body.startswith("["), body).otherwise(F.get_json_object(body, "$.data"))
     items = F.from_json(listed, T.ArrayType(T.StringType()))
     exploded = pages.select(*(keep or []), F.explode(items).alias("_item"))

@@ -164,7 +164,8 @@ def source_counts(counts: DataFrame, group: Column) -> DataFrame:
         .groupBy("source").agg(F.sum("n").alias("n"))
 
 
-# The datasets of the published documents with their columns, sort order and places.
+# The published datasets: sort order, columns published as zero when null, and for each
+# published name its decimals (None: as it is) and, where it differs, the mart's column.
 DATASETS = {
     "monthly": dict(order=["month", "location_key"], columns={
         "month": None, "location_key": None, "gross_production": 2, "net_production": 2, "collections": 2,
@@ -173,8 +174,9 @@ DATASETS = {
         "total_opex": 2, "operating_profit": 2}),
     "channels": dict(order=["month", "location_key", "channel"], columns={
         "location_key": None, "month": None, "channel": None, "spend": 2, "leads": None, "booked": None}),
-    "mix": dict(order=["month", "location_key", "procedure_category"], columns={
-        "location_key": None, "month": None, "procedure_category": None, "gross_production": 0}),
+    "mix": dict(order=["month", "location_key", "cat"], columns={
+        "location_key": None, "month": None, "cat": None, "prod": 0},
+        named={"cat": "procedure_category", "prod": "gross_production"}),
     "recon": dict(order=["month", "location_key", "category"], zero=["ops_amount", "gl_amount"], columns={
         "location_key": None, "month": None, "category": None, "ops_source": None, "ops_amount": 2,
         "gl_amount": 2}),
@@ -189,39 +191,46 @@ DATASETS = {
 def dataset(name: str, mart: DataFrame, first_test_key: int = TEST_SITE_KEY,
             places: dict[str, int] | None = None, block: int = BLOCK) -> DataFrame:
     """A mart as published arrays, one row per (chunk, block): test sites out, amounts rounded,
-    months as text. ``places`` overrides the number of decimals per column."""
+    months as text. ``places`` overrides the number of decimals per published column."""
     spec = DATASETS[name]
-    scales = {c: (places or {}).get(c, s) for c, s in spec["columns"].items()}
-    calendar = "week" if "week" in spec["columns"] else "month"
+    scales, named = {**spec["columns"], **(places or {})}, spec.get("named", {})
+    calendar = "week" if "week" in scales else "month"
     sites = without_test_sites(mart, first_test_key).na.fill(0, spec.get("zero", []))
     chunks = sites.withColumn("chunk", F.lit(0)) if calendar == "week" else chunked(sites)
     text = F.date_format("week", "yyyy-MM-dd") if calendar == "week" else exprs.month_text("month")
-    shaped = chunks.select(
-        "chunk", site_block(block).alias("block"), F.col(calendar).alias("_day"),
-        *[text.alias(c) if c == calendar
-          else F.col(c) if s is None else F.round(F.col(c), s).cast(T.DecimalType(28, s)).alias(c)
-          for c, s in scales.items()])
+
+    def shaped(c: str, scale: int | None) -> Column:
+        if c == calendar:
+            return text.alias(c)
+        value = F.col(named.get(c, c))
+        return (value if scale is None else F.round(value, scale).cast(T.DecimalType(28, scale))).alias(c)
+
+    facts = chunks.select("chunk", site_block(block).alias("block"), F.col(calendar).alias("_day"),
+                          *[shaped(c, s) for c, s in scales.items()])
     order = ["_day" if c == calendar else c for c in spec["order"]]
-    return pack(shaped, ["chunk", "block"], order, list(scales))
+    return pack(facts, ["chunk", "block"], order, list(scales))
 
 
 def opex_documents(opex: DataFrame, first_test_key: int = TEST_SITE_KEY, places: int = 0,
                    block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
-    """Expense lines as (account dictionary, packed facts that carry the dictionary position)."""
+    """Expense lines as (account dictionary, packed facts that carry the dictionary position and count
+    their months from ``first_month``)."""
     base = without_test_sites(opex, first_test_key)
     entries = dictionary(base, ["account_no", "source"], ["account_title", "category"])
+    first = base.select(exprs.month_text(F.min("month"))).scalar()
     coded = encode(chunked(base), entries, ["account_no", "source"]).select(
         "chunk", site_block(block).alias("block"), F.col("location_key").alias("k"),
         F.col("month_index").alias("m"), "i",
         F.round("amount", places).cast(T.DecimalType(28, places)).alias("amt"))
-    return entries, pack(coded, ["chunk", "block"], ["m", "k", "i"], ["k", "m", "i", "amt"])
+    packed = pack(coded, ["chunk", "block"], ["m", "k", "i"], ["k", "m", "i", "amt"])
+    return entries, packed.withColumn("first_month", first)
 
 
-def opex_rows(entries: DataFrame, packed: DataFrame, first_month: Column) -> DataFrame:
-    """Packed expense lines back as rows: month text counted from ``first_month``, account by name."""
-    lines = unpack(packed, ["chunk", "block"], ["k", "m", "i", "amt"])
+def opex_rows(entries: DataFrame, packed: DataFrame) -> DataFrame:
+    """Packed expense lines back as rows, with months as text and accounts by name."""
+    lines = unpack(packed, ["first_month"], ["k", "m", "i", "amt"])
     return lines.join(entries, "i").select(
-        F.col("k").alias("location_key"), exprs.shift_month_text(first_month, F.col("m")).alias("month"),
+        F.col("k").alias("location_key"), exprs.shift_month_text("first_month", F.col("m")).alias("month"),
         "account_no", "account_title", "category", "source", F.col("amt").alias("amount"))
 
 

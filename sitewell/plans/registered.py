@@ -726,6 +726,27 @@ def pack_recon(s):
     return _joined(packed, list(publish.DATASETS["recon"]["columns"]))
 
 
+@on_sample("pack_mix", f"""
+    SELECT chunk, 0 AS block, {_arrays("s.month, location_key, procedure_category", location_key='location_key',
+        month="strftime(s.month, '%Y-%m')", cat='procedure_category', prod='CAST(gross_production AS DECIMAL(28,0))')}
+    FROM {_KEPT_MONTHS.format(t='mix')} s GROUP BY chunk""")
+def pack_mix(s):
+    packed = publish.dataset("mix", publish.settled(s.marts["mart_procedure_mix"]), first_test_key=20)
+    return _joined(packed, list(publish.DATASETS["mix"]["columns"]))
+
+
+@on_sample("pack_weekly", f"""
+    SELECT 0 AS chunk, 0 AS block, {_arrays("week, location_key", week="strftime(week, '%Y-%m-%d')", location_key='location_key',
+        collections='CAST(coalesce(collections, 0) AS DECIMAL(28,2))', scheduled='scheduled', no_shows='no_shows',
+        labor_hours='CAST(coalesce(labor_hours, 0) AS DECIMAL(28,1))')}
+    FROM weekly, (SELECT CAST(date_trunc('week', max(service_date) + 1) AS DATE) - 7 AS last FROM appointments)
+    WHERE week IN (last, last - 7, last - 364) AND location_key < 20""")
+def pack_weekly(s):
+    weeks = publish.last_full_weeks(s.marts["mart_location_weekly"], s.staged["stg_pms_procedures"])
+    shown = ["week", "location_key", "collections", "scheduled", "no_shows", "labor_hours"]
+    return _joined(publish.dataset("weekly", weeks, first_test_key=20).select("chunk", "block", *shown), shown)
+
+
 @on_sample("unpack_rows", """
     SELECT location_key, strftime(month, '%Y-%m') AS month, channel, CAST(sum(spend) AS DOUBLE) AS spend,
            sum(form_leads)::BIGINT AS leads, sum(booked_appts)::BIGINT AS booked
@@ -759,7 +780,7 @@ def dictionary_encode(spark, folder):
     GROUP BY chunk""")
 def opex_documents(s):
     _, packed = publish.opex_documents(publish.settled(s.marts["mart_opex_monthly"]), first_test_key=20)
-    return _joined(packed, ["k", "m", "i", "amt"])
+    return _joined(packed.drop("first_month"), ["k", "m", "i", "amt"])
 
 
 @registered("chunk_months", """
@@ -800,8 +821,7 @@ def exclude_test_site(s):
 def opex_unpacked(s):
     mart = publish.settled(s.marts["mart_opex_monthly"])
     entries, packed = publish.opex_documents(mart, first_test_key=20)
-    first = publish.without_test_sites(mart, 20).select(exprs.month_text(F.min("month"))).scalar()
-    return doubles(publish.opex_rows(entries, packed, first))
+    return doubles(publish.opex_rows(entries, packed))
 
 
 # --- reports ----------------------------------------------------------------------------------------

@@ -201,6 +201,9 @@ CTES = {
                    sum(CASE WHEN is_productive THEN hours ELSE 0 END) AS labor_hours,
                    sum(CASE WHEN is_overtime THEN hours ELSE 0 END) AS overtime_hours
                    FROM labor GROUP BY ALL) USING (location_key, week)""",
+    "mix": """
+        SELECT location_key, month, procedure_category, sum(gross_production) AS gross_production
+        FROM procedures WHERE status = 'completed' AND cdt_code IS NOT NULL GROUP BY ALL""",
     "unmapped": f"""
         SELECT 'location' AS kind, {SYSTEM.format(k='7')} || ' / office-7' AS value, count(*) AS row_count
         FROM all_procedures WHERE location_key = 7 HAVING count(*) > 0
