@@ -24,6 +24,11 @@ def amount(c: str | Column) -> Column:
     return _col(c).cast(AMOUNT)
 
 
+def whole(c: str | Column) -> Column:
+    """Strict text-to-integer; ``10.0`` is 10, a fraction is rounded."""
+    return F.round(amount(c)).cast("int")
+
+
 def parse_date(c: str | Column, kind: str) -> Column:
     """Text to DATE. ``kind`` is a key of DATE_LAYOUTS, or:
 

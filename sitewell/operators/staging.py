@@ -90,7 +90,7 @@ def ledger(entries: DataFrame, crosswalk: DataFrame, account_map: DataFrame) ->
     located = to_location(entries, crosswalk, "sage_intacct", "locationid")
     coded = map_code(located, account_map, {"accountno": "account_no"},
                      ["category", "is_opex", "mart_source"])
-    sign = F.when(F.col("category") == "Revenue", -1).otherwise(1) * F.col("tr_type").cast("int")
+    sign = F.when(F.col("category") == "Revenue", -1).otherwise(1) * exprs.whole("tr_type")
     return coded.select(
         "location_key", exprs.month_of(exprs.parse_date("entry_date", "slash_or_iso")).alias("month"),
         F.col("accountno").alias("account_no"), F.col("accounttitle").alias("account_title"),
@@ -121,7 +121,7 @@ def marketing(performance: DataFrame, crosswalk: DataFrame, channel_map: DataFra
     feed = coded.select(
         "location_key", F.col("month").cast("date").alias("month"), "channel", "is_paid",
         F.col("utm_campaign").alias("campaign"), exprs.amount("cost").alias("spend"),
-        *[F.col(theirs).cast("int").alias(ours) for theirs, ours in
+        *[exprs.whole(theirs).alias(ours) for theirs, ours in
           (("sessions", "sessions"), ("form_submits", "form_leads"), ("appts_booked", "booked_appts"))])
     if daily_ads is None:
         return feed
@@ -129,6 +129,6 @@ def marketing(performance: DataFrame, crosswalk: DataFrame, channel_map: DataFra
     ads = to_location(daily_ads, crosswalk, "windsor_facebook", "account_id").select(
         "location_key", exprs.month_of(F.col(day).cast("date")).alias("month"),
         F.lit("Meta").alias("channel"), F.lit(True).alias("is_paid"), "campaign",
-        exprs.amount("spend").alias("spend"), F.col("clicks").cast("int").alias("sessions"),
-        F.col("actions_lead").cast("int").alias("form_leads"), F.lit(0).alias("booked_appts"))
+        exprs.amount("spend").alias("spend"), exprs.whole("clicks").alias("sessions"),
+        exprs.whole("actions_lead").alias("form_leads"), F.lit(0).alias("booked_appts"))
     return feed.unionByName(ads)

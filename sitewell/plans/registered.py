@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sitewell.functions import exprs
 from sitewell.functions.exprs import doubles
@@ -133,6 +134,22 @@ def late_rows(spark, folder):
     return late.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
+@registered("quoted_newlines", "SELECT doc_id, lang, length(text) AS size, md5(text) AS digest FROM documents")
+def quoted_newlines(spark, folder):
+    # documents written as CSV lines, one file per source and a block per twenty ids, and read back
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    csv = F.concat_ws(",", F.col("doc_id").cast("string"), quoted, F.col("lang"))
+    lines = table(spark, folder, "documents").select(
+        F.col("source").alias("file"), F.floor(F.col("doc_id") / 20).alias("block"), "doc_id",
+        F.posexplode(F.split(csv, "\n")).alias("at", "line")).select(
+        "file", "block", F.struct("doc_id", "at").alias("position"), "line")
+    columns = T.StructType([T.StructField(n, T.StringType()) for n in ("doc_id", "text", "lang")])
+    parsed = landing.parse_records(landing.records(lines), columns)
+    text = F.coalesce("_r.text", F.lit(""))
+    return parsed.select(F.col("_r.doc_id").cast("bigint").alias("doc_id"), "_r.lang",
+                         F.length(text).cast("bigint").alias("size"), F.md5(text).alias("digest"))
+
+
 @registered("source_counts", """
     SELECT 'sales' AS source, (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) AS n
     UNION ALL SELECT 'people', (SELECT count(*) FROM customer) + (SELECT count(*) FROM supplier)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,28 +39,78 @@ def delivered(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataF
         .select("path", "modificationTime", "length")
 
 
-def newest_file(spark: SparkSession, folder: str, pattern: str = "*.csv") -> str:
-    """Path of the file delivered last."""
-    path = delivered(spark, folder, pattern).agg(
-        F.max_by("path", F.struct("modificationTime", "path")).alias("path")).first()["path"]
-    if path is None:
+def newest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Row:
+    """Path and length of the file delivered last."""
+    latest = F.struct("modificationTime", "path")
+    found = delivered(spark, folder, pattern).agg(F.max_by("path", latest).alias("path"),
+                                                  F.max_by("length", latest).alias("length")).first()
+    if found["path"] is None:
         raise NothingDelivered(f"no {pattern} in {folder}")
-    return path
+    return found
 
 
-def read_text(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
-              quoted_newlines: bool = True) -> DataFrame:
+# A file up to this size is one task's work anyway; above it, reading it in one task is not an option.
+ONE_TASK_BYTES = 128 << 20
+
+
+def read_text(spark: SparkSession, path: str, length: int = 0, quoted_newlines: bool = True) -> DataFrame:
     """A CSV with a header, all columns text, names as delivered.
 
     Without inferSchema Spark reads every column as string and only looks at the header; a byte
-    order mark is dropped. ``quoted_newlines`` keeps a line break inside quotes in its field, at the
-    price of one task per file: leave it on for report exports, turn it off for large files known to
-    have none, which are then split.
+    order mark is dropped. Line breaks inside quotes stay in their field. Spark itself can do that
+    only by giving the whole file to one task, so a file longer than ONE_TASK_BYTES is read in
+    splits whose lines are put back together. Without ``quoted_newlines`` every file is split.
+    """
+    reader = spark.read.option("header", True).option("escape", '"')
+    if not quoted_newlines or length <= ONE_TASK_BYTES:
+        return reader.option("multiLine", quoted_newlines).csv(path)
+    names = reader.csv(path).columns
+    lines = spark.read.option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("position"), F.col("value").alias("line"))
+    rows = records(lines).where(F.col("record") > 0)  # record 0 is the header
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return parse_records(rows, schema).select("_r.*")
+
+
+def records(lines: DataFrame) -> DataFrame:
+    """Lines of CSV files put together to records (file, record, text), numbered from 0 in each file.
+
+    ``lines`` has file, block, position and line: a block is a stretch of a file read by one task,
+    position orders the lines in it. A line continues the record before it when an odd number of
+    quotes precedes it in its file. That number comes from the quotes before it in its block and the
+    totals of earlier blocks, so only block totals, a row per block, are ever put in file order.
     """
-    reader = spark.read.option("header", True).option("multiLine", quoted_newlines).option("escape", '"')
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
+    in_block = Window.partitionBy("file", "block").orderBy("position")
+    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
+    counted = lines.withColumn("_q", quotes).withColumn("_c", F.coalesce(F.sum("_q").over(before), F.lit(0)))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counted.groupBy("file", "block").agg(
+        F.sum("_q").alias("_n"), F.count_if(F.col("_c") % 2 == 0).alias("_even"),
+        F.count_if(F.col("_c") % 2 == 1).alias("_odd"))
+    # a line starts a record when block start and line together have an even number of quotes before them
+    blocks = blocks.withColumn("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) % 2) \
+        .withColumn("_starts", F.when(F.col("_p") == 0, F.col("_even")).otherwise(F.col("_odd"))) \
+        .select("file", "block", "_p", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_first"))
+    starts = (F.col("_p") + F.col("_c")) % 2 == 0
+    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = counted.join(blocks, ["file", "block"]).withColumn("_starts", starts).withColumn(
+        "record", F.col("_first") + F.sum(F.when(F.col("_starts"), 1).otherwise(0)).over(upto) - 1)
+    # most records are one line, which starts and closes them: only the others are brought together
+    alone = F.col("_starts") & (F.col("_q") % 2 == 0)
+    single = numbered.where(alone).select("file", "record", F.col("line").alias("text"))
+    pieces = F.array_sort(F.collect_list(F.struct("block", "position", "line")))
+    several = numbered.where(~alone).groupBy("file", "record").agg(F.array_join(pieces["line"], "\n").alias("text"))
+    return single.unionByName(several)
+
+
+def parse_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parse the text of records to a struct column ``_r``; a carriage return that ends one is dropped."""
+    text = F.regexp_replace("text", "\\r$", "")
+    ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
+    return rows.where(text != "").select(
+        "file", "record", F.from_csv(text, ddl, {"escape": '"'}).alias("_r"))
 
 
 def required(df: DataFrame, columns: list[str], name: str = "file") -> DataFrame:
@@ -74,21 +124,21 @@ def required(df: DataFrame, columns: list[str], name: str = "file") -> DataFrame
 def read_drop(spark: SparkSession, folder: str, columns: list[str], pattern: str = "*.csv",
               quoted_newlines: bool = True) -> DataFrame:
     """The newest export of a drop folder, checked against the columns it must have."""
-    path = newest_file(spark, folder, pattern)
-    return required(read_text(spark, path, quoted_newlines=quoted_newlines), columns, path)
+    file = newest(spark, folder, pattern)
+    return required(read_text(spark, file["path"], file["length"], quoted_newlines), columns, file["path"])
 
 
 def land_csv(spark: SparkSession, root: str, quoted_newlines: bool = True) -> dict[str, DataFrame]:
     """Every <system>/<file>.csv under ``root`` as a lazily read raw table, keyed by its name.
 
-    Only the names of the files come to the driver, one per raw table.
+    Only the listing of the files comes to the driver, a row per raw table.
     """
-    paths = [r["path"] for r in delivered(spark, f"{root.rstrip('/')}/*/").select("path").toLocalIterator()]
+    listing = delivered(spark, f"{root.rstrip('/')}/*/").orderBy("path").toLocalIterator()
     tables: dict[str, DataFrame] = {}
-    for path in sorted(paths):
+    for path, length in ((f["path"], f["length"]) for f in listing):
         folder, file = path.split("/")[-2:]
         name = raw_table(folder, file.removesuffix(".csv"))
-        tables[name] = normalize_columns(read_text(spark, path, quoted_newlines=quoted_newlines))
+        tables[name] = normalize_columns(read_text(spark, path, length, quoted_newlines))
     return tables
 
 

@@ -1,5 +1,8 @@
+import csv
 import datetime as dt
+import io
 import os
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -30,6 +33,33 @@ def test_land_csv_keeps_text(spark, tmp_path):
     assert rows(df) == [{"record_no": "007", "date_col": "two\nlines"}, {"record_no": "8", "date_col": None}]
 
 
+@pytest.mark.parametrize("split_bytes", [40, 300, 1 << 20])
+def test_large_file_is_read_in_splits(spark, tmp_path, monkeypatch, split_bytes):
+    rng = random.Random(split_bytes)
+    parts = ["plain", "two\nlines", "", 'say "hi"', "a,b", "x\n\n\ny\n", "x" * 90, 'q"\n"q', "wide\r\nbreak"]
+    wanted = [(str(i), rng.choice(parts), rng.choice(parts)) for i in range(400)]
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\r\n" if split_bytes == 300 else "\n")
+    writer.writerow(["Id", "Free Text", "More"])
+    writer.writerows(wanted)
+    path = put(tmp_path, "big.csv", "")
+    path.write_bytes(out.getvalue().encode("utf-8-sig"))
+    whole = sorted(tuple(r) for r in landing.read_text(spark, str(path)).na.fill("").collect())
+    monkeypatch.setattr(landing, "ONE_TASK_BYTES", 0)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        df = landing.read_text(spark, str(path), length=1)
+        assert df.columns == ["Id", "Free Text", "More"]
+        got = sorted(tuple(r) for r in df.na.fill("").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == whole and len(got) == 400
+    if split_bytes != 300:
+        assert got == sorted(wanted)
+
+
 def test_newest_file_and_required_columns(spark, tmp_path):
     drop = tmp_path / "drop"
     put(drop, "new.csv", "A,B,Extra\n1,2,3\n", when=2_000)
@@ -40,7 +70,7 @@ def test_newest_file_and_required_columns(spark, tmp_path):
     with pytest.raises(landing.MissingColumns, match="B"):
         landing.read_drop(spark, str(drop), ["A", "B"])
     with pytest.raises(landing.NothingDelivered):
-        landing.newest_file(spark, str(drop), "*.parquet")
+        landing.newest(spark, str(drop), "*.parquet")
 
 
 def test_json_pages(spark, tmp_path):
