@@ -106,8 +106,11 @@ def records(lines: DataFrame) -> DataFrame:
 
 
 def parse_records(rows: DataFrame, schema: T.StructType) -> DataFrame:
-    """Parse the text of records to a struct column ``_r``; a carriage return that ends one is dropped."""
-    text = F.regexp_replace("text", "\\r$", "")
+    """Parse the text of records to a struct column ``_r``. In a file whose lines end in carriage
+    return and line feed, breaks inside quotes become plain line feeds, as when Spark reads it whole."""
+    windows = F.col("text").endswith("\r")
+    text = F.when(windows, F.replace(F.regexp_replace("text", "\r$", ""), F.lit("\r\n"), F.lit("\n"))) \
+        .otherwise(F.col("text"))
     ddl = ", ".join(f"`{f.name}` string" for f in schema.fields)
     return rows.where(text != "").select(
         "file", "record", F.from_csv(text, ddl, {"escape": '"'}).alias("_r"))
