@@ -80,7 +80,7 @@ def procedure_lines(spark: SparkSession, folder: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("patient"), date_text("o_orderdate").alias("service_date"),
         F.col("l_suppkey").cast("string").alias("provider_id"),
         F.when(F.col("l_returnflag") == "A", "").otherwise(code_of("P", "l_partkey")).alias("code"),
-        money("l_extendedprice").cast("string").alias("fee"),
+        F.col("l_extendedprice").cast("string").alias("fee"),
         F.col("l_quantity").cast("int").cast("string").alias("writeoff"),
         F.when(F.col("l_quantity") == 50, "HOLD").otherwise(F.col("word")).alias("status_word"))
 
@@ -91,7 +91,7 @@ def payment_rows(spark: SparkSession, folder: str) -> DataFrame:
                                               for s, v in SYSTEMS.items()})
     return visits(spark, folder).select(
         "source_system", "source_location", date_text("o_orderdate").alias("paid_date"), word.alias("payer_word"),
-        money("o_totalprice").cast("string").alias("amount"))
+        F.col("o_totalprice").cast("string").alias("amount"))
 
 
 def provider_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -146,7 +146,7 @@ def ledger_entries(spark: SparkSession, folder: str) -> DataFrame:
         F.lit("batch").alias("batch_title"), account.alias("accountno"),
         F.concat(F.lit("account "), account).alias("accounttitle"), code_of("E", "l_suppkey").alias("locationid"),
         F.lit("CLIN").alias("departmentid"), F.when(F.col("l_linenumber") == 1, "-1").otherwise("1").alias("tr_type"),
-        money("l_extendedprice").cast("string").alias("amount"))
+        F.col("l_extendedprice").cast("string").alias("amount"))
 
 
 def supply_usage(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,7 +176,7 @@ def channel_performance(spark: SparkSession, folder: str) -> DataFrame:
         code_of("site-", "c_nationkey").alias("site_slug"), month.cast("string").alias("month"),
         exprs.words_to(kind, {k: s for k, (s, _) in CHANNELS.items()}).alias("utm_source"),
         exprs.words_to(kind, {k: m for k, (_, m) in CHANNELS.items()}).alias("utm_medium"),
-        F.concat(kind, F.lit(" campaign")).alias("utm_campaign"), money("value").cast("string").alias("cost"),
+        F.concat(kind, F.lit(" campaign")).alias("utm_campaign"), F.col("value").cast("string").alias("cost"),
         F.lit("3").alias("sessions"), F.when(kind == "signup", "1").otherwise("0").alias("form_submits"),
         F.when(kind == "purchase", "1").otherwise("0").alias("appts_booked"))
 
@@ -187,7 +187,7 @@ def daily_ads(spark: SparkSession, folder: str) -> DataFrame:
     day = F.add_months(F.col("ts").cast("date"), F.get_json_object("props", "$.k").cast("int") - 29 * 12)
     return views.select(
         day.cast("string").alias("date_col"), code_of("act-", "c_nationkey").alias("account_id"),
-        F.lit("daily").alias("campaign"), money("value").cast("string").alias("spend"),
+        F.lit("daily").alias("campaign"), F.col("value").cast("string").alias("spend"),
         F.lit("100").alias("impressions"), F.lit("1").alias("clicks"), F.lit("0").alias("actions_lead"))
 
 

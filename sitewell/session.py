@@ -16,6 +16,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.session.timeZone": "UTC",
+    # plans here are built from many small expressions; recording a call site for each doubles that time
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
