@@ -7,6 +7,7 @@ systems there are: a projection per feed (:func:`gather`), and one translation o
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -99,10 +100,11 @@ SYSTEMS = {
 UNMAPPED_CODE = "Unmapped code"
 
 
-def gather(raw: dict[str, DataFrame], subject: str) -> DataFrame:
+def gather(raw: Mapping[str, DataFrame], subject: str) -> DataFrame | None:
     """Union the feeds of one subject (lines, payments, providers) under our field names, still text.
 
-    ``raw`` holds the landed tables by name; a system whose table is absent is left out.
+    ``raw`` holds the landed tables by name; a system whose table is absent is left out. Without any
+    provider table the result is None, and every provider counts as unknown.
     """
     file, fields = {"lines": ("procedures", LINE_FIELDS), "payments": ("payments", PAYMENT_FIELDS),
                     "providers": ("providers", PROVIDER_FIELDS)}[subject]
@@ -113,7 +115,9 @@ def gather(raw: dict[str, DataFrame], subject: str) -> DataFrame:
             continue
         parts.append(raw[table].select(F.lit(name).alias("source_system"),
                                        *[F.col(d).alias(f) for d, f in zip(delivered, fields)]))
-    return reduce(DataFrame.unionByName, parts)
+    if not parts and subject != "providers":
+        raise LookupError(f"no system delivered {subject}")
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 def system_table(spark: SparkSession) -> DataFrame:

@@ -100,12 +100,15 @@ def write_layer(frames: Frames, database: str, partition: str | None = "month")
 
 
 def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
-          documents: str | None = None, strict: bool = False) -> DataFrame:
-    """Build staging and marts as tables, check them, and write the documents.
+          documents: str | None = None, strict: bool = False, land: bool = True) -> DataFrame:
+    """Build the raw, staging and mart tables, check them, and write the documents.
 
-    Staging is written once because several marts read each frame; marts read it back pruned.
+    Each layer is written once because the next reads its frames several times, and reads them back
+    pruned. With ``land=False`` the raw frames are tables already, such as those of landing.run.
     Returns the build summary.
     """
+    if land:
+        raw = write_layer(Frames({name: lambda df=df: df for name, df in raw.items()}), "raw", None)
     staged = write_layer(stage(raw, seeds), "staging")
     found = write_layer(Frames({"rejects_location": lambda: rejects(raw, seeds),
                                 "dq_unmapped": lambda: find_problems(raw, seeds, staged, strict)}), "staging", None)

@@ -198,6 +198,15 @@ def test_checks_find_planted_rows(group):
         warehouse.verify(built, warehouse.find_problems(*group[:3]))
 
 
+def test_missing_feeds(group):
+    raw, maps, _, _ = group
+    only = {"pms_dox__procedures": raw["pms_dox__procedures"]}
+    lines = warehouse.stage(only, maps)["stg_pms_procedures"]
+    assert {r["provider_type"] for r in lines.collect()} == {"Dentist"} and lines.count() == 2
+    with pytest.raises(LookupError, match="payments"):
+        warehouse.stage(only, maps)["stg_pms_payments"]
+
+
 def test_duplicate_provider_is_reported(group):
     providers = group[0]["pms_dentrix_ascend__providers"]
     assert [r["provider_id"] for r in checks.duplicates(providers, ["provider_id"]).collect()] == ["prv-2"]
@@ -251,13 +260,16 @@ def test_build_writes_everything(spark, tmp_path):
     found = {(r["item"], r["name"]): r["value"] for r in summary.collect()}
     assert found[("unmapped values", "location")] == 1.0 and ("variance percent", "Revenue") in found
     assert spark.table("marts.mart_location_monthly").count() == 7
+    timecards = spark.table("raw.ukg__timecards")
+    assert timecards.count() == 5 and {t for _, t in timecards.dtypes} == {"string"}
     assert spark.table("staging.stg_pms_procedures").count() == 20
     assert spark.table("staging.rejects_location").count() == 1
     assert (tmp_path / "docs" / "monthly" / "_SUCCESS").exists()
     sources = {r["source"]: r["n"] for r in spark.read.json(str(tmp_path / "docs" / "sources")).collect()}
     assert sources["Practice management"] == 20 and sources["UKG"] == 5
-    # a second build replaces the first
-    warehouse.build(spark, raw, maps)
+    # a second build replaces the first, also from the raw tables themselves
+    landed = {n: spark.table(f"raw.{n}") for n in raw}
+    warehouse.build(spark, landed, maps, land=False)
     assert spark.table("marts.mart_location_monthly").count() == 7
 
 
