@@ -179,14 +179,19 @@ def default_since(today: dt.date | None = None) -> dt.date:
     return (today or dt.date.today()) - dt.timedelta(days=DEFAULT_WINDOW_DAYS)
 
 
-def since_window(df: DataFrame, column: str | Column, since) -> DataFrame:
+def _day(column: str | Column) -> Column:
+    return F.col(column) if isinstance(column, str) else column
+
+
+def since_window(df: DataFrame, day: str | Column, since) -> DataFrame:
     """Rows on or after a date. The column is compared as it is, so the filter can be pushed down."""
-    col = F.col(column) if isinstance(column, str) else column
-    return df.where(col >= F.lit(since).cast("date"))
+    return df.where(_day(day) >= F.lit(since).cast("date"))
 
 
 def as_text(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`").cast("string").alias(snake(c)) for c in df.columns])
+    """Normalized names, every value as text: the form of the raw layer."""
+    named = normalize_columns(df)
+    return named.select(*[F.col(c).cast("string").alias(c) for c in named.columns])
 
 
 def replace_snapshot(df: DataFrame, table: str) -> None:
@@ -194,38 +199,36 @@ def replace_snapshot(df: DataFrame, table: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet").saveAsTable(table)
 
 
-def merge_window(existing: DataFrame, arrived: DataFrame, date_column: str, since) -> DataFrame:
+def merge_window(existing: DataFrame, arrived: DataFrame, day: str | Column, since) -> DataFrame:
     """History before ``since`` from the table, everything else from the delivery.
 
     Arrived rows older than ``since`` are not part of the window; :func:`late_rows` reports them.
     """
     cut = F.lit(since).cast("date")
-    return existing.where((F.col(date_column) < cut) | F.col(date_column).isNull()) \
-        .unionByName(arrived.where(F.col(date_column) >= cut))
+    return existing.where((_day(day) < cut) | _day(day).isNull()).unionByName(arrived.where(_day(day) >= cut))
 
 
-def late_rows(arrived: DataFrame, date_column: str, since) -> DataFrame:
+def late_rows(arrived: DataFrame, day: str | Column, since) -> DataFrame:
     """Delivered rows the window does not cover, to be written to a reject table."""
-    return arrived.where((F.col(date_column) < F.lit(since).cast("date")) | F.col(date_column).isNull())
+    return arrived.where((_day(day) < F.lit(since).cast("date")) | _day(day).isNull())
 
 
-def replace_window(df: DataFrame, table: str, date_column: str, since: dt.date) -> None:
+def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date) -> None:
     """Load a delivery that only reaches back to ``since`` without losing older history.
 
-    The table is partitioned by month. Months after the one ``since`` falls in are overwritten from
-    the delivery alone; the boundary month is rebuilt from its older rows plus the delivery; a month
-    in the window that the delivery no longer mentions is dropped. Months before are not touched, so
-    the cost follows the window, not the history.
+    ``day`` is the business date: a date column, or an expression that parses a text one. The table
+    is partitioned by its month. Months after the one ``since`` falls in are overwritten from the
+    delivery alone; the boundary month is rebuilt from its older rows plus the delivery; a month in
+    the window that the delivery no longer mentions is dropped. Months before are not touched, so the
+    cost follows the window, not the history.
     """
-    spark = df.sparkSession
-    month = F.date_format(date_column, "yyyy-MM").alias("_month")
-    arrived = df.where(F.col(date_column) >= F.lit(since).cast("date")).select("*", month)
+    spark, cut = df.sparkSession, F.lit(since).cast("date")
+    arrived = df.where(_day(day) >= cut).select("*", F.date_format(_day(day), "yyyy-MM").alias("_month"))
     if not spark.catalog.tableExists(table):
         arrived.write.format("parquet").partitionBy("_month").saveAsTable(table)
         return
     boundary = since.strftime("%Y-%m")
-    kept = spark.table(table).where((F.col("_month") == boundary)
-                                    & (F.col(date_column) < F.lit(since).cast("date")))
+    kept = spark.table(table).where((F.col("_month") == boundary) & (_day(day) < cut))
     rebuilt = arrived.unionByName(kept)
     months = {r["_month"] for r in rebuilt.select("_month").distinct().toLocalIterator()}
     present = {r["partition"].removeprefix("_month=")
@@ -236,6 +239,11 @@ def replace_window(df: DataFrame, table: str, date_column: str, since: dt.date)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_month = '{gone}')")
 
 
+def window_writer(day: str | Column, since: dt.date) -> Callable[[DataFrame, str], None]:
+    """A write for :class:`Source` that replaces a window instead of the whole table."""
+    return lambda df, table: replace_window(df, table, day, since)
+
+
 @contextmanager
 def _setting(spark: SparkSession, key: str, value: str):
     before = spark.conf.get(key, None)
@@ -260,14 +268,14 @@ class Source:
 
 def run(spark: SparkSession, sources: list[Source], since: dt.date | None = None,
         audit: str | None = None) -> DataFrame:
-    """Load every source and report on each: landed, skipped, todo or error. One failing source does
-    not stop the others. Rows are counted while they are written, not by a second scan."""
+    """Load every source as text and report on each: landed, skipped, todo or error. One failing source
+    does not stop the others. Rows are counted while they are written, not by a second scan."""
     since = since or default_since()
     report = []
     for source in sources:
         seen = Observation(f"rows_{snake(source.name)}")
         try:
-            df = source.read(spark, since).observe(seen, F.count(F.lit(1)).alias("n"))
+            df = as_text(source.read(spark, since)).observe(seen, F.count(F.lit(1)).alias("n"))
             source.write(df, source.table)
             outcome = ("landed", seen.get["n"], None)
         except NotConfigured as e:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from sitewell.functions import exprs
 from sitewell.operators import checks, extracts
 from sitewell.sources import landing, seeds
 from sitewell.streaming import drops
@@ -130,6 +131,20 @@ def test_replace_window_first_load_and_empty_delivery(spark):
     assert [r["v"] for r in rows(spark.table(table))] == ["a"]
 
 
+def test_window_of_a_text_date(spark):
+    def cards(*said):
+        return lambda session, since: session.createDataFrame([(d, d[:2]) for d in said], "`Work Date` string, v string")
+
+    day, since = exprs.parse_date("work_date", "day_mon_year"), dt.date(2025, 3, 10)
+    for said in (("01-Jan-2025", "09-Mar-2025", "11-Mar-2025"), ("12-Mar-2025", "01-Apr-2025")):
+        report = landing.run(spark, [landing.Source("cards", cards(*said), "text_window", landing.window_writer(day, since))],
+                             since)
+        assert report.first()["status"] == "landed", report.first()["message"]
+    got = [r["work_date"] for r in rows(spark.table("text_window"))]
+    # the first load keeps what its window covers, the second replaces that
+    assert got == ["01-Apr-2025", "12-Mar-2025"]
+
+
 def test_merge_window(spark):
     old = days(spark, ((2025, 1, 5), "old"), ((2025, 3, 5), "replaced"))
     new = days(spark, ((2025, 3, 6), "new"), ((2025, 1, 1), "late"))
