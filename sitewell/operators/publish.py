@@ -87,10 +87,6 @@ def from_document(documents: DataFrame, schema: T.StructType, by: list[str], nam
     return unpack(arrays, by, schema.fieldNames())
 
 
-def array_schema(df: DataFrame, columns: list[str]) -> T.StructType:
-    return T.StructType([T.StructField(c, T.ArrayType(df.schema[c].dataType)) for c in columns])
-
-
 def row_numbers(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """Number distinct rows 0, 1, 2 ... in ``order`` without putting them in one task.
 

@@ -16,7 +16,7 @@ from sitewell.functions import exprs
 from sitewell.functions.exprs import doubles
 from sitewell.operators import checks, conform, extracts, marts, publish, reports, staging, translate
 from sitewell.plans import sample_feeds as feeds
-from sitewell.plans.registered_sql import MONTH, SYSTEM, bigint, doubled, select
+from sitewell.plans.registered_sql import MONTH, bigint, doubled, select
 from sitewell.plans.sample_feeds import Sample, code_of, money, table
 from sitewell.sources import landing
 
