@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import quality
+from sitewell.llm import quality, url_filter
 from sitewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
 }
 
@@ -33,8 +34,8 @@ windows AS (
     FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)),
 found AS (SELECT k, i FROM (SELECT *, count(*) OVER (PARTITION BY k, g) AS n FROM windows) WHERE n > 1),
 per_windows AS (
-    SELECT k, count(DISTINCT at) AS n_repeat_words
-    FROM (SELECT k, unnest([i, i + 1, i + 2]) AS at FROM found) GROUP BY k),
+    SELECT k, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT k, unnest([i, i + 1, i + 2]) AS p FROM found) GROUP BY k),
 m AS (
     SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
            length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
