@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import quality, url_filter
+from sitewell.llm import mixing, quality, url_filter
 from sitewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
+    "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
 }
 
@@ -52,3 +53,35 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        AND n_stop::DOUBLE / n_words >= 0.02 AND n_dup_lines::DOUBLE / n_lines <= 0.5 AS kept
 FROM judged
 """
+
+# The turns of all slots together cover words 0 to floor(target) of a source's stream, so that a document's
+# share follows from its place in the stream alone.
+SQL["op3_source_mix"] = r"""
+WITH d AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+           md5('mix' || coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents),
+per AS (
+    SELECT source, sum(size)::BIGINT AS s, row_number() OVER (ORDER BY source NULLS LAST) AS sid
+    FROM d GROUP BY source),
+weighed AS (SELECT *, [3, 1, 2][((sid - 1) % 3) + 1] AS w FROM per),
+filling AS (
+    SELECT *, (2 * s)::DOUBLE / w AS ratio,
+           (1.5::DOUBLE * (sum(s) OVER ())::DOUBLE
+            - coalesce(sum(2 * s) OVER (ORDER BY (2 * s)::DOUBLE / w, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+           / (sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY (2 * s)::DOUBLE / w, sid
+              ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS level
+    FROM weighed),
+water AS (SELECT arg_min(level, struct_pack(a := ratio, b := sid)) AS lam FROM filling WHERE ratio > level),
+t AS (
+    SELECT source, s, CASE WHEN lam IS NULL OR ratio <= lam THEN (2 * s)::DOUBLE ELSE lam * w END AS target
+    FROM filling, water),
+placed AS (
+    SELECT d.doc_id, d.size, t.s, t.target, floor(t.target)::BIGINT AS words,
+           (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id NULLS FIRST, d.size
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size)::BIGINT AS start
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, s AS source_size, target,
+       greatest(0, least(start + size, words) - start) + greatest(0, least(start + size + s, words) - start - s) AS taken
+FROM placed
+"""
