@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import mixing, quality, url_filter
+from sitewell.llm import knn, mixing, quality, url_filter
 from sitewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,6 +15,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
     "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
+    "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
 }
 
 SQL: dict[str, str] = {}
@@ -85,3 +86,15 @@ SELECT doc_id, size, s AS source_size, target,
        greatest(0, least(start + size, words) - start) + greatest(0, least(start + size + s, words) - start - s) AS taken
 FROM placed
 """
+
+SQL["op9_exact_top_k"] = """
+WITH e AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM e q JOIN e c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
