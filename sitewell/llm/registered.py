@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import knn, mixing, quality, url_filter
+from sitewell.llm import knn, mixing, quality, toxicity, url_filter
 from sitewell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,8 @@ QUERIES: dict[str, Query] = {
     "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
+    "op10_toxicity": lambda spark, folder: toxicity.query(
+        table(spark, folder, "documents"), table(spark, folder, "labels")),
 }
 
 SQL: dict[str, str] = {}
