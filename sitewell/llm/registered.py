@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import knn, mixing, quality, toxicity, url_filter
+from sitewell.llm import bpe, knn, mixing, quality, toxicity, url_filter
 from sitewell.llm.common import table
 
+# Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
+MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_byte_bpe": lambda spark, folder: bpe.query(
+        table(spark, folder, "documents"), public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN),
     "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
     "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
