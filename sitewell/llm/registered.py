@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import bpe, knn, mixing, quality, toxicity, url_filter
+from sitewell.llm import bpe, knn, mixing, near_dup, quality, toxicity, url_filter
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
@@ -21,6 +21,7 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
     "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
+    "op7_near_duplicates": lambda spark, folder: near_dup.query(table(spark, folder, "documents")),
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
     "op10_toxicity": lambda spark, folder: toxicity.query(
         table(spark, folder, "documents"), table(spark, folder, "labels")),
