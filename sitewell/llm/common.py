@@ -41,3 +41,8 @@ def settled(df: DataFrame) -> DataFrame:
 
     checkpointing(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def constants(values: list[float]) -> Column:
+    """An array of numbers as one foldable expression: computed once when the plan is made, not for each row."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")

@@ -13,6 +13,8 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sitewell.llm.common import constants
+
 BUCKETS = 8192
 SIZES = (3, 4, 5)
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -121,7 +123,7 @@ def fit(examples: DataFrame, strength: float = 0.002) -> tuple[list[float], floa
 
 def probability(host: Column, path: Column, model: tuple[list[float], float]) -> Column:
     """That the URL should be blocked."""
-    weights = F.from_json(F.lit(json.dumps(model[0])), "array<double>")
+    weights = constants(model[0])
     logit = F.aggregate(buckets(host, path), F.lit(model[1]), lambda total, b: total + F.get(weights, b))
     return 1 / (1 + F.exp(-logit))
 
