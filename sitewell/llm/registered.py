@@ -7,11 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import bpe, knn, licences, mixing, near_dup, quality, toxicity, url_filter
+from sitewell.llm import bpe, knn, licences, mixing, near_dup, quality, token_files, toxicity, url_filter
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
-MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
+MULTI_RANKS, BYTE_TOKENIZER = "byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,8 @@ QUERIES: dict[str, Query] = {
     "op2_url_filters": lambda spark, folder: url_filter.query(table(spark, folder, "pages")),
     "op3_source_mix": lambda spark, folder: mixing.query(table(spark, folder, "documents")),
     "op4_licence_scan": lambda spark, folder: licences.query(table(spark, folder, "documents")),
+    "op5_token_files": lambda spark, folder: token_files.query(
+        table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
     "op7_near_duplicates": lambda spark, folder: near_dup.query(table(spark, folder, "documents")),
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
