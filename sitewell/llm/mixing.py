@@ -28,7 +28,7 @@ SHARE = 1.5
 PASSES = 2
 BLOCK = 1024
 SEED = "mix"
-ROWS_PER_BUCKET = 4096
+ROWS_PER_BUCKET = 1024
 CELL = 1024
 
 
@@ -113,7 +113,8 @@ def _placed(docs: DataFrame, share: float, block: int) -> DataFrame:
             F.floor(F.greatest(F.col("begin"), F.col("begin") + F.col("size") - 1) / block))))
         .withColumn("low", F.greatest("begin", F.col("rank") * block))
         .withColumn("high", F.least(F.col("begin") + F.col("size"), (F.col("rank") + 1) * block, "words")))
-    return stream.join(schedule(sources, block), ["sid", "rank"], "left").withColumn(
+    # the schedule grows with the data, but is made from few rows, by which its size would be misjudged
+    return stream.join(schedule(sources, block).hint("merge"), ["sid", "rank"], "left").withColumn(
         "piece", F.when(F.col("turn").isNotNull(), F.greatest(F.lit(0).cast("long"), F.col("high") - F.col("low")))
         .otherwise(F.lit(0).cast("long")))
 
