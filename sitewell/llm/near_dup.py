@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewell.llm.bpe import groups
 from sitewell.llm.common import settled, text_of
 
 RUN = 5
@@ -39,6 +40,7 @@ WORD_BUCKETS = 1 << 16
 DRAWS = 1 << 14
 CHUNK = 256
 CACHED_WORDS = 500_000
+GROUP_CHARS = 200_000
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _M = np.uint64(0x9E3779B97F4A7C15)
 
@@ -80,30 +82,45 @@ def weighted_runs(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 class Sampler:
-    """Improved consistent weighted sampling with the draws of a run taken from fixed tables."""
+    """Improved consistent weighted sampling with the draws of a run taken from fixed tables. A sample is the
+    run that gives the least value; which level of its weight did so is left out, as it hardly ever differs
+    for one run. Many texts are sampled at once."""
 
     def __init__(self):
         rng = np.random.default_rng(7)
         shape = (SAMPLES, DRAWS)
         self.r = rng.gamma(2.0, 1.0, shape).astype(np.float32) + np.float32(1e-6)
-        self.log_c = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32)
+        self.inverse = 1 / self.r
+        # values stay between -64 and 64; lifted above zero, their bits order as they do
+        self.lifted = np.log(rng.gamma(2.0, 1.0, shape)).astype(np.float32) + np.float32(128)
         self.beta = rng.random(shape, dtype=np.float32)
+        self.rest = 1 - self.beta
         self.odd = rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) | np.uint64(1)
 
-    def bands(self, runs: np.ndarray, weights: np.ndarray) -> list[int]:
-        log_w = np.log(weights).astype(np.float32)
-        out, levels = np.empty(SAMPLES, dtype=np.uint64), np.empty(SAMPLES)
+    def bands(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """texts x BANDS; every text has runs."""
+        runs = np.concatenate([r for r, _ in texts])
+        log_w = np.log(np.concatenate([w for _, w in texts])).astype(np.float32)
+        starts = np.cumsum([0] + [len(r) for r, _ in texts[:-1]])
+        name = (_mixed(runs) & np.uint64(0xFFFFFFFF)).view(np.int64)
+        out = np.empty((len(texts), SAMPLES), dtype=np.uint64)
         for k in range(SAMPLES):
-            at = ((runs * self.odd[k]) >> np.uint64(64 - 14)).astype(np.intp)
-            r, beta = self.r[k][at], self.beta[k][at]
-            t = np.floor(log_w / r + beta)
-            best = int(np.argmin(self.log_c[k][at] - r * (t - beta + 1)))
-            out[k], levels[k] = runs[best], t[best]
-        out = _mixed(out + levels.astype(np.int64).astype(np.uint64) * _M).reshape(BANDS, ROWS)
-        h = np.arange(1, BANDS + 1, dtype=np.uint64)
+            at = ((runs * self.odd[k]) >> np.uint64(64 - 14)).view(np.int64)
+            value = log_w * self.inverse[k].take(at)
+            value += self.beta[k].take(at)
+            np.floor(value, out=value)
+            value += self.rest[k].take(at)
+            value *= self.r[k].take(at)
+            np.subtract(self.lifted[k].take(at), value, out=value)
+            least = value.view(np.int32).astype(np.int64)
+            least <<= 32
+            least |= name
+            out[:, k] = np.minimum.reduceat(least, starts).view(np.uint64) & np.uint64(0xFFFFFFFF)
+        out = _mixed(out * _M).reshape(len(texts), BANDS, ROWS)
+        h = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(texts), 1))
         for k in range(ROWS):
-            h = _mixed((h + out[:, k]) * _M)
-        return h.astype(np.int64).tolist()
+            h = _mixed((h + out[:, :, k]) * _M)
+        return h.astype(np.int64)
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -198,9 +215,14 @@ def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, sampler = Words(), Sampler()
         for batch in batches:
-            runs = (weighted_runs(words.of(t), idf) for t in batch["text"])
-            batch["bands"] = [sampler.bands(*r) if len(r[0]) else [] for r in runs]
-            yield batch[["doc_id", "key", "bands"]]
+            for a, b in groups(batch["text"].tolist(), len, GROUP_CHARS):
+                part = batch.iloc[a:b]
+                runs = [weighted_runs(words.of(t), idf) for t in part["text"]]
+                some = [i for i, r in enumerate(runs) if len(r[0])]
+                bands = [[]] * len(runs)
+                for i, row in zip(some, sampler.bands([runs[i] for i in some]) if some else []):
+                    bands[i] = row
+                yield part[["doc_id", "key"]].assign(bands=bands)
 
     rows = docs.select("doc_id", text_of().alias("text"))
     return rows.withColumn("key", F.md5("text")).mapInPandas(run, "doc_id long, key string, bands array<bigint>")
