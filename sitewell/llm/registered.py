@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import bpe, knn, licences, mixing, near_dup, quality, token_files, toxicity, url_filter
+from sitewell.llm import bpe, causal_lm, knn, licences, mixing, near_dup, quality, token_files, toxicity, url_filter
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
@@ -25,6 +25,8 @@ QUERIES: dict[str, Query] = {
         table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
     "op6_quality_rules": lambda spark, folder: quality.query(table(spark, folder, "documents")),
     "op7_near_duplicates": lambda spark, folder: near_dup.query(table(spark, folder, "documents")),
+    "op8_lm_scores": lambda spark, folder: causal_lm.query(
+        table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
     "op10_toxicity": lambda spark, folder: toxicity.query(
         table(spark, folder, "documents"), table(spark, folder, "labels")),
