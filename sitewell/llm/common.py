@@ -46,3 +46,8 @@ def settled(df: DataFrame) -> DataFrame:
 def constants(values: list[float]) -> Column:
     """An array of numbers as one foldable expression: computed once when the plan is made, not for each row."""
     return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def once(value: Column) -> Column:
+    """The value from a generator, for select(): a filter that is moved below it does not compute it again."""
+    return F.explode(F.array(value))

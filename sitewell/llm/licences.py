@@ -20,7 +20,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewell.llm.common import constants
+from sitewell.llm.common import constants, once
 
 BUCKETS = 4096
 CONFIRMED = 0.5
@@ -215,8 +215,6 @@ def fit(spark: SparkSession, strength: float = 0.001) -> Model:
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, paragraph (number from 1), text, family, probability, similarity, confirmed: every paragraph
     whose most probable class is a licence family."""
-    # a generator computes its value once; a plain column would be computed again wherever it is filtered on
-    once = lambda value: F.explode(F.array(value))
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "text"))
     words = lines.select("*", F.explode(F.filter(F.array(kept_words(F.col("text"))), lambda w: F.size(w) > 0)).alias("words"))
     scored = words.select("*", once(features(F.col("words"))).alias("f")).select(

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewell.llm.common import text_of, words_of
+from sitewell.llm.common import once, text_of, words_of
 
 # Frequent function words of the four languages of the corpus.
 STOP_WORDS = (
@@ -75,16 +75,16 @@ def measures(df: DataFrame, text: str = "text") -> DataFrame:
     stop = F.size(F.filter(words, lambda w: F.lower(w).isin(STOP_WORDS)))
     return (
         df.withColumn("_t", text_of(text))
-        .withColumn("_w", words_of(F.col("_t")))
-        .withColumn("_l", F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-        .withColumn("_m", F.struct(
+        .select("*", once(words_of(F.col("_t"))).alias("_w"))
+        .select("*", once(F.filter(F.split("_t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))).alias("_l"))
+        .select("*", once(F.struct(
             F.size(words).cast("long").alias("n_words"),
             F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
             F.length(F.regexp_replace("_t", r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
             F.size(lines).cast("long").alias("n_lines"),
             (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
             _repeated(words).alias("n_repeat_words"),
-            stop.cast("long").alias("n_stop_words")))
+            stop.cast("long").alias("n_stop_words"))).alias("_m"))
         .drop("_t", "_w", "_l"))
 
 
