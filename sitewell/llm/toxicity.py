@@ -85,7 +85,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int,
     (fu, ru, nu), (fp, rp, n_pos) = side(unlabelled), side(positive)
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -40, 40)))
     w = np.zeros(features + 1)
-    w[-1] = np.log(prior / (1 - prior))
+    w[-1] = odds = np.log(prior / (1 - prior))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, rounds + 1):
         zu = np.bincount(ru, w[fu], nu) + w[-1]
@@ -99,6 +99,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int,
                       gu.sum() + gp.sum())
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         w -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-7)
+        w[-1] = min(w[-1], odds)  # a text without any feature is no likelier toxic than texts on the whole
     return w[:-1], float(w[-1])
 
 
