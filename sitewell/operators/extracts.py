@@ -115,14 +115,29 @@ def dolphin_providers(doctors: DataFrame, offices: DataFrame) -> DataFrame:
 
 def flatten_json(pages: DataFrame, text: str, fields: dict[str, str], keep: list[str] | None = None) -> DataFrame:
     """Rows of API pages: {landing column: dotted path into an item}. A page is ``{"data": [...]}``
-    or a bare list; a path that leads nowhere is null. Values stay text."""
+    or a bare list; a path that leads nowhere is null. Values stay text. A page that is not JSON, or
+    whose ``data`` is something other than a list, fails with its beginning; one without ``data`` is
+    empty, see :func:`pages_without_data`."""
     body = F.ltrim(text)
-    listed = F.when(body.startswith("["), body).otherwise(F.get_json_object(body, "$.data"))
-    items = F.from_json(listed, T.ArrayType(T.StringType()))
+    data = F.get_json_object(body, "$.data")
+    # a torn page has no readable shape; json_array_length is null for whatever is not a list
+    torn = F.try_parse_json(body).isNull()
+    listed = F.when(body.startswith("["), body).otherwise(data)
+    wrong = listed.isNotNull() & F.json_array_length(listed).isNull()
+    loud = F.when(torn | wrong, F.raise_error(F.concat(F.lit("not a page of items: "), F.substring(F.coalesce(body, F.lit("")), 1, 200)))
+                  ).otherwise(listed)
+    items = F.from_json(loud, T.ArrayType(T.StringType()))
     exploded = pages.select(*(keep or []), F.explode(items).alias("_item"))
     return exploded.select(*(keep or []), *[json_path("_item", path).alias(name) for name, path in fields.items()])
 
 
+def pages_without_data(pages: DataFrame, text: str) -> DataFrame:
+    """(row_count) of pages that hold no ``data`` at all, such as an error envelope; empty when there are none."""
+    body = F.ltrim(text)
+    bare = ~body.startswith("[") & F.get_json_object(body, "$.data").isNull()
+    return pages.where(bare).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 0")
+
+
 def json_path(text: str | Column, path: str) -> Column:
     return F.get_json_object(text, "$" + "".join(f"['{part}']" for part in path.split(".")))
 

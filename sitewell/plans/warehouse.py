@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sitewell.operators import checks, conform, marts, publish, staging
 from sitewell.operators.translate import rejected_rows
 from sitewell.plans.frames import Frames
+from sitewell.sources.landing import replace_snapshot
 
 DAILY_ADS = "windsor__facebook_ads"
 
@@ -91,10 +92,9 @@ def write_layer(frames: Frames, database: str, partition: str | None = "month")
         if partition in df.columns:
             # rows of a month meet before the write, else every task opens a file in every month;
             # the rebalance splits a month that is larger than a file should be
-            writer = df.hint("rebalance", partition).write.partitionBy(partition)
+            replace_snapshot(df.hint("rebalance", partition), table, partition)
         else:
-            writer = df.write
-        writer.mode("overwrite").format("parquet").saveAsTable(table)
+            replace_snapshot(df, table)
         frames.replace(name, spark.table(table))
     return frames
 

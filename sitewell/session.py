@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Spark measures every join side itself: below the threshold it broadcasts, above it shuffles,
@@ -16,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(32 << 20),
     "spark.sql.session.timeZone": "UTC",
+    # checkpoint files go when the frame that needs them does
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # plans here are built from many small expressions; recording a call site for each doubles that time
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -31,12 +31,10 @@ def session(app: str = "sitewell", master: str | None = None, **settings: str) -
 
 
 def checkpointing(spark: SparkSession) -> SparkSession:
-    """Checkpoints go where the cluster says (spark.checkpoint.dir). Only a local session without
-    that setting, such as a test, gets a folder of its own."""
+    """Checkpoints go where the cluster says (spark.checkpoint.dir). Where that is not set, as in tests,
+    they go beside the tables, in the warehouse, which all executors share as well."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is not set; it must name a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="sitewell-checkpoint-"))
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
     return spark

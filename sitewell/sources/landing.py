@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -16,7 +17,8 @@ from sitewell.functions.names import normalize_columns, raw_table, snake
 # How many days back an extract reaches when no date is given.
 DEFAULT_WINDOW_DAYS = 45
 
-AUDIT_SCHEMA = "source string, status string, row_count bigint, message string, finished_at timestamp"
+AUDIT_SCHEMA = ("source string, status string, row_count bigint, late_rows bigint, message string, "
+                "finished_at timestamp")
 
 
 class NotConfigured(RuntimeError):
@@ -49,56 +51,91 @@ def newest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Row:
     return found
 
 
-# A file up to this size is one task's work anyway; above it, reading it in one task is not an option.
-ONE_TASK_BYTES = 128 << 20
-
-
-def read_text(spark: SparkSession, path: str, length: int = 0, quoted_newlines: bool = True) -> DataFrame:
+def read_text(spark: SparkSession, path: str, quoted_newlines: bool = True, splits: bool = False) -> DataFrame:
     """A CSV with a header, all columns text, names as delivered.
 
     Without inferSchema Spark reads every column as string and only looks at the header; a byte
     order mark is dropped. Line breaks inside quotes stay in their field. Spark itself can do that
-    only by giving the whole file to one task, so a file longer than ONE_TASK_BYTES is read in
-    splits whose lines are put back together. Without ``quoted_newlines`` every file is split.
+    only by giving a file to one task, so the caller may ask for ``splits``: the file is then read
+    in pieces whose lines are put back together by :func:`records`. The choice is the caller's and
+    never follows from a file's size. Both give the same rows; the split reader takes lines that
+    end in a line feed, with or without a carriage return, and fails on a file whose header is cut
+    by bare carriage returns or whose last quote stays open. Without ``quoted_newlines`` every line
+    is a record and files are split as well.
     """
     reader = spark.read.option("header", True).option("escape", '"')
-    if not quoted_newlines or length <= ONE_TASK_BYTES:
+    if not (splits and quoted_newlines):
         return reader.option("multiLine", quoted_newlines).csv(path)
-    names = reader.csv(path).columns
+    names = reader.option("multiLine", True).csv(path).columns
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"), F.col("value").alias("line"))
-    rows = records(lines).where(F.col("record") > 0)  # record 0 is the header
+    bare = F.instr(F.regexp_replace("text", "\r\n|\r$", ""), "\r") > 0
+    # record 0 is the header
+    data = F.when((F.col("record") == 0) & bare, F.raise_error(F.concat(
+        F.col("file"), F.lit(": lines end in carriage returns, which the split reader does not take")))
+    ).otherwise(F.col("record") > 0)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return parse_records(rows, schema).select("_r.*")
+    return parse_records(records(lines).where(data), schema).select("_r.*")
+
+
+# What a line does to a quoted field, as patterns: quotes open a field only where it begins.
+_REST = r'(?:[^"]++|"")*+'
+_FIELD = rf'(?:"{_REST}"[^,]*+|[^",][^,]*+|)'
+_OPENS = rf'(?:{_FIELD},)*+"{_REST}$'
+
+
+def line_effect(line: Column) -> Column:
+    """What the quotes of a line do: 0 leaves the state (inside or outside quotes) as it was, 1 turns
+    it round, 2 ends outside and 3 ends inside, whatever it was."""
+    plain = F.instr(line, '"') == 0
+    from_outside = line.rlike(f"(?s)^{_OPENS}")
+    from_inside = line.rlike(f'(?s)^{_REST}(?:$|"[^,]*+,{_OPENS})')
+    return F.when(plain, 0).when(from_outside & from_inside, 3).when(from_outside, 1).when(from_inside, 0).otherwise(2)
 
 
 def records(lines: DataFrame) -> DataFrame:
     """Lines of CSV files put together to records (file, record, text), numbered from 0 in each file.
 
     ``lines`` has file, block, position and line: a block is a stretch of a file read by one task,
-    position orders the lines in it. A line continues the record before it when an odd number of
-    quotes precedes it in its file. That number comes from the quotes before it in its block and the
-    totals of earlier blocks, so only block totals, a row per block, are ever put in file order.
+    position orders the lines in it. A line continues the record before it when it begins inside
+    quotes. The state at a line is that of the last line before it with a fixed effect, turned round
+    by those since; where its block has none, it also depends on the state at the block's begin. So
+    only block summaries, a row per block, are ever put in file order. A file that ends inside quotes
+    fails.
     """
-    quotes = F.length("line") - F.length(F.replace("line", F.lit('"'), F.lit("")))
     in_block = Window.partitionBy("file", "block").orderBy("position")
     before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    counted = lines.withColumn("_q", quotes).withColumn("_c", F.coalesce(F.sum("_q").over(before), F.lit(0)))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    lined = lines.withColumn("_e", line_effect(F.regexp_replace("line", "\r$", "")))
+    turns = F.coalesce(F.sum(F.when(F.col("_e") == 1, 1).otherwise(0)).over(before), F.lit(0))
+    fixed = F.when(F.col("_e") > 1, F.struct((F.col("_e") - 2).alias("inside"), F.col("_t").alias("turns")))
+    counted = lined.withColumn("_t", turns).withColumn("_f", F.last(fixed, ignorenulls=True).over(before))
+    # the state at a line: known, or relative to the block's begin
+    counted = counted.withColumn("_known", F.col("_f").isNotNull()).withColumn(
+        "_s", F.when(F.col("_known"), F.col("_f.inside") + F.col("_t") - F.col("_f.turns")).otherwise(F.col("_t")) % 2)
+    relative = ~F.col("_known")
+    starts_if = lambda inside: F.count_if(F.when(relative, (F.col("_s") + inside) % 2).otherwise(F.col("_s")) == 0)
+    after = F.when(F.col("_e") > 1, F.col("_e") - 2).when(F.col("_e") == 1, 1 - F.col("_s")).otherwise(F.col("_s"))
     blocks = counted.groupBy("file", "block").agg(
-        F.sum("_q").alias("_n"), F.count_if(F.col("_c") % 2 == 0).alias("_even"),
-        F.count_if(F.col("_c") % 2 == 1).alias("_odd"))
-    # a line starts a record when block start and line together have an even number of quotes before them
-    blocks = blocks.withColumn("_p", F.coalesce(F.sum("_n").over(earlier), F.lit(0)) % 2) \
-        .withColumn("_starts", F.when(F.col("_p") == 0, F.col("_even")).otherwise(F.col("_odd"))) \
-        .select("file", "block", "_p", F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_first"))
-    starts = (F.col("_p") + F.col("_c")) % 2 == 0
+        starts_if(0).alias("_out"), starts_if(1).alias("_in"),
+        F.max_by(F.struct((F.col("_known") | (F.col("_e") > 1)).alias("known"), after.alias("state")), "position").alias("_end"))
+    at = Window.partitionBy("file").orderBy("block")
+    earlier = at.rowsBetween(Window.unboundedPreceding, -1)
+    turned = F.coalesce(F.sum(F.when(~F.col("_end.known"), F.col("_end.state")).otherwise(0)).over(earlier), F.lit(0))
+    last = F.when(F.col("_end.known"), F.struct(F.col("_end.state").alias("state"), F.col("_u").alias("u")))
+    blocks = blocks.withColumn("_u", turned).withColumn("_l", F.last(last, ignorenulls=True).over(earlier)).withColumn(
+        "_p", F.when(F.col("_l").isNotNull(), F.col("_l.state") + F.col("_u") - F.col("_l.u")).otherwise(F.col("_u")) % 2)
+    closing = F.when(F.col("_end.known"), F.col("_end.state")).otherwise((F.col("_p") + F.col("_end.state")) % 2)
+    end = F.last(closing).over(at.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    checked = F.when(end == 1, F.raise_error(F.concat(F.col("file"), F.lit(": a quote is never closed")))).otherwise(F.col("_p"))
+    blocks = blocks.withColumn("_starts", F.when(F.col("_p") == 0, F.col("_out")).otherwise(F.col("_in"))).select(
+        "file", "block", checked.cast("int").alias("_p"), F.coalesce(F.sum("_starts").over(earlier), F.lit(0)).alias("_first"))
+    state = F.when(F.col("_known"), F.col("_s")).otherwise((F.col("_s") + F.col("_p")) % 2)
     upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = counted.join(blocks, ["file", "block"]).withColumn("_starts", starts).withColumn(
-        "record", F.col("_first") + F.sum(F.when(F.col("_starts"), 1).otherwise(0)).over(upto) - 1)
+    numbered = counted.join(blocks, ["file", "block"]).withColumn("_outside", state == 0).withColumn(
+        "record", F.col("_first") + F.sum(F.when(F.col("_outside"), 1).otherwise(0)).over(upto) - 1)
     # most records are one line, which starts and closes them: only the others are brought together
-    alone = F.col("_starts") & (F.col("_q") % 2 == 0)
+    alone = F.col("_outside") & F.col("_e").isin(0, 2)
     single = numbered.where(alone).select("file", "record", F.col("line").alias("text"))
     pieces = F.array_sort(F.collect_list(F.struct("block", "position", "line")))
     several = numbered.where(~alone).groupBy("file", "record").agg(F.array_join(pieces["line"], "\n").alias("text"))
@@ -125,23 +162,26 @@ def required(df: DataFrame, columns: list[str], name: str = "file") -> DataFrame
 
 
 def read_drop(spark: SparkSession, folder: str, columns: list[str], pattern: str = "*.csv",
-              quoted_newlines: bool = True) -> DataFrame:
+              quoted_newlines: bool = True, splits: bool = False) -> DataFrame:
     """The newest export of a drop folder, checked against the columns it must have."""
-    file = newest(spark, folder, pattern)
-    return required(read_text(spark, file["path"], file["length"], quoted_newlines), columns, file["path"])
+    path = newest(spark, folder, pattern)["path"]
+    return required(read_text(spark, path, quoted_newlines, splits), columns, path)
 
 
-def land_csv(spark: SparkSession, root: str, quoted_newlines: bool = True) -> dict[str, DataFrame]:
-    """Every <system>/<file>.csv under ``root`` as a lazily read raw table, keyed by its name.
+def land_csv(spark: SparkSession, root: str, quoted_newlines: bool = True, splits: bool = False) -> dict[str, DataFrame]:
+    """Every <system>/<file>.csv under ``root`` as a lazily read raw table, keyed by its name. Files
+    whose names come to one table are its parts if their columns agree, else the landing fails.
 
-    Only the listing of the files comes to the driver, a row per raw table.
+    Only the listing of the files comes to the driver, a row per file.
     """
-    listing = delivered(spark, f"{root.rstrip('/')}/*/").orderBy("path").toLocalIterator()
     tables: dict[str, DataFrame] = {}
-    for path, length in ((f["path"], f["length"]) for f in listing):
+    for path in (f["path"] for f in delivered(spark, f"{root.rstrip('/')}/*/").orderBy("path").toLocalIterator()):
         folder, file = path.split("/")[-2:]
         name = raw_table(folder, file.removesuffix(".csv"))
-        tables[name] = normalize_columns(read_text(spark, path, length, quoted_newlines))
+        part = normalize_columns(read_text(spark, path, quoted_newlines, splits))
+        if name in tables and set(tables[name].columns) != set(part.columns):
+            raise MissingColumns(f"{path}: other columns than the files landed as {name} before it")
+        tables[name] = tables[name].unionByName(part) if name in tables else part
     return tables
 
 
@@ -194,9 +234,23 @@ def as_text(df: DataFrame) -> DataFrame:
     return named.select(*[F.col(c).cast("string").alias(c) for c in named.columns])
 
 
-def replace_snapshot(df: DataFrame, table: str) -> None:
-    """Replace a raw table by a full delivery. Readers see the old rows until the write commits."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").format("parquet").saveAsTable(table)
+def replace_snapshot(df: DataFrame, table: str, partition: str | None = None) -> None:
+    """Replace a table by a full delivery. It is written to a folder of its own; only when that is
+    complete does the name, a view, turn to it. A failing write leaves the old rows as they were, and
+    readers that have begun go on with the folder they know: the one before is kept, older ones go."""
+    spark = df.sparkSession
+    root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}__runs"
+    folder = f"{root}/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    writer = df.write if partition is None else df.write.partitionBy(partition)
+    writer.parquet(folder)
+    columns = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in df.schema.fields)
+    if spark.catalog.tableExists(table) and spark.catalog.getTable(table).tableType != "VIEW":
+        spark.sql(f"DROP TABLE {table}")  # of an earlier layout; its rows are all in the new folder's place
+    spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{folder}`")
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for old in sorted(str(f.getPath()) for f in files.listStatus(path))[:-2]:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
 
 
 def merge_window(existing: DataFrame, arrived: DataFrame, day: str | Column, since) -> DataFrame:
@@ -213,7 +267,7 @@ def late_rows(arrived: DataFrame, day: str | Column, since) -> DataFrame:
     return arrived.where((_day(day) < F.lit(since).cast("date")) | _day(day).isNull())
 
 
-def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date) -> None:
+def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date) -> int:
     """Load a delivery that only reaches back to ``since`` without losing older history.
 
     ``day`` is the business date: a date column, or an expression that parses a text one. The table
@@ -221,12 +275,23 @@ def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date)
     delivery alone; the boundary month is rebuilt from its older rows plus the delivery; a month in
     the window that the delivery no longer mentions is dropped. Months before are not touched, so the
     cost follows the window, not the history.
+
+    The delivery is evaluated once, into ``<table>_arrived``. The first load keeps all of it. Later,
+    rows that are older than the window or have no date are added to ``<table>_late``; their number
+    is returned.
     """
     spark, cut = df.sparkSession, F.lit(since).cast("date")
-    arrived = df.where(_day(day) >= cut).select("*", F.date_format(_day(day), "yyyy-MM").alias("_month"))
+    df.withColumn("_month", F.date_format(_day(day), "yyyy-MM")).write.mode("overwrite").format("parquet").saveAsTable(
+        f"{table}_arrived")
+    delivery = spark.table(f"{table}_arrived")
     if not spark.catalog.tableExists(table):
-        arrived.write.format("parquet").partitionBy("_month").saveAsTable(table)
-        return
+        delivery.write.format("parquet").partitionBy("_month").saveAsTable(table)
+        return 0
+    late = late_rows(delivery, day, since)
+    n_late = late.count()
+    if n_late:
+        late.withColumn("_since", cut).write.mode("append").format("parquet").saveAsTable(f"{table}_late")
+    arrived = delivery.where(_day(day) >= cut)
     boundary = since.strftime("%Y-%m")
     kept = spark.table(table).where((F.col("_month") == boundary) & (_day(day) < cut))
     rebuilt = arrived.unionByName(kept)
@@ -234,12 +299,14 @@ def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date)
     present = {r["partition"].removeprefix("_month=")
                for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
     with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        rebuilt.write.insertInto(table, overwrite=True)
-    for gone in sorted(m for m in present - months if m >= boundary):
+        rebuilt.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+    dated = {m for m in present if m[0].isdigit()}  # rows without a date have a partition of their own
+    for gone in sorted(m for m in dated - months if m >= boundary):
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_month = '{gone}')")
+    return n_late
 
 
-def window_writer(day: str | Column, since: dt.date) -> Callable[[DataFrame, str], None]:
+def window_writer(day: str | Column, since: dt.date) -> Callable[[DataFrame, str], int]:
     """A write for :class:`Source` that replaces a window instead of the whole table."""
     return lambda df, table: replace_window(df, table, day, since)
 
@@ -263,28 +330,34 @@ class Source:
     name: str
     read: Callable[[SparkSession, dt.date], DataFrame]
     table: str
-    write: Callable[[DataFrame, str], None] = field(default=replace_snapshot)
+    write: Callable[[DataFrame, str], int | None] = field(default=replace_snapshot)  # returns late rows, if it keeps any aside
+
+
+# The outcomes of a source that raised, by the kind of error. The first that fits counts.
+OUTCOMES = {NotConfigured: "skipped", NotImplementedError: "todo", Exception: "error"}
+
+
+def load(spark: SparkSession, source: Source, since: dt.date) -> tuple[int, int]:
+    """Writes one source as text: rows in its table's delivery and rows set aside as late. Rows are counted
+    while they are written, not by a second scan."""
+    seen = Observation(f"rows_{snake(source.name)}")
+    late = source.write(as_text(source.read(spark, since)).observe(seen, F.count(F.lit(1)).alias("n")), source.table) or 0
+    return seen.get["n"] - late, late
 
 
 def run(spark: SparkSession, sources: list[Source], since: dt.date | None = None,
         audit: str | None = None) -> DataFrame:
-    """Load every source as text and report on each: landed, skipped, todo or error. One failing source
-    does not stop the others. Rows are counted while they are written, not by a second scan."""
-    since = since or default_since()
-    report = []
+    """Load every source and report on each: landed, skipped, todo or error, with the rows that reached
+    its table and those that came late. One failing source does not stop the others."""
+    since, report = since or default_since(), []
     for source in sources:
-        seen = Observation(f"rows_{snake(source.name)}")
+        counts, message, status = (None, None), None, "landed"
         try:
-            df = as_text(source.read(spark, since)).observe(seen, F.count(F.lit(1)).alias("n"))
-            source.write(df, source.table)
-            outcome = ("landed", seen.get["n"], None)
-        except NotConfigured as e:
-            outcome = ("skipped", None, str(e))
-        except NotImplementedError as e:
-            outcome = ("todo", None, str(e))
-        except Exception as e:  # noqa: BLE001 - reported, and the run goes on
-            outcome = ("error", None, f"{type(e).__name__}: {e}")
-        report.append((source.name, *outcome, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
+            counts = load(spark, source, since)
+        except Exception as problem:  # noqa: BLE001 - it becomes a row of the report
+            status = next(word for kind, word in OUTCOMES.items() if isinstance(problem, kind))
+            message = f"{type(problem).__name__}: {problem}"
+        report.append((source.name, status, *counts, message, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)))
     rows = spark.createDataFrame(report, AUDIT_SCHEMA)
     if audit:
         rows.write.mode("append").format("parquet").saveAsTable(audit)

@@ -30,7 +30,7 @@ def load_seed(spark: SparkSession, folder: str, name: str, check: bool = True) -
     without a trace, so it fails here."""
     schema, keys = SEEDS[name]
     df = spark.read.schema(schema).option("header", True).option("enforceSchema", False) \
-        .option("mode", "FAILFAST").csv(f"{folder.rstrip('/')}/{name}.csv")
+        .option("mode", "FAILFAST").option("escape", '"').option("multiLine", True).csv(f"{folder.rstrip('/')}/{name}.csv")
     if check:
         checks.expect_empty(checks.duplicates(df, keys), f"duplicate keys in {name}")
     return df

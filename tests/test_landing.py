@@ -34,8 +34,52 @@ def test_land_csv_keeps_text(spark, tmp_path):
     assert rows(df) == [{"record_no": "007", "date_col": "two\nlines"}, {"record_no": "8", "date_col": None}]
 
 
+def in_splits(spark, path, split_bytes):
+    """Columns and sorted rows, by the split reader with pieces of that size."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        df = landing.read_text(spark, str(path), splits=True)
+        return df.columns, sorted(tuple(r) for r in df.na.fill("").collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+STRAY = 'id,note,qty\n1,plain,1\n2,6" pipe,2\n3,"two\nlines, 5"" wide",3\n4,a"b"c,4\n5,"say ""hi""\n"",x",5\n6,"ab"cd,6\n7,last,7\n'
+
+
+@pytest.mark.parametrize("split_bytes", [7, 25, 60, 1 << 20])
+@pytest.mark.parametrize("text", [STRAY, STRAY.replace("id,", '"te\nxt",'), STRAY.replace("\n", "\r\n"), "a,b\n1,2\n"])
+def test_both_readers_agree(spark, tmp_path, text, split_bytes):
+    path = put(tmp_path, "f.csv", "")
+    path.write_bytes(text.encode())
+    df = landing.read_text(spark, str(path))
+    columns, got = in_splits(spark, path, split_bytes)
+    assert columns == df.columns
+    whole = sorted(tuple(r) for r in df.na.fill("").collect())
+    assert got == whole and len(got) == (7 if "last" in text else 1)
+
+
+def test_split_reader_fails_loudly(spark, tmp_path):
+    for name, text, message in (("open", 'a,b\n1,"never closed\n2,x\n', "never closed"), ("cr", "a,b\r1,2\r3,4\r", "carriage")):
+        path = put(tmp_path, f"{name}.csv", "")
+        path.write_bytes(text.encode())
+        with pytest.raises(PySparkException, match=message):
+            landing.read_text(spark, str(path), splits=True).collect()
+
+
+def test_two_files_of_one_table(spark, tmp_path):
+    put(tmp_path / "Shop", "Line Items.csv", "A,B\n1,2\n")
+    put(tmp_path / "Shop", "line_items.csv", "B,A\n4,3\n")
+    assert rows(landing.land_csv(spark, str(tmp_path))["shop__line_items"]) == [{"a": "1", "b": "2"}, {"a": "3", "b": "4"}]
+    put(tmp_path / "Shop", "LINE ITEMS.csv", "A\n9\n")
+    with pytest.raises(landing.MissingColumns, match="shop__line_items"):
+        landing.land_csv(spark, str(tmp_path))
+
+
 @pytest.mark.parametrize("split_bytes", [40, 300, 1 << 20])
-def test_large_file_is_read_in_splits(spark, tmp_path, monkeypatch, split_bytes):
+def test_large_file_is_read_in_splits(spark, tmp_path, split_bytes):
     rng = random.Random(split_bytes)
     parts = ["plain", "two\nlines", "", 'say "hi"', "a,b", "x\n\n\ny\n", "x" * 90, 'q"\n"q', "wide\r\nbreak"]
     wanted = [(str(i), rng.choice(parts), rng.choice(parts)) for i in range(400)]
@@ -46,16 +90,8 @@ def test_large_file_is_read_in_splits(spark, tmp_path, monkeypatch, split_bytes)
     path = put(tmp_path, "big.csv", "")
     path.write_bytes(out.getvalue().encode("utf-8-sig"))
     whole = sorted(tuple(r) for r in landing.read_text(spark, str(path)).na.fill("").collect())
-    monkeypatch.setattr(landing, "ONE_TASK_BYTES", 0)
-    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
-    spark.conf.set("spark.sql.files.openCostInBytes", 1)
-    try:
-        df = landing.read_text(spark, str(path), length=1)
-        assert df.columns == ["Id", "Free Text", "More"]
-        got = sorted(tuple(r) for r in df.na.fill("").collect())
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-        spark.conf.unset("spark.sql.files.openCostInBytes")
+    columns, got = in_splits(spark, path, split_bytes)
+    assert columns == ["Id", "Free Text", "More"]
     assert got == whole and len(got) == 400
     if split_bytes != 300:
         assert got == sorted(wanted)
@@ -81,6 +117,18 @@ def test_json_pages(spark, tmp_path):
     assert rows(flat) == [{"n": "1", "deep": "x"}, {"n": "2", "deep": None}, {"n": "3", "deep": None}]
 
 
+def test_json_pages_that_are_not_pages(spark, tmp_path):
+    for k, text in enumerate(('{"data": [{"id": 1}', '{"data": {"id": 1}}', "<html>")):
+        put(tmp_path / str(k), "1.json", text)
+        with pytest.raises(PySparkException, match="not a page"):
+            extracts.flatten_json(landing.read_pages(spark, str(tmp_path / str(k))), "value", {"n": "id"}).collect()
+    put(tmp_path / "none", "1.json", '{"error": "late"}')
+    put(tmp_path / "none", "2.json", '{"data": []}')
+    pages = landing.read_pages(spark, str(tmp_path / "none"))
+    assert extracts.flatten_json(pages, "value", {"n": "id"}).count() == 0
+    assert rows(extracts.pages_without_data(pages, "value")) == [{"row_count": 1}]
+
+
 def test_xml_pages(spark, tmp_path):
     page = ("<response><result><status>{s}</status>{e}<data numremaining='0'><gldetail><RECORDNO>1</RECORDNO>"
             "<AMOUNT>2.50</AMOUNT></gldetail>{more}</data></result></response>")
@@ -141,9 +189,36 @@ def test_window_of_a_text_date(spark):
                              since)
         assert report.first()["status"] == "landed", report.first()["message"]
     got = [r["work_date"] for r in rows(spark.table("text_window"))]
-    # the first load keeps what its window covers, the second replaces that
-    assert got == ["01-Apr-2025", "12-Mar-2025"]
+    # the first load keeps all it was given, the second replaces what its window covers
+    assert got == ["01-Apr-2025", "01-Jan-2025", "09-Mar-2025", "12-Mar-2025"]
+
+
+def test_window_loads_account_for_every_row(spark):
+    since, table = dt.date(2025, 3, 10), "window_rows"
+
+    def load(*said):
+        rows_in = [(None if d is None else dt.date(*d), v) for d, v in said]
+        source = landing.Source("w", lambda s, _: s.createDataFrame(rows_in, "day date, v string"), table,
+                                landing.window_writer(F.to_date("day"), since))
+        return landing.run(spark, [source], since).first()
+
+    first = load(((2025, 1, 5), "old"), (None, "undated"), ((2025, 3, 20), "in"))
+    assert (first["status"], first["row_count"], first["late_rows"]) == ("landed", 3, 0), first["message"]
+    assert sorted(r["v"] for r in spark.table(table).collect()) == ["in", "old", "undated"]
+    again = load(((2025, 1, 6), "late"), (None, "undated too"), ((2025, 3, 21), "new"))
+    assert (again["status"], again["row_count"], again["late_rows"]) == ("landed", 1, 2), again["message"]
+    assert sorted(r["v"] for r in spark.table(table).collect()) == ["new", "old", "undated"]
+    assert sorted(r["v"] for r in spark.table(f"{table}_late").collect()) == ["late", "undated too"]
+
 
+def test_failing_snapshot_leaves_the_old_rows(spark):
+    for n in range(4):
+        landing.replace_snapshot(spark.range(n + 1).withColumn("m", F.lit("2025-01-01")), "kept_rows", "m")
+    bad = spark.range(100).select(F.when(F.col("id") > 90, F.raise_error(F.lit("bad value"))).otherwise(F.col("id")).alias("id"),
+                                  F.lit("2025-01-01").alias("m"))
+    with pytest.raises(PySparkException, match="bad value"):
+        landing.replace_snapshot(bad, "kept_rows", "m")
+    assert spark.table("kept_rows").count() == 4 and dict(spark.table("kept_rows").dtypes)["m"] == "string"
 
 def test_merge_window(spark):
     old = days(spark, ((2025, 1, 5), "old"), ((2025, 3, 5), "replaced"))
@@ -184,6 +259,9 @@ def test_seeds(spark, tmp_path):
     loaded = seeds.load_seeds(spark, folder)
     assert dict(loaded["gl_account_map"].dtypes)["account_no"] == "string"
     assert loaded["ukg_earning_map"].where("earning_code = 'OT'").first()["pay_multiplier"] == 1.5
+    jobs = tmp_path / "seeds" / "ukg_job_map.csv"
+    jobs.write_text(jobs.read_text() + '"X9","say ""hi"", you","Other",false\n')
+    assert seeds.load_seed(spark, folder, "ukg_job_map").where("job_code = 'X9'").first()["job_title"] == 'say "hi", you'
     crosswalk = tmp_path / "seeds" / "location_crosswalk.csv"
     crosswalk.write_text(crosswalk.read_text() + "ukg,U1,2\n")
     with pytest.raises(checks.CheckFailed, match="location_crosswalk"):
