@@ -115,7 +115,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> tuple[dict[int,
     prior = min(0.5, max(0.001, share["toxic"] / share["n"]))
     place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     toxic = known.where((F.col("toxic") == 1) & (place < MAX_POSITIVES / share["toxic"])).select("doc_id")
-    sample = rows.join(toxic, "doc_id").select("text", F.lit(True).alias("positive")).unionByName(
+    # about MAX_POSITIVES ids at most, whatever the size of the tables
+    sample = rows.join(F.broadcast(toxic), "doc_id").select("text", F.lit(True).alias("positive")).unionByName(
         rows.where(place < MAX_UNLABELLED / n_rows).select("text", F.lit(False).alias("positive")))
     feats = settled(sample.mapInPandas(_featured, "positive boolean, feats array<int>"))
     n_pos, n_unl = (feats.where(F.col("positive") == side).count() for side in (True, False))
