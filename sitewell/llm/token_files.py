@@ -64,7 +64,7 @@ class PartEncoder:
         out: list[bytes] = []
         for start in range(0, len(parts), 2000):
             some = [" " + p for p in parts[start:start + 2000]]
-            ids = np.array(self.tokenizer.encode("".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             ends = np.cumsum([len(p.encode()) for p in some])
             cuts = np.searchsorted(np.cumsum(self.length[ids]), ends) + 1
             raw = ids.tobytes()
