@@ -53,17 +53,19 @@ def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, l
     return reduce(DataFrame.unionByName, kinds)
 
 
+# Feeds beside the practice systems, and the system and column that name the site.
+BUSINESS_SITES = {"ukg__timecards": ("ukg", "org_level1"), "sage_intacct__gl_detail": ("sage_intacct", "locationid"),
+                  "inventory__usage": ("inventory", "site_code"),
+                  "marketing__channel_performance": ("marketing", "site_slug"),
+                  "windsor__facebook_ads": ("windsor_facebook", "account_id")}
+
+
 def site_keys(lines: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
     """(source_system, source_location) of every row that carries a site: the gathered practice
     lines, and the business feeds present in ``raw``."""
-    # Feeds beside the practice systems, and the column that names the site.
-    business = {"ukg__timecards": ("ukg", "org_level1"), "sage_intacct__gl_detail": ("sage_intacct", "locationid"),
-                "inventory__usage": ("inventory", "site_code"),
-                "marketing__channel_performance": ("marketing", "site_slug"),
-                "windsor__facebook_ads": ("windsor_facebook", "account_id")}
     parts = [lines.select("source_system", "source_location")]
     parts += [raw[t].select(F.lit(system).alias("source_system"), F.col(c).alias("source_location"))
-              for t, (system, c) in business.items() if t in raw]
+              for t, (system, c) in BUSINESS_SITES.items() if t in raw]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -114,6 +116,11 @@ def missing_sides(recon_full: DataFrame) -> DataFrame:
         F.count_if(F.col("ops_source").isNull()).alias("without_operations"))
 
 
+def strangers(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """(key, row_count) of the values of ``key`` that ``known`` does not have, counted before the join."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).join(known.select(key).distinct(), key, "left_anti")
+
+
 def expect_empty(findings: DataFrame, name: str, sample: int = 5) -> None:
     """Fail with a few example rows if a check found anything. The sample only illustrates the
     message; the count is of all findings."""

@@ -57,8 +57,10 @@ def open_dental_payments(payments: DataFrame, claim_payments: DataFrame, since)
     return patient.unionByName(insurer)
 
 
-def open_dental_providers(providers: DataFrame) -> DataFrame:
-    return providers.where(F.col("IsHidden") == 0).select("ProvNum", "IsSecondary")
+def open_dental_providers(providers: DataFrame, office: str | None = None) -> DataFrame:
+    """Providers that are shown; ``office`` names the column that holds the office, if rows carry it."""
+    stamp = [] if office is None else [F.col(office).alias("ClinicNum")]
+    return providers.where(F.col("IsHidden") == 0).select("ProvNum", "IsSecondary", *stamp)
 
 
 def stamped(offices: dict[str, DataFrame], name: str = "ClinicNum") -> DataFrame:

@@ -42,7 +42,8 @@ def as_rows(mart: DataFrame, leave_out: list[str], first_test_key: int | None =
 
 
 def site_rows(locations: DataFrame) -> DataFrame:
-    return without_test_sites(locations).select("location_key", "location_name", "region", "specialty", "pms_system")
+    return without_test_sites(locations).select(
+        "location_key", "location_name", "region", "specialty", "operatories", "pms_system")
 
 
 def chunked(df: DataFrame, span: int = SPAN, month: str = "month") -> DataFrame:

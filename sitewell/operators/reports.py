@@ -87,9 +87,10 @@ def site_ratios(scorecard: DataFrame) -> DataFrame:
                                                        for name, (top, bottom) in RATIOS.items()])
 
 
-def alerts(ratios: DataFrame, deviations: float = 2.0, limits: dict[str, float] | None = None) -> DataFrame:
+def alerts(ratios: DataFrame, deviations: float = 2.0, limits: dict[str, float] | None = None,
+           floors: dict[str, float] | None = None) -> DataFrame:
     """Site-months whose ratio lies ``deviations`` standard deviations from the month's mean over
-    all sites, or beyond a fixed limit given per ratio.
+    all sites, above a fixed limit or below a fixed floor given per ratio.
 
     The mean and deviation of a month come from an aggregate that is joined back, not from a window
     over the month, so no task holds all sites of a month.
@@ -97,9 +98,12 @@ def alerts(ratios: DataFrame, deviations: float = 2.0, limits: dict[str, float]
     names = list(RATIOS)
     long = ratios.unpivot(["location_key", "month"], names, "metric", "value").where(F.col("value").isNotNull())
     norm = long.groupBy("month", "metric").agg(F.avg("value").alias("mean"), F.stddev("value").alias("deviation"))
-    limit = exprs.per_system("metric", {m: F.lit(float(v)) for m, v in limits.items()}) if limits \
-        else F.lit(None).cast("double")
+    def fixed(values: dict[str, float] | None) -> Column:
+        return exprs.per_system("metric", {m: F.lit(float(v)) for m, v in values.items()}) if values \
+            else F.lit(None).cast("double")
+
     score = exprs.ratio(F.col("value") - F.col("mean"), "deviation")
     scored = long.join(norm, ["month", "metric"]).select(
-        "location_key", "month", "metric", "value", "mean", score.alias("score"), limit.alias("limit"))
-    return scored.where((F.abs("score") > deviations) | (F.col("value") > F.col("limit")))
+        "location_key", "month", "metric", "value", "mean", score.alias("score"), fixed(limits).alias("limit"),
+        fixed(floors).alias("floor"))
+    return scored.where((F.abs("score") > deviations) | (F.col("value") > F.col("limit")) | (F.col("value") < F.col("floor")))

@@ -7,6 +7,7 @@ whole tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from sitewell.functions import exprs
 from sitewell.functions.exprs import doubles
 from sitewell.operators import checks, conform, extracts, marts, publish, reports, staging, translate
 from sitewell.plans import sample_feeds as feeds
+from sitewell.plans import warehouse
 from sitewell.plans.registered_sql import MONTH, bigint, doubled, select
 from sitewell.plans.sample_feeds import Sample, code_of, money, table
 from sitewell.sources import landing
@@ -225,15 +227,14 @@ def od_payments(spark, folder):
            r_name AS "ClinicNum" FROM supplier JOIN nation ON n_nationkey = s_nationkey
     JOIN region ON r_regionkey = n_regionkey WHERE s_acctbal >= 0""")
 def od_providers(spark, folder):
-    # one provider table per region, each stamped with the region as its office code
-    nation = table(spark, folder, "nation")
-    supplier = table(spark, folder, "supplier").join(nation, F.col("n_nationkey") == F.col("s_nationkey")).select(
-        "n_regionkey", F.col("s_suppkey").alias("ProvNum"),
+    # each provider carries the office its database belongs to, here the region's name
+    supplier = table(spark, folder, "supplier").join(
+        table(spark, folder, "nation"), F.col("n_nationkey") == F.col("s_nationkey")).join(
+        table(spark, folder, "region"), F.col("r_regionkey") == F.col("n_regionkey")).select(
+        "r_name", F.col("s_suppkey").alias("ProvNum"),
         F.when(F.col("s_acctbal") < feeds.HYGIENIST_BALANCE, 1).otherwise(0).alias("IsSecondary"),
         F.when(F.col("s_acctbal") < 0, 1).otherwise(0).alias("IsHidden"))
-    regions = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
-    return extracts.stamped({r: extracts.open_dental_providers(supplier.where(F.col("n_regionkey") == i))
-                             for i, r in enumerate(regions)})
+    return extracts.open_dental_providers(supplier, office="r_name")
 
 
 @registered("dentrix_extract", """
@@ -461,6 +462,19 @@ def crosswalk_inner(s):
                                                        F.sum(exprs.amount("fee")).alias("gross")))
 
 
+@on_sample("rejects_of_feeds", """
+    SELECT feed, count(*) AS row_count FROM (
+        SELECT unnest(['rejects_timecards', 'rejects_ledger', 'rejects_inventory']) AS feed FROM all_supplied
+        WHERE location_key = 7
+        UNION ALL SELECT 'rejects_marketing' FROM all_events WHERE location_key = 7
+        UNION ALL SELECT 'rejects_daily_ads' FROM all_events WHERE location_key = 7 AND event_type = 'view')
+    GROUP BY ALL""")
+def rejects_of_feeds(s):
+    found = warehouse.business_rejects(s.raw, s.seeds)
+    counts = [found[name].agg(F.lit(name).alias("feed"), F.count(F.lit(1)).alias("row_count")) for name in found]
+    return reduce(DataFrame.unionByName, counts).where("row_count > 0")
+
+
 @on_sample("crosswalk_rejects", """
     SELECT pms_system AS source_system, 'office-7' AS source_location, count(*) AS row_count,
            CAST(sum(gross_production) AS DOUBLE) AS gross FROM all_procedures WHERE location_key = 7 GROUP BY ALL""")
@@ -615,7 +629,8 @@ def reconciliation_full(s):
     SELECT location_key, location_name, region, specialty, month, category, {doubled('opex_amount', 'collections')},
            CAST(opex_amount AS DOUBLE) / nullif(CAST(collections AS DOUBLE), 0) AS pct_of_collections
     FROM (SELECT location_key, month, category, sum(amount) AS opex_amount FROM opex GROUP BY ALL)
-    JOIN sites USING (location_key) LEFT JOIN pay_month USING (location_key, month)""")
+    JOIN sites USING (location_key) LEFT JOIN (SELECT location_key, month, sum(collections) AS collections FROM dated GROUP BY ALL)
+    USING (location_key, month)""")
 def operations_monthly(s):
     return doubles(s.marts["mart_operations_monthly"])
 
@@ -676,8 +691,7 @@ def check_unique(spark, folder):
     SELECT user_id, count(*) AS row_count FROM events WHERE user_id NOT IN (SELECT c_custkey FROM customer) GROUP BY ALL""")
 def check_empty(spark, folder):
     known = table(spark, folder, "customer").select(F.col("c_custkey").alias("user_id"))
-    return table(spark, folder, "events").join(known, "user_id", "left_anti").groupBy("user_id") \
-        .agg(F.count(F.lit(1)).alias("row_count"))
+    return checks.strangers(table(spark, folder, "events"), known, "user_id")
 
 
 @on_sample("check_tolerance", """
@@ -832,6 +846,20 @@ def exclude_test_site(s):
     return publish.as_rows(shown, ["location_name", "region"], first_test_key=20)
 
 
+@on_sample("rows_mix", """
+    SELECT location_key AS location, strftime(month, '%Y-%m') AS month, procedure_category AS cat,
+           round(CAST(gross_production AS DOUBLE), 2) AS prod FROM mix""")
+def rows_mix(s):
+    return doubles(warehouse.row_documents(s.marts)["mix_rows"])
+
+
+@on_sample("rows_locations", """
+    SELECT location_key, location_name, region, specialty, CAST(location_key % 5 + 3 AS INTEGER) AS operatories, pms_system
+    FROM sites WHERE location_key < 99""")
+def rows_locations(s):
+    return publish.site_rows(s.seeds["dim_location"])
+
+
 @on_sample("opex_unpacked", f"""
     SELECT location_key, strftime(month, '%Y-%m') AS month, account_no, account_title, category, source,
            CAST(round(amount) AS DOUBLE) AS amount FROM opex WHERE location_key < 20""")
@@ -910,9 +938,10 @@ def site_ratios(s):
           FROM (UNPIVOT (SELECT location_key, month, {_RATIOS} FROM scorecard)
                 ON {', '.join(reports.RATIOS)} INTO NAME metric VALUE value)
           WINDOW w AS (PARTITION BY month, metric))
-    WHERE abs((value - mean) / nullif(deviation, 0)) > 2.5 OR (metric = 'no_show_rate' AND value > 0.8)""")
+    WHERE abs((value - mean) / nullif(deviation, 0)) > 2.5 OR (metric = 'no_show_rate' AND value > 0.8)
+          OR (metric = 'collection_rate' AND value < 0.2)""")
 def alerts(s):
     ratios = publish.settled(reports.site_ratios(s.marts["mart_location_monthly"]))
-    found = reports.alerts(ratios, 2.5, {"no_show_rate": 0.8})
+    found = reports.alerts(ratios, 2.5, {"no_show_rate": 0.8}, {"collection_rate": 0.2})
     return found.select("location_key", "month", "metric", F.round("value", 6).alias("value"),
                         F.round("mean", 6).alias("mean"), F.round("score", 4).alias("score"))

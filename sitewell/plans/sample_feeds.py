@@ -211,7 +211,7 @@ def locations(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").cast("int").alias("location_key"), F.col("n_name").alias("location_name"),
         F.col("r_name").alias("region"), F.lit("General").alias("specialty"),
-        system_of("n_nationkey").alias("pms_system"))
+        (F.col("n_nationkey") % 5 + 3).cast("int").alias("operatories"), system_of("n_nationkey").alias("pms_system"))
 
 
 def procedure_map(spark: SparkSession, folder: str) -> DataFrame:

@@ -78,6 +78,47 @@ def rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Dat
     return rejected_rows(conform.gather(raw, "lines"), seeds["location_crosswalk"])
 
 
+# The tables of rejected rows of the feeds beside the practice systems.
+REJECT_TABLES = {"ukg__timecards": "rejects_timecards", "sage_intacct__gl_detail": "rejects_ledger",
+                 "inventory__usage": "rejects_inventory", "marketing__channel_performance": "rejects_marketing",
+                 DAILY_ADS: "rejects_daily_ads"}
+
+
+def business_rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Frames:
+    """Rows of every other feed, as delivered, whose site the crosswalk does not know; lazily, by table."""
+    def of(feed: str) -> DataFrame:
+        system, site = checks.BUSINESS_SITES[feed]
+        known = seeds["location_crosswalk"].where(F.col("source_system") == system).select(F.col("source_location").alias("_site"))
+        return raw[feed].join(known, F.col(site) == F.col("_site"), "left_anti")
+
+    return Frames({name: lambda feed=feed: of(feed) for feed, name in REJECT_TABLES.items() if feed in raw})
+
+
+def all_rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Frames:
+    """What staging leaves out, by table: rows in = rows staged + rows here, for each feed."""
+    business = business_rejects(raw, seeds)
+    return Frames({
+        "rejects_location": lambda: rejects(raw, seeds),
+        "rejects_payments": lambda: rejected_rows(conform.gather(raw, "payments"), seeds["location_crosswalk"]),
+        **{name: lambda name=name: business[name] for name in business}})
+
+
+def findings(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], staged: Mapping[str, DataFrame],
+             built: Mapping[str, DataFrame]) -> Frames:
+    """What the checks of overlap and coverage find, by table."""
+    def overlap() -> DataFrame:
+        feed, site, channels = raw["marketing__channel_performance"], seeds["location_crosswalk"], seeds["marketing_channel_map"]
+        return checks.doubled_ads(staging.marketing(feed, site, channels),
+                                  staging.marketing(feed.where(F.lit(False)), site, channels, raw[DAILY_ADS]))
+
+    both = lambda: marts.reconciliation(*[staged[f"stg_{n}"] for n in (
+        "pms_payments", "ukg_labor", "inventory", "marketing", "sage_gl")], full=True)
+    return Frames({
+        **({"doubled_ads": overlap} if DAILY_ADS in raw else {}),
+        "without_visits": lambda: checks.without_visits(built["mart_opex_monthly"], staged["stg_pms_appointments"]),
+        "missing_sides": lambda: checks.missing_sides(both())})
+
+
 def write_layer(frames: Frames, database: str, partition: str | None = "month") -> Frames:
     """Write frames as tables of one database and hand them back as those tables.
 
@@ -110,9 +151,11 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str,
     if land:
         raw = write_layer(Frames({name: lambda df=df: df for name, df in raw.items()}), "raw", None)
     staged = write_layer(stage(raw, seeds), "staging")
-    found = write_layer(Frames({"rejects_location": lambda: rejects(raw, seeds),
+    left_out = all_rejects(raw, seeds)
+    found = write_layer(Frames({**{name: lambda name=name: left_out[name] for name in left_out},
                                 "dq_unmapped": lambda: find_problems(raw, seeds, staged, strict)}), "staging", None)
     built = write_layer(build_marts(staged, seeds), "marts", None)
+    write_layer(findings(raw, seeds, staged, built), "staging", None)
     if documents:
         counts = publish.source_counts(publish.table_counts(raw), publish.source_group())
         facts = {**columnar_documents(staged, built), **row_documents(built)}
@@ -137,14 +180,23 @@ def columnar_documents(staged: Mapping[str, DataFrame], built: Mapping[str, Data
 
 def row_documents(built: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The same marts one JSON object per row, amounts in cents, under names ending in _rows."""
-    return {f"{name}_rows": publish.as_rows(built[mart], drop) for name, mart, drop in (
+    rows = {name: publish.as_rows(built[mart], drop) for name, mart, drop in (
         ("monthly", "mart_location_monthly", ["location_name", "region", "specialty", "pms_system"]),
-        ("channels", "mart_marketing_channel_monthly", []), ("mix", "mart_procedure_mix", []),
-        ("opex", "mart_opex_monthly", []), ("recon", "mart_reconciliation", []))}
-
-
-def verify(built: Mapping[str, DataFrame], unmapped: DataFrame, tolerance: float = 0.01) -> None:
-    """The tests a build must pass before its numbers are trusted."""
+        ("channels", "mart_marketing_channel_monthly", ["sessions"]), ("mix", "mart_procedure_mix", []),
+        ("opex", "mart_opex_monthly", []), ("recon", "mart_reconciliation", ["variance", "variance_pct"]))}
+    rows["mix"] = rows["mix"].select(F.col("location_key").alias("location"), "month",
+                                     F.col("procedure_category").alias("cat"), F.col("gross_production").alias("prod"))
+    return {f"{name}_rows": df for name, df in rows.items()}
+
+
+def verify(built: Mapping[str, DataFrame], unmapped: DataFrame, tolerance: float = 0.01,
+           found: Mapping[str, DataFrame] | None = None) -> None:
+    """The tests a build must pass before its numbers are trusted. ``found`` holds the tables of
+    :func:`findings`: ad spend that both feeds carry, and sites with costs but no visits, fail a build;
+    sides that reconciliation lacks are for reading."""
+    for name in ("doubled_ads", "without_visits"):
+        if found is not None and name in found:
+            checks.expect_empty(found[name], name.replace("_", " "))
     checks.expect_empty(unmapped, "unmapped values")
     scorecard = built["mart_location_monthly"]
     checks.expect_empty(checks.nulls(scorecard, ["location_key", "month", "collections"]), "nulls in the scorecard")

@@ -264,6 +264,12 @@ def test_build_writes_everything(spark, tmp_path):
     assert timecards.count() == 5 and {t for _, t in timecards.dtypes} == {"string"}
     assert spark.table("staging.stg_pms_procedures").count() == 20
     assert spark.table("staging.rejects_location").count() == 1
+    left_out = warehouse.all_rejects(raw, maps)
+    assert {t.name for t in spark.catalog.listTables("staging")} >= {*left_out, "without_visits", "missing_sides"}
+    for name, (feed, subject) in {"rejects_timecards": ("ukg__timecards", "stg_ukg_labor"),
+                                  "rejects_inventory": ("inventory__usage", "stg_inventory"),
+                                  "rejects_ledger": ("sage_intacct__gl_detail", "stg_sage_gl")}.items():
+        assert raw[feed].count() == spark.table(f"staging.{subject}").count() + spark.table(f"staging.{name}").count(), name
     assert (tmp_path / "docs" / "monthly" / "_SUCCESS").exists()
     sources = {r["source"]: r["n"] for r in spark.read.json(str(tmp_path / "docs" / "sources")).collect()}
     assert sources["Practice management"] == 20 and sources["UKG"] == 5
@@ -304,6 +310,8 @@ def test_alerts_flag_planted_site(spark):
     assert found == {(20, "collection_rate"), (20, "labor_share")}
     limited = reports.alerts(ratios, 99.0, {"cost_per_booked_visit": 39.0})
     assert limited.count() == 20
+    low = reports.alerts(ratios, 99.0, floors={"collection_rate": 0.6})
+    assert {r["metric"] for r in low.collect()} == {"collection_rate"}
 
 
 def test_hot_site_and_code(spark, group):
