@@ -172,7 +172,7 @@ def source_counts(spark, folder):
     UNION ALL SELECT 'Inventory', count(*) FROM all_supplied
     UNION ALL SELECT 'Marketing / websites', count(*) + count(*) FILTER (event_type = 'view') FROM all_events""")
 def raw_source_counts(s):
-    tables = {**feeds.vendor_tables(s.practice["lines"], "lines"), **s.raw, "pms_x__payments": s.practice["payments"]}
+    tables = {**feeds.vendor_tables(publish.settled(s.practice["lines"]), "lines"), **s.raw, "pms_x__payments": s.practice["payments"]}
     return publish.source_counts(publish.table_counts(tables), publish.source_group())
 
 
@@ -447,7 +447,7 @@ def stg_pms_procedures(s):
 def conform_union(spark, folder):
     # through the seven vendor-named tables, one projection each
     s = Sample(spark, folder)
-    raw = feeds.vendor_tables(s.practice["lines"], "lines") | feeds.vendor_tables(s.practice["providers"], "providers")
+    raw = feeds.vendor_tables(publish.settled(s.practice["lines"]), "lines") | feeds.vendor_tables(publish.settled(s.practice["providers"]), "providers")
     conformed = conform.conform_lines(conform.gather(raw, "lines"), conform.gather(raw, "providers"))
     return doubles(conformed.groupBy(F.col("source_system").alias("pms_system"), "status", "provider_type").agg(
         F.count(F.lit(1)).alias("n"), F.sum("fee").alias("gross"), F.sum("writeoff").alias("adjustments"),
@@ -524,7 +524,7 @@ def payments_by_payer(s):
     SELECT pms_system, CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'Insurance' ELSE 'Patient' END AS payer,
            count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount, min(day) AS first_day FROM visit_orders GROUP BY ALL""")
 def payments_union(spark, folder):
-    raw = feeds.vendor_tables(feeds.payment_rows(spark, folder), "payments")
+    raw = feeds.vendor_tables(publish.settled(feeds.payment_rows(spark, folder)), "payments")
     paid = conform.conform_payments(conform.gather(raw, "payments"))
     return doubles(paid.groupBy(F.col("source_system").alias("pms_system"), "payer").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount"), F.min("paid_date").alias("first_day")))

@@ -41,3 +41,13 @@ def test_scorecard_reads_each_feed_once(spark):
     text = plan(spark, "scorecard_monthly")
     # lines twice as practice lines would be wrong: once each as procedures, timecards, ledger and supplies
     assert text.count("lineitem.parquet") == 4 and text.count("events.parquet") == 2
+
+
+@pytest.mark.parametrize("name", ["conform_union", "payments_union", "raw_source_counts"])
+def test_feeds_of_seven_systems_join_lines_once(spark, name):
+    """The gathered feed is written once and split by system afterwards, without another join of facts."""
+    assert "lineitem.parquet" not in plan(spark, name) or plan(spark, name).count("SortMergeJoin [l_orderkey") <= 1
+
+
+def test_one_scan_of_providers(spark):
+    assert plan(spark, "od_providers").count("supplier.parquet") == 1
