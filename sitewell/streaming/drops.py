@@ -2,31 +2,43 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from sitewell.functions.names import snake
+from sitewell.functions.names import normalize_columns
+from sitewell.sources import landing
+
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
+
+def watch(spark: SparkSession, folder: str, pattern: str = "*.csv", files_per_batch: int = 1000) -> DataFrame:
+    """Stream of a drop folder's new files, by path. Contents are not read."""
+    return (spark.readStream.format("binaryFile").schema(LISTING).option("pathGlobFilter", pattern)
+            .option("maxFilesPerTrigger", files_per_batch).load(folder).select("path"))
 
 
-def watch(spark: SparkSession, folder: str, columns: list[str], pattern: str = "*.csv",
-          quoted_newlines: bool = True, files_per_batch: int = 1000) -> DataFrame:
-    """Stream of a drop folder's rows, all text under normalized names, with the file they came from."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
-            .option("multiLine", quoted_newlines).option("escape", '"').option("pathGlobFilter", pattern)
-            .option("maxFilesPerTrigger", files_per_batch).csv(folder))
-    return rows.select(*[F.col(f"`{c}`").alias(snake(c)) for c in columns],
-                       F.col("_metadata.file_path").alias("_file"))
+def read_files(spark: SparkSession, paths: list[str], columns: list[str], quoted_newlines: bool = True,
+               splits: bool = False) -> DataFrame:
+    """The rows of these files, all text under normalized names, with the file they came from. Columns are
+    taken by name: others are ignored, their order does not matter, and an absent one fails."""
+    parts = [normalize_columns(landing.required(landing.read_text(spark, p, quoted_newlines, splits), columns, p))
+             .withColumn("_file", F.lit(p)) for p in paths]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def land(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Append what has arrived to a raw table and stop. The batch number is a partition that a
-    repeated batch overwrites, so a restart after a failure adds nothing twice."""
+def land(files: DataFrame, columns: list[str], path: str, checkpoint: str, quoted_newlines: bool = True,
+         splits: bool = False) -> StreamingQuery:
+    """Append the rows of what has arrived to a raw table and stop. The batch number is a partition that a
+    repeated batch overwrites, so a restart after a failure adds nothing twice. With ``splits`` large
+    files are read in pieces, see landing.read_text."""
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("_batch", F.lit(number)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
+        paths = sorted(r["path"] for r in batch.collect())  # as many as a batch has files
+        if paths:
+            read_files(batch.sparkSession, paths, columns, quoted_newlines, splits).withColumn("_batch", F.lit(number)) \
+                .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(path)
 
-    return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -268,17 +268,18 @@ def test_seeds(spark, tmp_path):
         seeds.load_seed(spark, folder, "location_crosswalk")
 
 
-def test_stream_lands_each_file_once(spark, tmp_path):
+@pytest.mark.parametrize("splits", [False, True])
+def test_stream_lands_each_file_once(spark, tmp_path, splits):
     drop, out, mark = tmp_path / "drop", str(tmp_path / "out"), str(tmp_path / "mark")
 
     def catch_up():
-        drops.land(drops.watch(spark, str(drop), ["Item Number", "Qty"]), out, mark).awaitTermination()
+        drops.land(drops.watch(spark, str(drop)), ["Item Number", "Qty"], out, mark, splits=splits).awaitTermination()
         return rows(spark.read.parquet(out).select("item_number", "qty"))
 
     put(drop, "a.csv", "Item Number,Qty\n1,10\n")
     assert catch_up() == [{"item_number": "1", "qty": "10"}]
     assert len(catch_up()) == 1
-    put(drop, "b.csv", "Item Number,Qty\n2,20\n")
+    put(drop, "b.csv", "Extra,Qty,Item Number\nx,20,2\n")  # more columns, in another order
     assert [r["qty"] for r in catch_up()] == ["10", "20"]
 
 
