@@ -3,7 +3,7 @@
 Documents are encoded by a public tokenizer, an end id follows each, and the ids are written in ascending
 order of doc_id. A shard holds up to SHARD_IDS ids (one document at least) and is compressed by Re-Pair:
 pairs of neighbouring symbols that occur MIN_COUNT times or more are replaced by new symbols, again and
-again. It stores the rules, how many ids each symbol of the remaining sequence stands for, and where its
+again, until little is gained. It stores the rules, how many ids each symbol of the remaining sequence stands for, and where its
 documents begin, so that any document can be decoded alone: its first symbol is found in the running sums of
 expansion lengths, and only symbols that overlap it are expanded.
 
@@ -36,6 +36,7 @@ from sitewell.llm.common import shared_folder, text_of
 MAGIC = 0x5249414752455031
 SHARD_IDS = 1_000_000
 MIN_COUNT = 64
+LEAST_GAIN = 0.001  # a round that shortens the sequence by less is the last
 END_ID = 0
 CACHED_PARTS = 1_000_000
 GROUP_CHARS = 4_000_000
@@ -106,7 +107,7 @@ def re_pair(ids: np.ndarray, first: int, min_count: int = MIN_COUNT) -> tuple[np
         # counts by a small hash rule out most rare pairs before the exact counts
         slot = ((key * np.int64(-7046029254386353131)) >> 44) & 0xFFFFF
         at = np.flatnonzero(np.bincount(slot, minlength=1 << 20)[slot] >= min_count)
-        if not len(at):
+        if len(at) < len(seq) * LEAST_GAIN or not len(at):
             break
         pairs, which, count = np.unique(key[at], return_inverse=True, return_counts=True)
         order = np.empty(len(pairs), dtype=np.int64)
@@ -115,11 +116,14 @@ def re_pair(ids: np.ndarray, first: int, min_count: int = MIN_COUNT) -> tuple[np
         rank = np.full(len(seq) + 1, never)
         rank[at + 1] = np.where(count[which] >= min_count, order[which], never)
         mine = rank[1:-1]  # by the place of a pair's left symbol; one more at either end
-        chosen = (mine < never) & (mine < rank[:-2]) & (mine <= rank[2:])
+        # in a run of one pair every second place is free
+        head = np.maximum.accumulate(np.where(mine != rank[:-2], np.arange(len(mine)), 0))
+        second = (mine == rank[:-2]) & ((np.arange(len(mine)) - head) % 2 == 0)
+        chosen = (mine < never) & ((mine < rank[:-2]) | second) & (mine <= rank[2:])
         used = np.bincount(mine[chosen], minlength=never)
         chosen &= np.append(used, 0)[mine] >= min_count
         left = np.flatnonzero(chosen)
-        if not len(left):
+        if len(left) < len(seq) * LEAST_GAIN:
             break
         kinds, number = np.unique(key[left], return_inverse=True)
         rules.append(np.stack([kinds >> 32, kinds & 0xFFFFFFFF], axis=1))
