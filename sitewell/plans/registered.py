@@ -129,6 +129,17 @@ def window_merge(spark, folder):
         F.count(F.lit(1)).alias("orders"), F.sum("price").alias("total")))
 
 
+@registered("window_accounting", """
+    SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) FILTER (o_orderdate < DATE '2000-06-15') AS kept,
+           count(*) FILTER (o_orderdate >= DATE '2000-06-15') AS replaced,
+           count(*) FILTER (o_orderdate >= DATE '2000-06-15' AND o_orderstatus <> 'F') AS entered,
+           count(*) FILTER (o_orderdate < DATE '2000-06-15' AND o_orderstatus <> 'F') AS late, 0::BIGINT AS undated
+    FROM orders GROUP BY ALL""")
+def window_accounting(spark, folder):
+    old = table(spark, folder, "orders")
+    return landing.window_accounting(old, old.where(F.col("o_orderstatus") != "F"), "o_orderdate", "2000-06-15")
+
+
 @registered("late_rows", """
     SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_orderdate < DATE '2000-06-15' GROUP BY ALL""")
 def late_rows(spark, folder):

@@ -267,6 +267,16 @@ def late_rows(arrived: DataFrame, day: str | Column, since) -> DataFrame:
     return arrived.where((_day(day) < F.lit(since).cast("date")) | _day(day).isNull())
 
 
+def window_accounting(existing: DataFrame, arrived: DataFrame, day: str | Column, since) -> DataFrame:
+    """What a window load does with every row, by month: kept and replaced rows of the table, and rows of
+    the delivery that enter it, come late or have no date."""
+    cut, month = F.lit(since).cast("date"), F.date_format(_day(day), "yyyy-MM").alias("month")
+    old = existing.select(month, F.when(_day(day) >= cut, "replaced").otherwise("kept").alias("fate"))
+    new = arrived.select(month, F.when(_day(day).isNull(), "undated").when(_day(day) < cut, "late").otherwise("entered").alias("fate"))
+    return old.unionByName(new).groupBy("month").agg(*[
+        F.count_if(F.col("fate") == f).alias(f) for f in ("kept", "replaced", "entered", "late", "undated")])
+
+
 def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date) -> int:
     """Load a delivery that only reaches back to ``since`` without losing older history.
 
