@@ -743,19 +743,25 @@ def _arrays(order: str, **columns: str) -> str:
     return ", ".join(_ARRAYS.format(v=v, c=c, order=order) for c, v in columns.items())
 
 
+def _as_published(name: str) -> dict[str, str]:
+    """SQL of a document's measures: decimals as many as it shows, zero for what it never leaves null."""
+    spec = publish.DATASETS[name]
+    value = {c: f"coalesce({c}, 0)" if c in spec.get("zero", []) else c for c in spec["columns"]}
+    return {c: value[c] if scale is None else f"CAST({value[c]} AS DECIMAL(28,{scale}))"
+            for c, scale in spec["columns"].items() if c not in ("month", "week", "location_key")}
+
+
 _CHUNK = """CAST(floor(((year(last) - year(month)) * 12 + month(last) - month(month)) / 6) AS INTEGER) AS chunk"""
 _KEPT_MONTHS = f"(SELECT *, {_CHUNK} FROM {{t}}, (SELECT min(month) AS first, max(month) AS last FROM {{t}} WHERE location_key < 20) WHERE location_key < 20)"
 
 
 @on_sample("pack_monthly", f"""
     SELECT chunk, 0 AS block, {_arrays("s.month, location_key", month="strftime(s.month, '%Y-%m')", location_key='location_key',
-        collections='CAST(collections AS DECIMAL(28,2))', scheduled='scheduled',
-        labor_hours='CAST(labor_hours AS DECIMAL(28,1))', operating_profit='CAST(operating_profit AS DECIMAL(28,2))')}
+        **_as_published("monthly"))}
     FROM {_KEPT_MONTHS.format(t='scorecard')} s GROUP BY chunk""")
 def pack_monthly(s):
     packed = publish.dataset("monthly", publish.settled(s.marts["mart_location_monthly"]), first_test_key=20)
-    shown = ["month", "location_key", "collections", "scheduled", "labor_hours", "operating_profit"]
-    return _joined(packed.select("chunk", "block", *shown), shown)
+    return _joined(packed, list(publish.DATASETS["monthly"]["columns"]))
 
 
 @on_sample("pack_recon", f"""
@@ -779,14 +785,12 @@ def pack_mix(s):
 
 @on_sample("pack_weekly", f"""
     SELECT 0 AS chunk, 0 AS block, {_arrays("week, location_key", week="strftime(week, '%Y-%m-%d')", location_key='location_key',
-        collections='CAST(coalesce(collections, 0) AS DECIMAL(28,2))', scheduled='scheduled', no_shows='no_shows',
-        labor_hours='CAST(coalesce(labor_hours, 0) AS DECIMAL(28,1))')}
+        **_as_published("weekly"))}
     FROM weekly, (SELECT CAST(date_trunc('week', max(service_date) + 1) AS DATE) - 7 AS last FROM appointments)
     WHERE week IN (last, last - 7, last - 364) AND location_key < 20""")
 def pack_weekly(s):
     weeks = publish.last_full_weeks(s.marts["mart_location_weekly"], s.staged["stg_pms_procedures"])
-    shown = ["week", "location_key", "collections", "scheduled", "no_shows", "labor_hours"]
-    return _joined(publish.dataset("weekly", weeks, first_test_key=20).select("chunk", "block", *shown), shown)
+    return _joined(publish.dataset("weekly", weeks, first_test_key=20), list(publish.DATASETS["weekly"]["columns"]))
 
 
 @on_sample("unpack_rows", """
