@@ -27,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-GROUP_CHARS = 4_000_000
-GROUP_IDS = 1_000_000
+GROUP_CHARS = 2_000_000
+GROUP_IDS = 250_000
 WORDS_PER_QUERY = 25_000
 CACHED_PARTS = 300_000
 CACHED_WORDS = 500_000
