@@ -1,10 +1,10 @@
 """Exact top-k by inner product: a Voronoi join of queries and data.
 
 Both sides are assigned to the nearest of a bounded set of pivots. Per pivot a summary of its data (its
-largest distance, the k + 1 smallest) bounds what the group can score for a query: with x in the group of
-pivot p, q.x lies within |q| * |x - p| of q.p. A query's k-th best score is at least the k-th best of these
-lower bounds, so a data row is copied to a chunk of queries only if its own upper bound reaches that for
-one of them. Each cell, a chunk of queries beside a share of the rows it needs, is solved by one matrix
+largest distance, the smallest of k + 1 different ids) bounds what the group can score for a query: with x in
+the group of pivot p, q.x lies within |q| * |x - p| of q.p. A query's k-th best score is at least the k-th best
+of these lower bounds over other ids than its own, so a data row is copied to a chunk of queries only if its
+own upper bound reaches that for one of them. Each cell, a chunk of queries beside a share of the rows it needs, is solved by one matrix
 product; a window keeps the best k of a query's cells.
 
 Pivots are a sample of at most MAX_PIVOTS vectors, the only thing that is ever gathered whole; every row is
@@ -103,7 +103,10 @@ def _wanted(queries: DataFrame, pivots: np.ndarray, summary: list, k: int, width
     far = np.array([s["far"] for s in summary])
     near = np.full((len(summary), k + 1), np.inf)
     for i, s in enumerate(summary):
-        near[i, :len(s["near"])] = s["near"]
+        near[i, :len(s["near"])] = [x["dist"] for x in s["near"]]
+    # the ids of the flattened `near`, in order, and the place of each
+    named = sorted((x["id"], i * (k + 1) + n) for i, s in enumerate(summary) for n, x in enumerate(s["near"]))
+    ids, places = (np.array([x[c] for x in named], dtype=np.int64) for c in (0, 1))
 
     def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -113,8 +116,12 @@ def _wanted(queries: DataFrame, pivots: np.ndarray, summary: list, k: int, width
             with np.errstate(invalid="ignore"):
                 low = np.where(np.isinf(near)[None], -np.inf, dots[:, :, None] - norm[:, :, None] * near[None])
             low = low.reshape(len(q), -1)
-            # one of the k + 1 best bounds may belong to the query's own row
-            bar = np.partition(low, -(k + 1), axis=1)[:, -(k + 1)][:, None] if low.shape[1] > k else np.full((len(q), 1), -np.inf)
+            # a query's own rows, one in each of any number of groups, are no candidates
+            own = batch["id"].to_numpy(np.int64)
+            first, last = np.searchsorted(ids, own, "left"), np.searchsorted(ids, own, "right")
+            for i in np.flatnonzero(last > first):
+                low[i, places[first[i]:last[i]]] = -np.inf
+            bar = np.partition(low, -k, axis=1)[:, -k][:, None] if len(low) else np.zeros((0, 1))
             bar = bar - 0.5 - 1e-9 * np.abs(np.where(np.isinf(bar), 0, bar))
             need = dots + norm * far[None] >= bar
             with np.errstate(divide="ignore", invalid="ignore"):
@@ -124,7 +131,7 @@ def _wanted(queries: DataFrame, pivots: np.ndarray, summary: list, k: int, width
                 yield pd.DataFrame({"chunk": batch["chunk"].to_numpy()[i], "grp": groups[j].astype(np.int32),
                                     "least": least[i, j] * (1 - 1e-9) - 1e-6}).groupby(["chunk", "grp"], as_index=False).min()
 
-    found = queries.select("chunk", "v").mapInPandas(wanted, "chunk long, grp int, least double")
+    found = queries.select("chunk", "id", "v").mapInPandas(wanted, "chunk long, grp int, least double")
     return found.groupBy("chunk", "grp").agg(F.min("least").alias("least"))
 
 
@@ -157,12 +164,12 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     width = max(1, size["w"], asked_size)
     pivots = _pivots(data, size["n"], width)
     rows = settled(_assigned(data, pivots, width))
-    # k + 1 smallest distances per group: first of each share of the group, then of the shares' results
+    # smallest distances of k + 1 different ids per group: first of each share of the group, then of the shares' results
     shares = F.pmod(F.xxhash64("id"), F.lit(max(1, size["n"] // ROWS_PER_CELL + 1)))
-    nth = lambda *of: F.row_number().over(Window.partitionBy(*of).orderBy("dist"))
-    near = rows.select("grp", "dist", shares.alias("share")).withColumn("nth", nth("grp", "share")).where(
-        F.col("nth") <= k + 1).withColumn("nth", nth("grp")).where(F.col("nth") <= k + 1).groupBy("grp").agg(
-        F.collect_list("dist").alias("near"))
+    nth = lambda *of: F.row_number().over(Window.partitionBy(*of).orderBy("dist", "id"))
+    near = rows.groupBy("grp", "id").agg(F.min("dist").alias("dist")).withColumn("share", shares).withColumn(
+        "nth", nth("grp", "share")).where(F.col("nth") <= k + 1).withColumn("nth", nth("grp")).where(
+        F.col("nth") <= k + 1).groupBy("grp").agg(F.collect_list(F.struct("dist", "id")).alias("near"))
     summary = rows.groupBy("grp").agg(F.max("dist").alias("far")).join(near, "grp").collect()
 
     asked = _assigned(queries.distinct(), pivots, width)

@@ -365,6 +365,23 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert got == sorted(wanted)
 
 
+def test_top_k_of_ids_that_repeat(spark, monkeypatch):
+    """A queried id more often than k, in one group of its own or in several: its rows bound nothing."""
+    far = [[256 * x for x in v] for v in ([90, 0], [0, 90])]
+    monkeypatch.setattr(knn, "_pivots", lambda data, rows, width: np.array([[0, 0], *far], dtype=np.float64))
+    rows = [(i, [i / 64, 1.0]) for i in range(1, 40)] + [(50, [90.0, 0.0])] * 8 + [(100, [0.0, 90.0])] * 7 + [(100, [90.0, 1.0])] * 7
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in knn.query(df).collect())
+    part = [(i, tuple(math.floor(256 * x) for x in v)) for i, v in rows]
+    wanted = []
+    for i, q in {(i, v) for i, v in part if i % 50 == 0}:
+        found = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in part if j != i)[:5]
+        wanted += [(i, k + 1, j, -s) for k, (s, j) in enumerate(found)]
+    assert got == sorted(wanted)
+    alone = df.where("vec_id <> 100")
+    assert sorted(r["vec_id"] for r in knn.query(alone).collect()) == [35, 36, 37, 38, 39]
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (50, [1.0, 2.0])], "vec_id long, embedding array<float>")
     got = sorted(map(tuple, knn.query(df).select("query_id", "rank", "vec_id", "score").collect()))
