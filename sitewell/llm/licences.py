@@ -32,7 +32,7 @@ COMMON = frozenset((
     "but they were one we he she its our your their there which who what when if so do does had been will would more "
     "most than then them other into over after before new time day year people").split())
 
-# Fixed wording of public licence notices; the first of each family are its templates too.
+# Fixed wording of public licence notices; all of a family's are its templates too.
 NOTICES = {
     "MIT": """Released under the MIT License.
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.
@@ -134,7 +134,6 @@ The available seats are shown on the map.
 Details are found in the next chapter.""",
 }
 CLASSES = tuple(NOTICES)
-TEMPLATES_PER_FAMILY = 5
 
 
 def _python_words(text: str) -> list[str]:
@@ -221,8 +220,8 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         "*", once(model.probabilities(F.col("f"))).alias("p")).withColumn(
         "k", F.array_position("p", F.array_max("p")).cast("int") - 1).where(F.col("k") != CLASSES.index(UNKNOWN))
     pairs = [[[" ".join(w[i:i + 2]) for i in range(max(1, len(w) - 1))] for w in (
-        [x for x in _python_words(line) if x in VOCABULARY] for line in NOTICES[c].split("\n")[:TEMPLATES_PER_FAMILY])]
-        for c in CLASSES]
+        [x for x in _python_words(line) if x in VOCABULARY] for line in NOTICES[c].split("\n"))]
+        for c in CLASSES if c != UNKNOWN]  # the last class
     array = lambda values: F.array(*values)
     templates = F.get(array([array([array([F.lit(x) for x in t]) for t in c]) for c in pairs]), F.col("k"))
     own = F.when(F.size("words") < 2, F.col("words")).otherwise(F.array_distinct(_runs(F.col("words"), 2)))

@@ -179,6 +179,14 @@ def test_licences(spark, edges, nothing):
     assert len(found) == planted
 
 
+def test_every_notice_is_confirmed(spark):
+    lines = [(family, line) for family, notices in licences.NOTICES.items() if family != licences.UNKNOWN
+             for line in notices.split("\n")]
+    docs = spark.createDataFrame([(i, line) for i, (_, line) in enumerate(lines)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["family"], r["similarity"], r["confirmed"]) for r in licences.scan(docs, licences.fit(spark)).collect()}
+    assert got == {i: (family, 1.0, True) for i, (family, _) in enumerate(lines)}
+
+
 # --- 5 token files ----------------------------------------------------------------------------------
 
 def test_token_files_round_trip(spark, edges, tmp_path):
