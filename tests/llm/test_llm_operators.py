@@ -319,6 +319,37 @@ def test_lm_base_columns(spark, edges, monkeypatch, top):
     assert all(r["held_out"] == is_held(r["doc_id"], 10) and math.isfinite(r["score"]) and r["score"] < 0 for r in got)
 
 
+def test_lm_learns_from_every_training_document(spark, edges, monkeypatch):
+    seen, trained = [], causal_lm._trained
+
+    def spied(docs, flat, *rest):
+        seen.extend(r["text"] for r in docs.collect())
+        out = trained(docs, flat, *rest)
+        moved.append(not np.array_equal(out, flat))
+        return out
+
+    monkeypatch.setattr(causal_lm, "_trained", spied)
+    for docs in (edges, table(spark, "documents")):
+        seen.clear()
+        moved = []
+        causal_lm.query(docs, BYTE_BPE)
+        assert sorted(seen) == sorted(r["text"] or "" for r in docs.collect() if not is_held(r["doc_id"], 10))
+        assert any(moved)
+
+
+def test_lm_held_out_likelihood(spark, monkeypatch):
+    """Training raises the probability of documents it has not seen, and the score is above the unigram's."""
+    docs = table(spark, "documents")
+
+    def held():
+        row = causal_lm.query(docs, BYTE_BPE).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+        return tuple(row)
+
+    score, base = held()
+    monkeypatch.setattr(causal_lm, "_trained", lambda docs, flat, *rest: flat)
+    assert score > held()[0] and score > base
+
+
 def test_lm_of_nothing(nothing):
     assert causal_lm.query(nothing, BYTE_BPE).count() == 0
 
