@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sitewell.llm import bpe, causal_lm, knn, licences, mixing, near_dup, quality, token_files, toxicity, url_filter
+from sitewell.llm import (
+    bpe, causal_lm, knn, licences, mixing, near_dup, quality, token_counts, token_files, toxicity, url_filter)
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
@@ -30,6 +31,8 @@ QUERIES: dict[str, Query] = {
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
     "op10_toxicity": lambda spark, folder: toxicity.query(
         table(spark, folder, "documents"), table(spark, folder, "labels")),
+    "op13_token_counts": lambda spark, folder: token_counts.query(
+        table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
 }
 
 SQL: dict[str, str] = {}
