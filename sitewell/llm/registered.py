@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sitewell.llm import (
-    bpe, causal_lm, knn, licences, mixing, near_dup, quality, token_counts, token_files, toxicity, url_filter)
+    bpe, causal_lm, conversations, knn, licences, mixing, near_dup, quality, token_counts, token_files, toxicity,
+    url_filter)
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
@@ -31,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
     "op10_toxicity": lambda spark, folder: toxicity.query(
         table(spark, folder, "documents"), table(spark, folder, "labels")),
+    "op12_conversation_repair": lambda spark, folder: conversations.query(table(spark, folder, "conversations")),
     "op13_token_counts": lambda spark, folder: token_counts.query(
         table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
 }
@@ -115,3 +117,82 @@ scored AS (
 ranked AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM scored)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+# A best way is kept as one text, twelve digits of its cost and its edits, so that the least text is the
+# cheapest way and of those the one whose edits come first.
+def _led(way: str, cost: str, edit: str) -> str:
+    return f"lpad((left({way}, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || '{edit}' || substr({way}, 13)"
+
+
+def _before_a_row(state: int) -> str:
+    wanted = conversations.MOVES[state, conversations.WANTED[state]]
+    ways = [_led(f"v{state}", "3", "D"), f"CASE WHEN stays THEN {_led(f'v{wanted}', '2 + late', 'R')} END"]
+    ways += [f"CASE WHEN stays AND letter = '{letter}' THEN {_led(f'v{to}', 'late', 'K')} END"
+             for (s, letter), to in conversations.MOVES.items() if s == state]
+    return f"least({', '.join(ways)}) AS b{state}"
+
+
+def _with_inserts(state: int) -> str:
+    one = conversations.MOVES[state, conversations.WANTED[state]]
+    two = conversations.MOVES[one, conversations.WANTED[one]]
+    return f"least(b{state}, {_led(f'b{one}', '2', 'I')}, {_led(f'b{two}', '4', 'II')}) AS v{state}"
+
+
+SQL["op12_conversation_repair"] = rf"""
+WITH RECURSIVE keyed AS (
+    SELECT coalesce(conv_id::VARCHAR, ' ') AS c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations),
+-- crc32 bit by bit: each byte is followed by eight shifts
+hashed AS (
+    SELECT *, xor(list_reduce(flatten(list_transform(string_split(k, ''),
+               lambda x: [ord(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+               lambda acc, e: CASE WHEN e >= 0 THEN xor(acc, e) WHEN acc % 2 = 1 THEN xor(acc // 2, 3988292384) ELSE acc // 2 END,
+               4294967295::BIGINT), 4294967295::BIGINT) % 20 AS fate
+    FROM keyed),
+damaged AS (
+    SELECT c, turn, CASE WHEN fate = 4 THEN 'user' ELSE role END AS role,
+           CASE fate WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+           unnest(range(CASE WHEN fate = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM hashed WHERE fate <> 0),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+marked AS (
+    SELECT *, left(role, 1) AS letter, NOT regexp_matches(text, '[^ 	-]') AS blank,
+           row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen,
+           NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+    FROM numbered),
+found AS (
+    SELECT c, turn, role, text, i, letter, blank, seen AND NOT blank AS duplicate, cut AND NOT seen AND NOT blank AS truncated,
+           NOT seen AND NOT blank AS stays, (cut AND NOT seen AND NOT blank)::INTEGER AS late,
+           lag(letter) OVER (PARTITION BY c ORDER BY i) || letter NOT IN ('su', 'ua', 'au') AS illegal
+    FROM marked),
+ways AS (
+    SELECT c, max(i) + 1 AS i, '000000000000' AS v0, '000000000004II' AS v1, '000000000002I' AS v2, '000000000000' AS v3
+    FROM found GROUP BY c
+    UNION ALL
+    SELECT c, i, {', '.join(_with_inserts(s) for s in conversations.STATES)}
+    FROM (SELECT f.c, f.i, {', '.join(_before_a_row(s) for s in conversations.STATES)}
+          FROM ways w JOIN found f ON f.c = w.c AND f.i = w.i - 1)),
+best AS (SELECT c, left(v0, 12)::BIGINT AS cost, substr(v0, 13) AS audit FROM ways WHERE i = 1),
+edits AS (SELECT c, unnest(string_split(audit, '')) AS edit, unnest(range(len(audit))) AS j FROM best),
+counted AS (
+    SELECT *, count(*) FILTER (edit <> 'I') OVER upto AS i, count(*) FILTER (edit <> 'D') OVER upto AS q
+    FROM edits WINDOW upto AS (PARTITION BY c ORDER BY j)),
+lines AS (
+    SELECT e.c, e.j, e.edit, e.q, f.role, f.text,
+           bool_or(e.q = 1 AND e.edit = 'K' AND f.letter = 's') OVER (PARTITION BY e.c) AS led
+    FROM counted e LEFT JOIN found f ON f.c = e.c AND f.i = e.i WHERE e.edit <> 'D'),
+written AS (
+    SELECT c, sha256(string_agg(CASE WHEN edit = 'K' THEN role WHEN (q - led::INTEGER) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                                || ':' || CASE WHEN edit = 'I' THEN '' ELSE text END, chr(10) ORDER BY j)) AS digest
+    FROM lines GROUP BY c),
+totals AS (
+    SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated, count(*) FILTER (illegal) AS illegal
+    FROM found GROUP BY c)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+       coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, ' ') AS c FROM conversations) o
+LEFT JOIN totals USING (c) LEFT JOIN best USING (c) LEFT JOIN written USING (c)
+"""
