@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sitewell.llm import (
     bpe, causal_lm, conversations, knn, licences, mixing, near_dup, quality, token_counts, token_files, toxicity,
-    url_filter)
+    url_filter, whitening)
 from sitewell.llm.common import table
 
 # Vocabularies are read from the installed package of public tokenizers; other paths can be given to the operators.
@@ -32,6 +32,7 @@ QUERIES: dict[str, Query] = {
     "op9_exact_top_k": lambda spark, folder: knn.query(table(spark, folder, "embeddings")),
     "op10_toxicity": lambda spark, folder: toxicity.query(
         table(spark, folder, "documents"), table(spark, folder, "labels")),
+    "op11_embedding_whitening": lambda spark, folder: whitening.query(table(spark, folder, "embeddings")),
     "op12_conversation_repair": lambda spark, folder: conversations.query(table(spark, folder, "conversations")),
     "op13_token_counts": lambda spark, folder: token_counts.query(
         table(spark, folder, "documents"), public_tokenizers.path(BYTE_TOKENIZER)),
@@ -157,9 +158,11 @@ damaged AS (
     FROM hashed WHERE fate <> 0),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
 marked AS (
-    SELECT *, left(role, 1) AS letter, NOT regexp_matches(text, '[^ 	-]') AS blank,
+    SELECT *, left(role, 1) AS letter, NOT regexp_matches(text, '[^ 	-
+]') AS blank,
            row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 AS seen,
-           NOT regexp_matches(text, '[.!?][ 	-]*\z') AS cut
+           NOT regexp_matches(text, '[.!?][ 	-
+]*\z') AS cut
     FROM numbered),
 found AS (
     SELECT c, turn, role, text, i, letter, blank, seen AND NOT blank AS duplicate, cut AND NOT seen AND NOT blank AS truncated,
