@@ -16,16 +16,39 @@ class CheckFailed(RuntimeError):
     """A check found rows it must not find."""
 
 
-def unmapped_codes(df: DataFrame, kinds: list[tuple[str, str, Column]]) -> DataFrame:
-    """(kind, value, row_count) of the values whose translation fell back to its default. ``kinds``
-    lists (kind, value column, fell back); all are counted in one pass over ``df``."""
+def unmapped_codes(df: DataFrame, kinds: list[tuple[str, str, Column]], by: list[str] | None = None) -> DataFrame:
+    """(kind, value, row_count) of the values whose translation fell back to its default, by further
+    columns if given. ``kinds`` lists (kind, value column, fell back); all are counted in one pass over ``df``."""
+    by = by or []
     found = F.array(*[F.when(marker, F.struct(F.lit(kind).alias("kind"), F.col(value).cast("string").alias("value")))
                       for kind, value, marker in kinds])
     return df.where(reduce(Column.__or__, [F.coalesce(marker, F.lit(False)) for _, _, marker in kinds])) \
-        .select(F.explode(F.array_compact(found)).alias("_f")).groupBy("_f.kind", "_f.value") \
+        .select(*by, F.explode(F.array_compact(found)).alias("_f")).groupBy(*by, "_f.kind", "_f.value") \
         .agg(F.count(F.lit(1)).alias("row_count"))
 
 
+def code_kinds(subject: str, strict: bool = False) -> list[tuple[str, str, Column]]:
+    """What a subject's mapping tables may not recognize: (kind, value column, fell back). ``strict`` adds
+    two kinds that otherwise pass unseen: status words and earning codes nobody mapped."""
+    return {
+        "procedures": [("cdt_code", "cdt_code", F.col("procedure_category") == conform.UNMAPPED_CODE),
+                       *([("status", "pms_system", F.col("status").isNull())] if strict else [])],
+        "labor": [("ukg_job", "job_code", F.col("role") == staging.UNMAPPED_JOB),
+                  *([("ukg_earning", "earning_code", F.col("is_productive").isNull())] if strict else [])],
+        "ledger": [("gl_account", "account_no", F.col("category") == staging.UNMAPPED_ACCOUNT)],
+        "inventory": [("inventory_item", "item_number", F.col("category") == staging.UNMAPPED_ITEM)],
+        "marketing": [("utm_campaign", "campaign", F.col("channel") == staging.OTHER_CHANNEL)],
+    }[subject]
+
+
+def site_findings(unknown: DataFrame) -> DataFrame:
+    """Counted sites of no mapping as findings; a missing site has no text in any system, so all of
+    them count as one value."""
+    return unknown.groupBy(F.lit("location").alias("kind"),
+                           F.concat("source_system", F.lit(" / "), "source_location").alias("value")) \
+        .agg(F.sum("row_count").alias("row_count"))
+
+
 def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, ledger: DataFrame,
                 labor: DataFrame, inventory: DataFrame, marketing: DataFrame,
                 strict: bool = False) -> DataFrame:
@@ -34,23 +57,10 @@ def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, l
     ``sites`` holds (source_system, source_location) of every raw row. ``strict`` adds two kinds
     that otherwise pass unseen: status words and earning codes nobody mapped.
     """
-    # a missing site has no text in any system, so all of them count as one value
-    where = unmapped_sites(sites, crosswalk) \
-        .groupBy(F.lit("location").alias("kind"),
-                 F.concat("source_system", F.lit(" / "), "source_location").alias("value")) \
-        .agg(F.sum("row_count").alias("row_count"))
-    codes = [("cdt_code", "cdt_code", F.col("procedure_category") == conform.UNMAPPED_CODE)]
-    jobs = [("ukg_job", "job_code", F.col("role") == staging.UNMAPPED_JOB)]
-    if strict:
-        codes.append(("status", "pms_system", F.col("status").isNull()))
-        jobs.append(("ukg_earning", "earning_code", F.col("is_productive").isNull()))
-    kinds = [
-        where, unmapped_codes(procedures, codes), unmapped_codes(labor, jobs),
-        unmapped_codes(ledger, [("gl_account", "account_no", F.col("category") == staging.UNMAPPED_ACCOUNT)]),
-        unmapped_codes(inventory, [("inventory_item", "item_number", F.col("category") == staging.UNMAPPED_ITEM)]),
-        unmapped_codes(marketing, [("utm_campaign", "campaign", F.col("channel") == staging.OTHER_CHANNEL)]),
-    ]
-    return reduce(DataFrame.unionByName, kinds)
+    subjects = {"procedures": procedures, "labor": labor, "ledger": ledger, "inventory": inventory, "marketing": marketing}
+    return reduce(DataFrame.unionByName, [
+        site_findings(unmapped_sites(sites, crosswalk)),
+        *[unmapped_codes(df, code_kinds(subject, strict)) for subject, df in subjects.items()]])
 
 
 # Feeds beside the practice systems, and the system and column that name the site.

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewell.functions.names import normalize_columns, raw_table, snake
+from sitewell.session import checkpointing
+from sitewell.sources import versions
 
 # How many days back an extract reaches when no date is given.
 DEFAULT_WINDOW_DAYS = 45
@@ -51,8 +57,67 @@ def newest(spark: SparkSession, folder: str, pattern: str = "*.csv") -> Row:
     return found
 
 
-def read_text(spark: SparkSession, path: str, quoted_newlines: bool = True, splits: bool = False) -> DataFrame:
-    """A CSV with a header, all columns text, names as delivered.
+def same_path(path: str) -> str:
+    """A path as a listing gives it, with one slash after the scheme where no host follows."""
+    return path.replace(":///", ":/")
+
+
+SMALL_FILE = 1 << 20
+# A record up to its line's end: breaks inside quotes belong to it.
+_RECORD = r'^(?:[^"\n]++|"[^"]*+")*+'
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, ...]]:
+    """Column names of every file, by path; a file without a line has no entry. One job reads the small
+    files, many to a task; for the others one more has a task for each, which stops after the first record.
+    What comes to the driver is a row per file, like the listing."""
+    def first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = None
+        for batch in batches:
+            for line in batch.column(1).to_pylist():
+                text = line if text is None else f"{text}\n{line}"
+                if text.count('"') % 2 == 0:
+                    yield pa.RecordBatch.from_pydict({"file": [batch.column(0)[0].as_py()], "header": [text]})
+                    return
+
+    if not paths:
+        return {}
+    small = spark.read.format("binaryFile").load(paths).where(F.col("length") <= SMALL_FILE).select(
+        "path", F.regexp_extract(F.col("content").cast("string"), _RECORD, 0).alias("header"))
+    found = {r["path"]: r["header"] for r in small.collect()}
+    if large := [p for p in paths if same_path(p) not in found]:
+        whole = str(1 << 40)  # files are not split, and no two share a task
+        with _settings(spark, {"spark.sql.files.maxPartitionBytes": whole, "spark.sql.files.openCostInBytes": whole,
+                               "spark.sql.files.minPartitionNum": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "64"}):
+            lines = spark.read.option("lineSep", "\n").text(large).select(F.col("_metadata.file_path").alias("file"), "value")
+            found |= {same_path(unquote(r["file"])): r["header"] for r in lines.mapInArrow(first_record, "file string, header string").collect()}
+    return {path: column_names(header) for path, header in found.items() if header}
+
+
+def column_names(header: str) -> tuple[str, ...]:
+    """Names of a header record, as Spark itself gives them: one without a name is called by its place,
+    names that differ in case at most carry theirs."""
+    said = next(csv.reader([header.removeprefix("\ufeff").rstrip("\r")]), [])  # quoted breaks stay in a name
+    lower = [n.lower() for n in said]
+    return tuple(f"_c{i}" if not n else f"{n}{i}" if lower.count(n.lower()) > 1 else n for i, n in enumerate(said))
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def read_text(spark: SparkSession, path: str | list[str], quoted_newlines: bool = True, splits: bool = False,
+              names: tuple[str, ...] | None = None, file: str | None = None) -> DataFrame:
+    """CSV files with one header, all columns text, names as delivered. ``names`` saves the job that finds
+    them; ``file`` adds a column with the path a row comes from.
 
     Without inferSchema Spark reads every column as string and only looks at the header; a byte
     order mark is dropped. Line breaks inside quotes stay in their field. Spark itself can do that
@@ -64,9 +129,13 @@ def read_text(spark: SparkSession, path: str, quoted_newlines: bool = True, spli
     is a record and files are split as well.
     """
     reader = spark.read.option("header", True).option("escape", '"')
+    if names is None and (file or splits and quoted_newlines):
+        names = tuple(reader.option("multiLine", True).csv(path).columns)
+    schema = None if names is None else T.StructType([T.StructField(n, T.StringType()) for n in names])
     if not (splits and quoted_newlines):
-        return reader.option("multiLine", quoted_newlines).csv(path)
-    names = reader.option("multiLine", True).csv(path).columns
+        reader = reader if schema is None else reader.schema(schema)
+        read = reader.option("multiLine", quoted_newlines).csv(path)
+        return read if file is None else read.select("*", F.col("_metadata.file_path").alias(file))
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("position"), F.col("value").alias("line"))
@@ -75,8 +144,17 @@ def read_text(spark: SparkSession, path: str, quoted_newlines: bool = True, spli
     data = F.when((F.col("record") == 0) & bare, F.raise_error(F.concat(
         F.col("file"), F.lit(": lines end in carriage returns, which the split reader does not take")))
     ).otherwise(F.col("record") > 0)
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return parse_records(records(lines).where(data), schema).select("_r.*")
+    parsed = parse_records(records(lines).where(data), schema)
+    return parsed.select("_r.*") if file is None else parsed.select("_r.*", F.col("file").alias(file))
+
+
+def read_alike(spark: SparkSession, paths: list[str], quoted_newlines: bool = True, splits: bool = False,
+               file: str | None = None) -> dict[tuple[str, ...], tuple[list[str], DataFrame]]:
+    """Files read together by their header: per list of column names its files and one scan of them."""
+    found, groups = headers(spark, paths), {}
+    for path in paths:
+        groups.setdefault(found.get(same_path(path), ()), []).append(path)
+    return {names: (some, read_text(spark, some, quoted_newlines, splits, names, file)) for names, some in groups.items()}
 
 
 # What a line does to a quoted field, as patterns: quotes open a field only where it begins.
@@ -172,16 +250,24 @@ def land_csv(spark: SparkSession, root: str, quoted_newlines: bool = True, split
     """Every <system>/<file>.csv under ``root`` as a lazily read raw table, keyed by its name. Files
     whose names come to one table are its parts if their columns agree, else the landing fails.
 
-    Only the listing of the files comes to the driver, a row per file.
+    One listing, one job for the headers, and a scan for each header of a table: neither jobs nor plans
+    grow with the number of files. Only the listing comes to the driver, a row per file.
     """
-    tables: dict[str, DataFrame] = {}
+    files: dict[str, list[str]] = {}
     for path in (f["path"] for f in delivered(spark, f"{root.rstrip('/')}/*/").orderBy("path").toLocalIterator()):
         folder, file = path.split("/")[-2:]
-        name = raw_table(folder, file.removesuffix(".csv"))
-        part = normalize_columns(read_text(spark, path, quoted_newlines, splits))
-        if name in tables and set(tables[name].columns) != set(part.columns):
-            raise MissingColumns(f"{path}: other columns than the files landed as {name} before it")
-        tables[name] = tables[name].unionByName(part) if name in tables else part
+        files.setdefault(raw_table(folder, file.removesuffix(".csv")), []).append(path)
+    found = headers(spark, [path for some in files.values() for path in some])
+    tables: dict[str, DataFrame] = {}
+    for name, paths in files.items():
+        alike: dict[tuple[str, ...], list[str]] = {}
+        for path in paths:
+            alike.setdefault(found.get(same_path(path), ()), []).append(path)
+        parts = [normalize_columns(read_text(spark, some, quoted_newlines, splits, names)) for names, some in alike.items()]
+        for part, some in zip(parts, alike.values()):
+            if set(part.columns) != set(parts[0].columns):
+                raise MissingColumns(f"{some[0]}: other columns than the files landed as {name} before it")
+        tables[name] = reduce(DataFrame.unionByName, parts)
     return tables
 
 
@@ -237,7 +323,8 @@ def as_text(df: DataFrame) -> DataFrame:
 def replace_snapshot(df: DataFrame, table: str, partition: str | None = None) -> None:
     """Replace a table by a full delivery. It is written to a folder of its own; only when that is
     complete does the name, a view, turn to it. A failing write leaves the old rows as they were, and
-    readers that have begun go on with the folder they know: the one before is kept, older ones go."""
+    readers that have begun go on with the folder they know: of complete writes the last two are kept,
+    older ones go. A folder without its mark of success belongs to a write under way and stays."""
     spark = df.sparkSession
     root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{table.replace('.', '/')}__runs"
     folder = f"{root}/{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
@@ -249,7 +336,8 @@ def replace_snapshot(df: DataFrame, table: str, partition: str | None = None) ->
     spark.sql(f"CREATE OR REPLACE VIEW {table} AS SELECT {columns} FROM parquet.`{folder}`")
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for old in sorted(str(f.getPath()) for f in files.listStatus(path))[:-2]:
+    complete = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/*/_SUCCESS"))
+    for old in sorted(str(f.getPath().getParent()) for f in complete)[:-2]:
         files.delete(spark._jvm.org.apache.hadoop.fs.Path(old), True)
 
 
@@ -281,38 +369,33 @@ def replace_window(df: DataFrame, table: str, day: str | Column, since: dt.date)
     """Load a delivery that only reaches back to ``since`` without losing older history.
 
     ``day`` is the business date: a date column, or an expression that parses a text one. The table
-    is partitioned by its month. Months after the one ``since`` falls in are overwritten from the
-    delivery alone; the boundary month is rebuilt from its older rows plus the delivery; a month in
-    the window that the delivery no longer mentions is dropped. Months before are not touched, so the
-    cost follows the window, not the history.
-
-    The delivery is evaluated once, into ``<table>_arrived``. The first load keeps all of it. Later,
-    rows that are older than the window or have no date are added to ``<table>_late``; their number
-    is returned.
+    is kept in versions by its month, see :mod:`sitewell.sources.versions`. Months after the one
+    ``since`` falls in come from the delivery alone; the boundary month is its older rows plus the
+    delivery; a month in the window that the delivery no longer mentions goes. Months before keep
+    their files, so the cost follows the window, not the history, and a load that fails at any step
+    leaves the old rows.
+
+    The delivery is evaluated once. The first load keeps all of it. Later, rows that are older than
+    the window or have no date go to ``<table>_late``, where they stand once for each ``since``,
+    however often the load is repeated; their number is returned.
     """
-    spark, cut = df.sparkSession, F.lit(since).cast("date")
-    df.withColumn("_month", F.date_format(_day(day), "yyyy-MM")).write.mode("overwrite").format("parquet").saveAsTable(
-        f"{table}_arrived")
-    delivery = spark.table(f"{table}_arrived")
-    if not spark.catalog.tableExists(table):
-        delivery.write.format("parquet").partitionBy("_month").saveAsTable(table)
+    spark, cut, month = df.sparkSession, F.lit(since).cast("date"), versions.month_code(_day(day))
+    checkpointing(spark)
+    delivery = df.checkpoint()
+    before = versions.load(spark, table)
+    if before is None:
+        versions.write(delivery, table, month)
         return 0
-    late = late_rows(delivery, day, since)
-    n_late = late.count()
-    if n_late:
-        late.withColumn("_since", cut).write.mode("append").format("parquet").saveAsTable(f"{table}_late")
-    arrived = delivery.where(_day(day) >= cut)
-    boundary = since.strftime("%Y-%m")
-    kept = spark.table(table).where((F.col("_month") == boundary) & (_day(day) < cut))
-    rebuilt = arrived.unionByName(kept)
-    months = {r["_month"] for r in rebuilt.select("_month").distinct().toLocalIterator()}
-    present = {r["partition"].removeprefix("_month=")
-               for r in spark.sql(f"SHOW PARTITIONS {table}").toLocalIterator()}
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        rebuilt.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    dated = {m for m in present if m[0].isdigit()}  # rows without a date have a partition of their own
-    for gone in sorted(m for m in dated - months if m >= boundary):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (_month = '{gone}')")
+    versions.same_columns(delivery, table, before)
+    late = late_rows(delivery, day, since).withColumn("_since", cut)
+    n_late, window = late.count(), since.year * 10_000 + since.month * 100 + since.day
+    set_aside = versions.load(spark, f"{table}_late")
+    if n_late or set_aside and window in set_aside.folders:
+        versions.write(late, f"{table}_late", F.lit(window), lambda period: period == window)
+    boundary = since.year * 100 + since.month
+    kept = versions.read(spark, table, {boundary}).where(_day(day) < cut)
+    rebuilt = delivery.where(_day(day) >= cut).unionByName(kept)
+    versions.write(rebuilt, table, month, lambda period: period >= boundary)
     return n_late
 
 
@@ -321,16 +404,6 @@ def window_writer(day: str | Column, since: dt.date) -> Callable[[DataFrame, str
     return lambda df, table: replace_window(df, table, day, since)
 
 
-@contextmanager
-def _setting(spark: SparkSession, key: str, value: str):
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 # --- runs -------------------------------------------------------------------------------------------
 
 @dataclass
