@@ -6,21 +6,24 @@ whole tables.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sitewell.functions import exprs
 from sitewell.functions.exprs import doubles
 from sitewell.operators import checks, conform, extracts, marts, publish, reports, staging, translate
 from sitewell.plans import sample_feeds as feeds
-from sitewell.plans import warehouse
+from sitewell.plans import incremental, warehouse
 from sitewell.plans.registered_sql import MONTH, bigint, doubled, select
 from sitewell.plans.sample_feeds import Sample, code_of, money, table
-from sitewell.sources import landing
+from sitewell.session import shared_folder
+from sitewell.sources import landing, versions
+from sitewell.streaming import drops
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -149,18 +152,70 @@ def late_rows(spark, folder):
 
 @registered("quoted_newlines", "SELECT doc_id, lang, length(text) AS size, md5(text) AS digest FROM documents")
 def quoted_newlines(spark, folder):
-    # documents written as CSV lines, one file per source and a block per twenty ids, and read back
-    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
-    csv = F.concat_ws(",", F.col("doc_id").cast("string"), quoted, F.col("lang"))
-    lines = table(spark, folder, "documents").select(
-        F.col("source").alias("file"), F.floor(F.col("doc_id") / 20).alias("block"), "doc_id",
-        F.posexplode(F.split(csv, "\n")).alias("at", "line")).select(
-        "file", "block", F.struct("doc_id", "at").alias("position"), "line")
-    columns = T.StructType([T.StructField(n, T.StringType()) for n in ("doc_id", "text", "lang")])
-    parsed = landing.parse_records(landing.records(lines), columns)
-    text = F.coalesce("_r.text", F.lit(""))
-    return parsed.select(F.col("_r.doc_id").cast("bigint").alias("doc_id"), "_r.lang",
-                         F.length(text).cast("bigint").alias("size"), F.md5(text).alias("digest"))
+    # documents written as many CSV files of bounded size, with line breaks inside quotes, and read back
+    drop = f"{shared_folder(spark)}/quoted-{uuid.uuid4().hex}"
+    exact = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "maxRecordsPerFile": "2000"}
+    table(spark, folder, "documents").select("doc_id", "text", "lang").write.options(header="true", **exact).csv(drop)
+    text = F.coalesce("text", F.lit(""))
+    return landing.read_text(spark, drop).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "lang", F.length(text).cast("bigint").alias("size"), F.md5(text).alias("digest"))
+
+
+@on_sample("incremental_layers", """
+    SELECT 'raw' AS layer, CAST(strftime(l_shipdate, '%Y%m') AS INTEGER) AS period, count(*) AS n,
+           CAST(sum(l_quantity) AS DOUBLE) AS amount, strftime(l_shipdate, '%Y%m') >= '200006' AS rewritten
+    FROM lineitem GROUP BY ALL
+    UNION ALL SELECT 'staging', CAST(strftime(month, '%Y%m') AS INTEGER), count(*), CAST(sum(labor_cost) AS DOUBLE),
+           strftime(month, '%Y%m') >= '200006' FROM labor GROUP BY ALL
+    UNION ALL SELECT 'weeks', CAST(strftime(week, '%Y%m') AS INTEGER), count(*), CAST(sum(cost) AS DOUBLE),
+           strftime(week, '%Y%m') >= '200005'
+    FROM (SELECT location_key, CAST(date_trunc('week', work_date) AS DATE) AS week, sum(labor_cost) AS cost FROM labor GROUP BY ALL)
+    GROUP BY ALL""")
+def incremental_layers(s):
+    # timecards that arrive without hours first and complete later, from a day on: which months each layer writes again
+    cards, maps = s.raw["ukg__timecards"], s.seeds
+    spark, name, since = cards.sparkSession, f"refreshed_{uuid.uuid4().hex}", dt.date(2000, 6, 15)
+    day, cut = F.col("work_date").cast("date"), F.lit(since)
+    raw, staged, weeks = (f"{name}_{layer}" for layer in ("raw", "staging", "weeks"))
+    steps = [
+        incremental.Step(staged, (raw,), lambda f: staging.labor(
+            f[raw].drop(versions.PERIOD), maps["location_crosswalk"], maps["ukg_job_map"], maps["ukg_earning_map"])),
+        incremental.Step(weeks, (staged,), lambda f: f[staged].groupBy("location_key", exprs.week_of("work_date").alias("week")).agg(
+            F.sum("labor_cost").alias("labor_cost")), lambda: versions.month_code("week"),
+            incremental.months_of_weeks, incremental.months_in_weeks)]
+    empty = cards.withColumn("hours", F.when(day >= cut, "0").otherwise(F.col("hours")))
+    landing.replace_window(empty, raw, day, dt.date(1990, 1, 1))
+    incremental.refresh(spark, steps)
+    landing.replace_window(cards.where(day >= cut), raw, day, since)
+    incremental.refresh(spark, steps)
+
+    def told(layer: str, kept: str, amount: str) -> DataFrame:
+        again = sorted(versions.changed(spark, kept, 1))
+        return versions.read(spark, kept, with_period=True).groupBy(
+            F.lit(layer).alias("layer"), F.col(versions.PERIOD).alias("period")).agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col(amount).cast("decimal(18,6)")).alias("amount")).withColumn(
+            "rewritten", F.col("period").isin(again))
+
+    return doubles(told("raw", raw, "hours").unionByName(told("staging", staged, "labor_cost")).unionByName(
+        told("weeks", weeks, "labor_cost")))
+
+
+@registered("stream_merge", """
+    SELECT o_orderkey AS order_key, CASE WHEN o_orderstatus = 'F' THEN 'done' ELSE o_orderstatus END AS status,
+           CAST(o_totalprice AS DOUBLE) AS total FROM orders""")
+def stream_merge(spark, folder):
+    # all orders, then those that changed, then the first delivery once more; merged after each, as a restarted stream
+    home, name = f"{shared_folder(spark)}/merge-{uuid.uuid4().hex}", f"merged_{uuid.uuid4().hex}"
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("Order Key"), F.col("o_orderstatus").alias("Status"),
+        F.col("o_totalprice").cast("string").alias("Total"))
+    done = orders.where(F.col("Status") == "F").withColumn("Status", F.lit("done"))
+    for delivery in (orders, done, orders):
+        delivery.write.mode("append").option("header", True).csv(f"{home}/drop")
+        drops.merge(drops.watch(spark, f"{home}/drop"), ["Order Key", "Status", "Total"], ["order_key"], name,
+                    f"{home}/mark").awaitTermination()
+    return versions.read(spark, name).select(
+        F.col("order_key").cast("bigint").alias("order_key"), "status", F.col("total").cast("double").alias("total"))
 
 
 @registered("source_counts", """

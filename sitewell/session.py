@@ -32,9 +32,17 @@ def session(app: str = "sitewell", master: str | None = None, **settings: str) -
 
 def checkpointing(spark: SparkSession) -> SparkSession:
     """Checkpoints go where the cluster says (spark.checkpoint.dir). Where that is not set, as in tests,
-    they go beside the tables, in the warehouse, which all executors share as well."""
+    they go beside the tables, in the warehouse. On a cluster that must be a store all executors share:
+    a folder of the driver's own disk fails here instead of losing blocks later."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_checkpoints")
+        named, warehouse = spark.conf.get("spark.checkpoint.dir", None), spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if not named and not context.master.startswith("local") and (warehouse.startswith("file:") or ":" not in warehouse):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or f"{warehouse}/_checkpoints")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: spark.checkpoint.dir, else the context's own."""
+    return spark.conf.get("spark.checkpoint.dir", None) or checkpointing(spark).sparkContext._jsc.sc().getCheckpointDir().get()

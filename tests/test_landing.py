@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sitewell.functions import exprs
 from sitewell.operators import checks, extracts
-from sitewell.sources import landing, seeds
+from sitewell.sources import landing, seeds, versions
 from sitewell.streaming import drops
 from tests import site_group
 from tests.conftest import rows
@@ -78,6 +78,54 @@ def test_two_files_of_one_table(spark, tmp_path):
         landing.land_csv(spark, str(tmp_path))
 
 
+def jobs_of(spark, run):
+    """What run() returns, and how many jobs it started."""
+    context, group = spark.sparkContext, f"jobs-{random.random()}"
+    context.setJobGroup(group, group)
+    try:
+        return run(), len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setJobGroup("", "")
+
+
+def test_many_files_land_with_few_jobs(spark, tmp_path):
+    wanted = {}
+    for t in range(25):
+        for f in range(12):
+            header = ["Id,Note", "Note,Id"][f % 2 if t % 5 == 0 else 0]
+            note = f'"{t}\n{f}"'
+            put(tmp_path / f"shop {f}", f"T{t}.csv", f"{header}\n{f},{note}\n" if header.startswith("Id") else f"{header}\n{note},{f}\n")
+            wanted[f"shop_{f}__t{t}"] = [{"id": str(f), "note": f"{t}\n{f}"}]
+    tables, jobs = jobs_of(spark, lambda: landing.land_csv(spark, str(tmp_path)))
+    assert set(tables) == set(wanted) and jobs <= 6  # listing and headers, not one per file
+    for name in ("shop_3__t0", "shop_4__t24", "shop_11__t5"):
+        assert rows(tables[name]) == wanted[name]
+
+
+def test_files_of_one_table_are_one_scan_per_header(spark, tmp_path):
+    for n in range(40):
+        names = ["Line Items", "line items", "LINE ITEMS", "Line_Items", "line-items"]
+        put(tmp_path / f"Shop{' ' * (n // 5)}", f"{names[n % 5]}.csv", ["A,B\n1,2\n", "B,A\n2,1\n"][n % 2])
+    tables, jobs = jobs_of(spark, lambda: landing.land_csv(spark, str(tmp_path)))
+    assert list(tables) == ["shop__line_items"] and jobs <= 6
+    plan = tables["shop__line_items"]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 2
+    assert rows(tables["shop__line_items"]) == [{"a": "1", "b": "2"}] * 40
+
+
+@pytest.mark.parametrize("small", [0, 1 << 20])
+def test_headers_as_spark_names_them(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(landing, "SMALL_FILE", small)
+    texts = ['id,"te\nxt",qty\n1,a,2\n', "\ufeffid,b\r\n1,2\r\n", "a,,A,b\n1,2,3,4\n", "only", '"say ""x""",y\n1,2\n']
+    texts += ["x,y\n" + "1,2\n" * 5000]
+    paths = [str(put(tmp_path / "with space & 100%", f"f {i}.csv", t)) for i, t in enumerate(texts)]
+    empty = str(put(tmp_path, "empty.csv", ""))
+    found = landing.headers(spark, [*paths, empty])
+    for path in paths:
+        assert list(found[landing.same_path(f"file:{path}")]) == landing.read_text(spark, path).columns, path
+    assert len(found) == len(texts) and landing.headers(spark, []) == {}
+
+
 @pytest.mark.parametrize("split_bytes", [40, 300, 1 << 20])
 def test_large_file_is_read_in_splits(spark, tmp_path, split_bytes):
     rng = random.Random(split_bytes)
@@ -283,6 +331,56 @@ def test_stream_lands_each_file_once(spark, tmp_path, splits):
     assert [r["qty"] for r in catch_up()] == ["10", "20"]
 
 
+COLUMNS = ["Item Number", "Qty"]
+
+
+def stock(spark, table):
+    return {r["item_number"]: r["qty"] for r in spark.table(table).collect()}
+
+
+def test_merged_files_the_latest_wins(spark, tmp_path):
+    drop, mark, table = tmp_path / "drop", str(tmp_path / "mark"), "merged_stock"
+
+    def catch_up():
+        drops.merge(drops.watch(spark, str(drop)), COLUMNS, ["item_number"], table, mark).awaitTermination()
+        return stock(spark, table)
+
+    put(drop, "a.csv", "Item Number,Qty\n1,10\n2,20\n", when=1_000)
+    put(drop, "b.csv", "Extra,Qty,Item Number\nx,21,2\n", when=2_000)
+    assert catch_up() == {"1": "10", "2": "21"}
+    assert catch_up() == {"1": "10", "2": "21"}  # a restart without news
+    put(drop, "c.csv", "Item Number,Qty\n1,11\n3,30\n", when=4_000)
+    assert catch_up() == {"1": "11", "2": "21", "3": "30"}
+    before = versions.load(spark, table)
+    put(drop, "again.csv", "Item Number,Qty\n2,20\n1,10\n", when=9_000)  # the rows of a.csv, under another name
+    assert catch_up() == {"1": "11", "2": "21", "3": "30"} and versions.load(spark, table).number == before.number
+    put(drop, "old.csv", "Item Number,Qty\n3,29\n4,40\n", when=3_000)  # late: older than what is known of 3
+    assert catch_up() == {"1": "11", "2": "21", "3": "30", "4": "40"}
+    touched = versions.changed(spark, table, before.number)
+    assert 0 < len(touched) <= 2  # the buckets of 3 and 4
+
+
+def test_a_merge_that_fails_is_repeated(spark, tmp_path, monkeypatch):
+    drop, table = tmp_path / "drop", "merged_again"
+    put(drop, "a b+c%20.csv", "Item Number,Qty\n1,10\n1,12\n2,20\n", when=1_000)
+    listing = landing.delivered(spark, str(drop))
+    with monkeypatch.context() as m:
+        plain = versions.write
+
+        def fails(df, to, *rest):
+            if to.endswith("_files"):
+                raise OSError("lost")
+            return plain(df, to, *rest)
+
+        m.setattr(versions, "write", fails)
+        with pytest.raises(OSError):
+            drops.merge_files(spark, listing, COLUMNS, ["item_number"], table)
+    assert drops.merge_files(spark, listing, COLUMNS, ["item_number"], table) == 1
+    assert stock(spark, table) == {"1": "12", "2": "20"}
+    assert drops.merge_files(spark, listing, COLUMNS, ["item_number"], table) == 0
+    assert spark.table(f"{table}_files").count() == 1 and drops.merge_files(spark, listing.limit(0), COLUMNS, ["item_number"], table) == 0
+
+
 def test_office_stamp(spark):
     offices = {"1": spark.range(2), "2": spark.range(1)}
     assert rows(extracts.stamped(offices).groupBy("ClinicNum").agg(F.count("*").alias("n"))) == \
