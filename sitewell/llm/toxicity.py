@@ -5,13 +5,17 @@ corrects for the toxic share (the class prior) among the unlabelled: prior * ris
 unlabelled's risk as negatives, less the positives' part of it, held at zero from below.
 
 Features are distinct words and the beginnings of words, hashed. A feature enters the classifier if it is
-markedly commoner among the positives than among the unlabelled. The fit uses a sample of at most about
-MAX_POSITIVES and MAX_UNLABELLED texts, chosen by a hash of the id; everything is scored.
+markedly commoner among the positives than among the unlabelled. The class prior is the toxic share of the
+labelled rows that are there. It moves the intercept a lot and the order of texts hardly at all, so the
+threshold is set on confirmed texts of both kinds that were kept out of the fit. The fit uses a sample of at
+most about MAX_POSITIVES, MAX_UNLABELLED and twice MAX_CALIBRATION different texts, chosen by hashes of id and
+text; everything is scored.
 
 Defined results: a null or empty text has no features and gets the intercept's score; texts of any length
 are read whole. Of several labels of one id the highest counts, null labels are no labels, and repeated
-rows are scored alike. Without any confirmed toxic text every score is 0. Extra columns pass through
-`scored` and `keep`.
+rows are scored alike. Without any confirmed toxic text every score is 0, and without confirmed texts of
+both kinds to set it on, the threshold is the estimator's own. Extra columns pass through `scored` and
+`keep`. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +32,9 @@ from pyspark.sql import functions as F
 
 from sitewell.llm.common import fold, settled
 
-MAX_POSITIVES, MAX_UNLABELLED = 4000, 16000
+MAX_POSITIVES, MAX_UNLABELLED, MAX_CALIBRATION = 4000, 16000, 4000
+CALIBRATED = 0.25  # of the labelled texts, to set the threshold
+POSITIVE, UNLABELLED, TOXIC, CLEAN = 1, 0, 2, 3  # parts of the sample
 BUCKETS = 1 << 18
 STEMS = (3, 4, 5, 6, 7)
 MARKED = 5.0  # standard errors between the shares of positives and unlabelled texts with a feature
@@ -47,7 +53,7 @@ def word_features(word: str) -> list[int]:
 
 
 def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """positive, feats: a text's features, each as often as distinct words have it."""
+    """parts, feats: a text's features, each as often as distinct words have it."""
     known: dict[str, list[int]] = {}
     for batch in batches:
         if len(known) > CACHED_WORDS:
@@ -60,15 +66,15 @@ def _featured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     f = known[w] = word_features(w)
                 mine += f
             out.append(np.array(mine, dtype=np.int32))
-        yield pd.DataFrame({"positive": batch["positive"], "feats": out})
+        yield pd.DataFrame({"parts": batch["parts"], "feats": out})
 
 
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Per partition: how many positives and unlabelled texts have each feature."""
     found = np.zeros((2, BUCKETS), dtype=np.int64)
     for batch in batches:
-        for positive, feats in zip(batch["positive"], batch["feats"]):
-            found[int(positive)][np.unique(feats)] += 1
+        for part, feats in zip(batch["part"], batch["feats"]):
+            found[part][np.unique(feats)] += 1
     some = np.flatnonzero(found.sum(0))
     yield pd.DataFrame({"feat": some.astype(np.int32), "pos": found[1][some], "unl": found[0][some]})
 
@@ -103,27 +109,58 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], features: int,
     return w[:-1], float(w[-1])
 
 
+def offset(toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The score that best tells toxic from clean texts, midway between two of theirs: the most toxic ones above
+    it less clean ones above it, as shares. Of several the highest, which leaves most clean texts alone."""
+    scores = np.unique(np.concatenate([toxic, clean]))
+    cuts = np.concatenate([scores[:1] - 1, (scores[1:] + scores[:-1]) / 2, scores[-1:] + 1])
+    above = lambda side: 1 - np.searchsorted(np.sort(side), cuts) / len(side)
+    gain = above(toxic) - above(clean)
+    return float(cuts[gain >= gain.max() - 1e-12][-1])
+
+
+def sampled(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[DataFrame, float] | None:
+    """(part, feats) of the texts to learn from, and the toxic share of the labelled rows; None without a
+    confirmed toxic text. Rows with the same id and text are one, so a hot id or text takes one place; the
+    parts are drawn by hashes of their own, and no label of fold 0 is looked at."""
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != 0)).groupBy(
+        F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
+    rows = docs.where(fold(F.col("doc_id"), folds) != 0).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"))
+    ids = settled(rows.groupBy("doc_id", "h").agg(F.count("*").alias("n")).join(
+        known, F.col("doc_id") == F.col("id"), "left").select("h", "n", "toxic"))
+    counts = ids.agg(F.count("*").alias("texts"), F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") == 0).alias("clean"),
+                     F.sum(F.when(F.col("toxic") == 1, F.col("n"))).alias("toxic_rows"),
+                     F.sum(F.when(F.col("toxic").isNotNull(), F.col("n"))).alias("labelled_rows")).first()
+    if not counts["toxic"]:
+        return None
+    place = lambda name: F.pmod(F.xxhash64(F.lit(name), "h"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    aside = place("aside") < CALIBRATED  # confirmed texts that set the threshold are not fitted
+    drawn = lambda name, most, of: place(name) < min(1.0, most / max(1, of))
+    part = F.array_compact(F.array(
+        F.when((F.col("toxic") == 1) & ~aside & drawn("positive", MAX_POSITIVES, counts["toxic"] * (1 - CALIBRATED)), POSITIVE),
+        F.when(drawn("unlabelled", MAX_UNLABELLED, counts["texts"]), UNLABELLED),
+        F.when((F.col("toxic") == 1) & aside & drawn("toxic", MAX_CALIBRATION, counts["toxic"] * CALIBRATED), TOXIC),
+        F.when((F.col("toxic") == 0) & aside & drawn("clean", MAX_CALIBRATION, counts["clean"] * CALIBRATED), CLEAN)))
+    chosen = ids.select("h", part.alias("parts")).where(F.size("parts") > 0)  # bounded: the four sizes together
+    texts = rows.select("text", "h").join(F.broadcast(chosen), "h").groupBy("h").agg(
+        F.first("text").alias("text"), F.first("parts").alias("parts"))
+    feats = settled(texts.select("parts", "text").mapInPandas(_featured, "parts array<int>, feats array<int>"))
+    return (feats.select(F.explode("parts").alias("part"), "feats"),
+            min(0.5, max(0.001, counts["toxic_rows"] / counts["labelled_rows"])))
+
+
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> tuple[dict[int, float], float] | None:
     """Weights by bucket and the intercept, from rows outside fold 0; None without a confirmed toxic text."""
-    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != 0)).groupBy(
-        "doc_id").agg(F.max("toxic").alias("toxic"))
-    rows = docs.where(fold(F.col("doc_id"), folds) != 0)
-    share = known.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
-    n_rows = rows.count()
-    if not share["toxic"] or not n_rows:
+    sample = sampled(docs, labels, folds)
+    if sample is None:
         return None
-    prior = min(0.5, max(0.001, share["toxic"] / share["n"]))
-    place = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    toxic = known.where((F.col("toxic") == 1) & (place < MAX_POSITIVES / share["toxic"])).select("doc_id")
-    # about MAX_POSITIVES ids at most, whatever the size of the tables
-    sample = rows.join(F.broadcast(toxic), "doc_id").select("text", F.lit(True).alias("positive")).unionByName(
-        rows.where(place < MAX_UNLABELLED / n_rows).select("text", F.lit(False).alias("positive")))
-    feats = settled(sample.mapInPandas(_featured, "positive boolean, feats array<int>"))
-    n_pos, n_unl = (feats.where(F.col("positive") == side).count() for side in (True, False))
+    feats, prior = sample
+    sizes = {r["part"]: r["count"] for r in feats.groupBy("part").count().collect()}
+    n_pos, n_unl = sizes.get(POSITIVE, 0), sizes.get(UNLABELLED, 0)
     if not n_pos or not n_unl:
         return None
-    counts = feats.mapInPandas(_counted, "feat int, pos long, unl long").groupBy("feat").agg(
-        F.sum("pos").alias("pos"), F.sum("unl").alias("unl"))
+    counts = feats.where(F.col("part").isin(POSITIVE, UNLABELLED)).mapInPandas(_counted, "feat int, pos long, unl long").groupBy(
+        "feat").agg(F.sum("pos").alias("pos"), F.sum("unl").alias("unl"))
     usual = (F.col("unl") + 1) / F.lit(n_unl + 2.0)
     marked = (F.col("pos") / F.lit(float(n_pos)) - usual) / F.sqrt(usual * (1 - usual) * (1 / n_pos + 1 / n_unl))
     chosen = counts.where("pos >= 3").withColumn("marked", marked).where(F.col("marked") > MARKED).orderBy(
@@ -135,10 +172,13 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5) -> tuple[dict[int,
             batch["feats"] = [[number[f] for f in feats if f in number] for feats in batch["feats"]]
             yield batch
 
-    texts = feats.mapInPandas(chosen_only, "positive boolean, feats array<int>").collect()
+    texts = feats.mapInPandas(chosen_only, "part int, feats array<int>").collect()  # of bounded number and length
     # the order of partitions must not show in sums of floats
-    side = lambda positive: sorted(sorted(r["feats"]) for r in texts if r["positive"] == positive)
-    weights, intercept = fit(side(True), side(False), len(chosen), prior)
+    side = lambda part: sorted(sorted(r["feats"]) for r in texts if r["part"] == part)
+    weights, intercept = fit(side(POSITIVE), side(UNLABELLED), len(chosen), prior)
+    toxic, clean = (np.array([weights[f].sum() for f in side(part)]) for part in (TOXIC, CLEAN))
+    if len(toxic) and len(clean):  # the estimator ranks well whatever the prior; where to cut follows from labels
+        intercept = -offset(toxic, clean)
     return {f: float(weights[i]) for f, i in number.items()}, intercept
 
 

@@ -66,6 +66,16 @@ def test_bpe_equals_the_library_on_tables(spark, edges, library):
             assert bytes(r["decoded"]) == (r["text"] or "").encode()
 
 
+def test_bpe_replaces_columns_of_its_names(spark, library):
+    docs = spark.createDataFrame([(1, "a b, cé", "x", "y"), (2, None, None, None)], "doc_id long, text string, ids string, decoded string")
+    for decoded in (bpe.decode(bpe.encode(docs, RANKS, public_tokenizers.PATTERN), RANKS),
+                    bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True)):
+        first, second = decoded.orderBy("doc_id").collect()
+        assert decoded.columns == ["doc_id", "text", "ids", "decoded"] and bytes(second["ids"]) == bytes(second["decoded"]) == b""
+        assert np.frombuffer(first["ids"], "<u4").tolist() == library.encode_ordinary("a b, cé") and bytes(first["decoded"]).decode() == "a b, cé"
+    assert bpe.query(docs.limit(0), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
 def test_long_words_merge_by_the_same_rule(library):
     known = bpe.ranks(RANKS)
     rng = np.random.default_rng(3)
@@ -456,6 +466,30 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert kept.columns == df.columns and {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in got if not r["predicted"]}
 
 
+def test_toxicity_threshold_tells_labelled_texts_apart():
+    assert toxicity.offset(np.array([3.0, 2.0]), np.array([-1.0, 0.0])) == 1.0
+    assert 0.0 < toxicity.offset(np.array([1.0, 2.0, -5.0]), np.array([0.0, -6.0, -7.0])) < 1.0
+    assert toxicity.offset(np.array([1.0]), np.array([1.0])) in (0.0, 1.0, 2.0)
+
+
+@pytest.mark.parametrize("share", [0.03, 0.3])
+def test_toxicity_sample_is_bounded_by_texts(spark, monkeypatch, share):
+    """An id and a text that make up a third of all rows take one place each in the sample."""
+    monkeypatch.setattr(toxicity, "MAX_UNLABELLED", 400)
+    monkeypatch.setattr(toxicity, "MAX_POSITIVES", 60)
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{k}" for k in rng.integers(0, 500, 40)) + (" scummy" if i % 100 < 100 * share else "")) for i in range(1500)]
+    hot = [(1, f"copy {k} of scummy") for k in range(700)] + [(2, "one text " * 9)] * 700
+    docs = spark.createDataFrame(rows + hot, "doc_id long, text string").repartition(5)
+    marks = spark.createDataFrame([(i, 1, int(i % 100 < 100 * share)) for i in range(0, 1500, 3)], "doc_id long, quality int, toxic int")
+    feats, _ = toxicity.sampled(docs, marks, 5)
+    sizes = {r["part"]: r["count"] for r in feats.groupBy("part").count().collect()}
+    assert sizes[toxicity.POSITIVE] < 110 and sizes[toxicity.UNLABELLED] < 520
+    got = {(r["doc_id"], r["predicted"]) for r in toxicity.query(docs, marks).where("held_out").collect()}
+    truth = {(i, int("scummy" in t)) for i, t in rows if is_held(i, 5)}
+    assert len(got - truth) < 0.05 * len(truth)
+
+
 def test_toxicity_edges(spark, edges, nothing):
     marks = spark.createDataFrame([(4, 1, 1), (4, 1, 0), (None, 1, 1), (9, 0, None)], "doc_id long, quality int, toxic int")
     assert len(toxicity.query(edges, marks).collect()) == len(EDGES)
