@@ -10,7 +10,8 @@ together by an ordered aggregation.
 A word that is itself a token is that token, as in the public tokenizer library. The rows of the recursion
 grow with the square of a word's length, so words of more than LONG_WORD bytes are merged by the same rule
 with a heap. Defined results: a null or empty text has no ids and decodes to nothing; texts of any length
-are taken whole; repeated rows are encoded each on its own; extra columns pass through.
+are taken whole; repeated rows are encoded each on its own; extra columns pass through, and one that has the
+name of an added column (`ids`, `decoded`) is replaced by it. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -27,45 +28,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-GROUP_CHARS = 2_000_000
-GROUP_IDS = 250_000
-WORDS_PER_QUERY = 25_000
+GROUP_CHARS = 8_000_000
+GROUP_IDS = 1_000_000
+WORDS_PER_QUERY = 100_000
 CACHED_PARTS = 300_000
 CACHED_WORDS = 500_000
 LONG_WORD = 400
 
+MARKS = frozenset(".,;:!?")
 _CUT = re.compile(r" (?=\S)")
 _ODD = re.compile(r" (?:\s|$)")
 
+# least packs a pair's rank, place and the place after it, so the smallest number is the leftmost pair of least rank
 ENCODE = """
 WITH RECURSIVE state(step, word, pos, token, next_pos, next_token, rank) AS (
     SELECT 0, t.word, t.pos, t.token, t.next_pos, t.next_token, m.rank
     FROM tokens t LEFT JOIN merges m ON m.a = t.token AND m.b = t.next_token
     UNION ALL
     (WITH least AS (
-        SELECT word, min((rank::BIGINT << 20) | pos) AS k FROM state WHERE rank IS NOT NULL GROUP BY word),
+        SELECT word, min((rank::BIGINT << 40) | (pos::BIGINT << 20) | next_pos) AS k
+        FROM state WHERE rank IS NOT NULL GROUP BY word),
     best AS (
-        SELECT l.word, x.pos, x.rank AS token, x.next_pos AS gone, y.next_pos, y.next_token
-        FROM least l
-        JOIN state x ON x.word = l.word AND x.pos = (l.k & 1048575)
-        JOIN state y ON y.word = x.word AND y.pos = x.next_pos),
+        SELECT l.word, ((l.k >> 20) & 1048575)::INTEGER AS pos, (l.k >> 40)::INTEGER AS token, y.pos AS gone,
+               y.next_pos, y.next_token
+        FROM least l JOIN state y ON y.word = l.word AND y.pos = (l.k & 1048575)),
     contracted AS (
         SELECT s.step + 1 AS step, s.word, s.pos,
                CASE WHEN s.pos = b.pos THEN b.token ELSE s.token END AS token,
                CASE WHEN s.pos = b.pos THEN b.next_pos ELSE s.next_pos END AS next_pos,
                CASE WHEN s.pos = b.pos THEN b.next_token WHEN s.next_pos = b.pos THEN b.token
-                    ELSE s.next_token END AS next_token
+                    ELSE s.next_token END AS next_token,
+               s.rank, s.pos = b.pos OR s.next_pos = b.pos AS changed
         FROM state s JOIN best b ON b.word = s.word
         WHERE s.pos <> b.gone)
-    SELECT c.step, c.word, c.pos, c.token, c.next_pos, c.next_token, m.rank
-    FROM contracted c LEFT JOIN merges m ON m.a = c.token AND m.b = c.next_token))
+    SELECT c.step, c.word, c.pos, c.token, c.next_pos, c.next_token, CASE WHEN changed THEN m.rank ELSE c.rank END
+    FROM contracted c LEFT JOIN merges m ON m.a = CASE WHEN changed THEN c.token END AND m.b = c.next_token))
 SELECT s.word, s.token
 FROM state s JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING (word, step)
 ORDER BY s.word, s.pos
 """
 
 DECODE = """
-SELECT i.doc, list(v.hex ORDER BY i.pos) AS parts
+SELECT i.doc, string_agg(v.hex, '' ORDER BY i.pos) AS bytes
 FROM ids i JOIN vocabulary v ON v.id = i.id GROUP BY i.doc
 """
 
@@ -121,6 +125,8 @@ class Encoder:
 
         self.known = ranks(path)
         self.split = regex.compile(pattern).findall
+        # what byte-level patterns all agree on: letters with a space before them are one match, a mark is another
+        self.plain = self.split(" ab, c") == [" ab", ",", " c"]
         self.bytes = np.array([self.known[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
         merges = merge_table(path)  # noqa: F841
@@ -150,8 +156,14 @@ class Encoder:
             found.update((w, raw[4 * a:4 * b]) for w, a, b in zip(some, cuts[:-1].tolist(), cuts[1:].tolist()))
         return found
 
+    def _matches(self, part: str) -> list[str]:
+        letters = part[1:-1] if part[-1:] in MARKS else part[1:]
+        if self.plain and part[:1] == " " and letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
+            return [part] if part[-1] not in MARKS else [part[:-1], part[-1]]
+        return self.split(part)
+
     def _ids(self, parts: list[str]) -> list[bytes]:
-        words = [self.split(p) for p in parts]
+        words = [self._matches(p) for p in parts]
         unseen = set().union(*words) - self.words.keys()
         if len(self.words) + len(unseen) > CACHED_WORDS:
             self.words = {}
@@ -194,8 +206,8 @@ class Decoder:
             "pos": np.arange(total, dtype=np.int64) - np.repeat(ends - lengths, lengths),
             "id": np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)})
         out = [b""] * len(packed)
-        for doc, parts in self.db.execute(DECODE).fetchall():
-            out[doc] = bytes.fromhex("".join(parts))
+        for doc, found in self.db.execute(DECODE).fetchall():
+            out[doc] = bytes.fromhex(found)
         return out
 
 
@@ -211,25 +223,40 @@ def groups(values: list, weight, most: int) -> Iterator[tuple[int, int]]:
         yield start, len(values)
 
 
-def _added(df: DataFrame, name: str) -> StructType:
-    return StructType([f for f in df.schema.fields] + [StructField(name, BinaryType())])
+def _with(rows: DataFrame, *names: str) -> tuple[DataFrame, StructType]:
+    """rows without columns of these names, and the schema with them as binary."""
+    kept = rows.drop(*names)
+    return kept, StructType([*kept.schema.fields, *[StructField(n, BinaryType()) for n in names]])
+
 
+def encode(rows: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """rows with `ids`: little-endian unsigned 32-bit ids of the whole text; and, if asked for, `decoded`: the
+    bytes that these ids stand for, by the same worker."""
+    kept, schema = _with(rows, "ids", *(["decoded"] if decoded else []))
 
-def encode(rows: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """rows with `ids`: little-endian unsigned 32-bit ids of the whole text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = None
+        encoder = decoder = None
         for batch in batches:
             encoder = encoder or Encoder(path, pattern)
+            decoder = decoder or (Decoder(path) if decoded else None)
             texts = [t if isinstance(t, str) else None for t in batch[text]]
             for a, b in groups(texts, lambda t: len(t or ""), GROUP_CHARS):
-                yield batch.iloc[a:b].assign(ids=encoder.encode(texts[a:b]))
+                ids = encoder.encode(texts[a:b])
+                out = batch.iloc[a:b].assign(ids=ids)
+                if decoder:
+                    out["decoded"] = [d for c, e in groups(ids, lambda p: len(p) // 4, GROUP_IDS) for d in decoder.decode(ids[c:e])]
+                yield out
+        for used in (encoder, decoder):  # a worker serves many tasks: what one has gathered goes with it
+            if used:
+                used.db.close()
 
-    return rows.mapInPandas(run, _added(rows, "ids"))
+    return kept.mapInPandas(run, schema)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """rows with `decoded`: the bytes that the ids stand for."""
+    kept, schema = _with(rows, "decoded")
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = None
         for batch in batches:
@@ -237,12 +264,13 @@ def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
             packed = [bytes(p) if p is not None else b"" for p in batch[ids]]
             for a, b in groups(packed, lambda p: len(p) // 4, GROUP_IDS):
                 yield batch.iloc[a:b].assign(decoded=decoder.decode(packed[a:b]))
+        if decoder:
+            decoder.db.close()
 
-    return rows.mapInPandas(run, _added(rows, "decoded"))
+    return kept.mapInPandas(run, schema)
 
 
 def query(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    encoded = encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids")
-    return decode(encoded, path).select(
+    return encode(docs.select("doc_id", "text"), path, pattern, decoded=True).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
