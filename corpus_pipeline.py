@@ -2,6 +2,10 @@
 
 The result holds one row per document copy of the mix: its ids as little-endian unsigned 32-bit integers,
 their number, and the digests of the ids and of the bytes they decode to.
+
+Defined results: documents whose text is null, empty or too short leave by the quality rules. Repeated rows
+are copies, of which near-duplicate detection keeps one. Extra columns stay until the tokens are written. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,8 +45,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as token ids, decoded again for the digest."""
     path = public_tokenizers.path(RANKS)
-    encoded = bpe.encode(docs.select("doc_id", "source", "text"), path, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(encoded, path).select(
+    rows = docs.select("doc_id", "source", "text")
+    return bpe.encode(rows, path, public_tokenizers.PATTERN, decoded=True).select(
         "doc_id", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
