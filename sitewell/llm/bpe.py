@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-GROUP_CHARS = 8_000_000
-GROUP_IDS = 1_000_000
-WORDS_PER_QUERY = 100_000
+# A group of texts is encoded at once: larger ones spread a query's fixed cost, smaller ones take less memory.
+GROUP_CHARS = 2_000_000
+CHARS_PER_ID, CHARS_PER_WORD = 8, 80  # of a group, for the ids decoded and the new words merged by one query
 CACHED_PARTS = 300_000
 CACHED_WORDS = 500_000
 LONG_WORD = 400
@@ -119,16 +119,17 @@ def parts_of(text: str) -> tuple[str, list[str]]:
 class Encoder:
     """A task's DuckDB connection, merge table and the ids of parts met so far."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, group: int = GROUP_CHARS):
         import duckdb
         import regex
 
+        self.at_once = max(1, group // CHARS_PER_WORD)
         self.known = ranks(path)
         self.split = regex.compile(pattern).findall
         # what byte-level patterns all agree on: letters with a space before them are one match, a mark is another
         self.plain = self.split(" ab, c") == [" ab", ",", " c"]
         self.bytes = np.array([self.known[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         merges = merge_table(path)  # noqa: F841
         self.db.execute("CREATE TABLE merges AS SELECT * FROM merges")
         self.parts: dict[str, bytes] = {}  # without the space that stands before them
@@ -139,8 +140,8 @@ class Encoder:
         found |= {w: np.array(merged_by_heap(w, self.known), dtype="<u4").tobytes()
                   for w in words if len(w) > LONG_WORD and w not in found}
         rest = [w for w in words if w not in found]
-        for start in range(0, len(rest), WORDS_PER_QUERY):
-            some = rest[start:start + WORDS_PER_QUERY]
+        for start in range(0, len(rest), self.at_once):
+            some = rest[start:start + self.at_once]
             lengths = np.array([len(w) for w in some])
             token = self.bytes[np.frombuffer(b"".join(some), dtype=np.uint8)]
             word = np.repeat(np.arange(len(some), dtype=np.int32), lengths)
@@ -190,7 +191,7 @@ class Decoder:
     def __init__(self, path: str):
         import duckdb
 
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         known = ranks(path)
         vocabulary = pd.DataFrame({"id": np.array(list(known.values()), dtype=np.int32), "hex": [t.hex() for t in known]})  # noqa: F841
         self.db.execute("CREATE TABLE vocabulary AS SELECT * FROM vocabulary")
@@ -229,22 +230,24 @@ def _with(rows: DataFrame, *names: str) -> tuple[DataFrame, StructType]:
     return kept, StructType([*kept.schema.fields, *[StructField(n, BinaryType()) for n in names]])
 
 
-def encode(rows: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+def encode(rows: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False,
+           group: int = GROUP_CHARS) -> DataFrame:
     """rows with `ids`: little-endian unsigned 32-bit ids of the whole text; and, if asked for, `decoded`: the
-    bytes that these ids stand for, by the same worker."""
+    bytes that these ids stand for, by the same worker. `group` is the number of characters worked on at once,
+    one text at least."""
     kept, schema = _with(rows, "ids", *(["decoded"] if decoded else []))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = decoder = None
         for batch in batches:
-            encoder = encoder or Encoder(path, pattern)
+            encoder = encoder or Encoder(path, pattern, group)
             decoder = decoder or (Decoder(path) if decoded else None)
             texts = [t if isinstance(t, str) else None for t in batch[text]]
-            for a, b in groups(texts, lambda t: len(t or ""), GROUP_CHARS):
+            for a, b in groups(texts, lambda t: len(t or ""), group):
                 ids = encoder.encode(texts[a:b])
                 out = batch.iloc[a:b].assign(ids=ids)
                 if decoder:
-                    out["decoded"] = [d for c, e in groups(ids, lambda p: len(p) // 4, GROUP_IDS) for d in decoder.decode(ids[c:e])]
+                    out["decoded"] = [d for c, e in groups(ids, lambda p: len(p) // 4, group // CHARS_PER_ID) for d in decoder.decode(ids[c:e])]
                 yield out
         for used in (encoder, decoder):  # a worker serves many tasks: what one has gathered goes with it
             if used:
@@ -262,7 +265,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         for batch in batches:
             decoder = decoder or Decoder(path)
             packed = [bytes(p) if p is not None else b"" for p in batch[ids]]
-            for a, b in groups(packed, lambda p: len(p) // 4, GROUP_IDS):
+            for a, b in groups(packed, lambda p: len(p) // 4, GROUP_CHARS // CHARS_PER_ID):
                 yield batch.iloc[a:b].assign(decoded=decoder.decode(packed[a:b]))
         if decoder:
             decoder.db.close()
@@ -271,6 +274,7 @@ def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:
 
 
 def query(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    return encode(docs.select("doc_id", "text"), path, pattern, decoded=True).select(
+    # alone on its executors, it has the memory for larger groups
+    return encode(docs.select("doc_id", "text"), path, pattern, decoded=True, group=3 * GROUP_CHARS).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
