@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from sitewell.functions import exprs
 from sitewell.operators import conform, staging
-from sitewell.operators.translate import unmapped_sites
 
 
 class CheckFailed(RuntimeError):
@@ -49,18 +48,34 @@ def site_findings(unknown: DataFrame) -> DataFrame:
         .agg(F.sum("row_count").alias("row_count"))
 
 
-def dq_unmapped(sites: DataFrame, crosswalk: DataFrame, procedures: DataFrame, ledger: DataFrame,
-                labor: DataFrame, inventory: DataFrame, marketing: DataFrame,
-                strict: bool = False) -> DataFrame:
-    """Everything a mapping table does not recognize.
+def found_in(kinds: list[tuple[str, str, Column]]) -> Column:
+    """What a staged row with ``unmapped_site`` shows: (kind, value) of its site, or of its codes if the site
+    is known. Most rows show nothing."""
+    site = F.when(F.col(staging.UNMAPPED_SITE).isNotNull(), F.struct(
+        F.lit("location").alias("kind"), F.col(f"{staging.UNMAPPED_SITE}.value").alias("value")))
+    codes = [F.when(F.col(staging.UNMAPPED_SITE).isNull() & marker, F.struct(
+        F.lit(kind).alias("kind"), F.col(value).cast("string").alias("value"))) for kind, value, marker in kinds]
+    return F.array_compact(F.array(site, *codes))
 
-    ``sites`` holds (source_system, source_location) of every raw row. ``strict`` adds two kinds
-    that otherwise pass unseen: status words and earning codes nobody mapped.
-    """
-    subjects = {"procedures": procedures, "labor": labor, "ledger": ledger, "inventory": inventory, "marketing": marketing}
-    return reduce(DataFrame.unionByName, [
-        site_findings(unmapped_sites(sites, crosswalk)),
-        *[unmapped_codes(df, code_kinds(subject, strict)) for subject, df in subjects.items()]])
+
+def observed(staged: DataFrame, kinds: list[tuple[str, str, Column]], keys: list[str], sums: list[str]) -> DataFrame:
+    """One pass over a subject staged with its unknown sites: totals by ``keys`` beside what the rows show.
+    As many rows as keys have values, times the few things found there."""
+    return staged.groupBy(*keys, found_in(kinds).alias("found")).agg(
+        F.count(F.lit(1)).alias("row_count"), *[F.sum(c).alias(c) for c in sums])
+
+
+def findings(seen: list[DataFrame]) -> DataFrame:
+    """(kind, value, row_count) of subjects observed; a missing site has no text in any system, so all of
+    them count as one value."""
+    told = [df.where(F.size("found") > 0).select(F.explode("found").alias("_f"), "row_count").groupBy("_f.kind", "_f.value")
+            .agg(F.sum("row_count").alias("row_count")) for df in seen]
+    return reduce(DataFrame.unionByName, told).groupBy("kind", "value").agg(F.sum("row_count").alias("row_count"))
+
+
+def without_unknown(seen: DataFrame) -> DataFrame:
+    """Observed totals of known sites, as staged rows would give them."""
+    return seen.where(~F.exists("found", lambda f: f["kind"] == "location"))
 
 
 # Feeds beside the practice systems, and the system and column that name the site.
@@ -70,15 +85,6 @@ BUSINESS_SITES = {"ukg__timecards": ("ukg", "org_level1"), "sage_intacct__gl_det
                   "windsor__facebook_ads": ("windsor_facebook", "account_id")}
 
 
-def site_keys(lines: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
-    """(source_system, source_location) of every row that carries a site: the gathered practice
-    lines, and the business feeds present in ``raw``."""
-    parts = [lines.select("source_system", "source_location")]
-    parts += [raw[t].select(F.lit(system).alias("source_system"), F.col(c).alias("source_location"))
-              for t, (system, c) in BUSINESS_SITES.items() if t in raw]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def doubled_ads(performance: DataFrame, daily_ads: DataFrame) -> DataFrame:
     """Site-months in which both ad feeds carry Meta spend, which would then count twice.
     Both arguments are staged marketing rows, of one feed each."""

@@ -138,8 +138,9 @@ def _dated(column: str, kinds: str = "dates") -> Column:
     return exprs.per_system(kinds, {k: exprs.parse_date(column, k) for k in used})
 
 
-def conform_lines(lines: DataFrame, providers: DataFrame | None) -> DataFrame:
-    """Typed, translated procedure lines of all systems, before any site or code mapping.
+def conform_lines(lines: DataFrame, providers: DataFrame | None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Typed, translated procedure lines of all systems, before any code mapping; ``carry`` names further
+    columns to keep.
 
     The systems' words are joined in as literal tables rather than written out as one CASE per
     column: the generated code stays small enough to be compiled.
@@ -153,7 +154,7 @@ def conform_lines(lines: DataFrame, providers: DataFrame | None) -> DataFrame:
         F.concat("id_prefix", "patient").alias("patient_id"),
         _dated("service_date").alias("service_date"), "provider_id",
         F.nullif(F.col("code"), F.lit("")).alias("cdt_code"),
-        exprs.amount("fee").alias("fee"), exprs.amount("writeoff").alias("writeoff"), "status")
+        exprs.amount("fee").alias("fee"), exprs.amount("writeoff").alias("writeoff"), "status", *carry)
     return with_provider_type(typed, providers)
 
 

@@ -20,11 +20,25 @@ UNMAPPED_ITEM, OTHER_CHANNEL = "Unmapped category", "Other"
 VISIT_KEYS = ("location_key", "pms_system", "appointment_id", "patient_key", "service_date")
 
 
+# With ``unknown`` every staging function also keeps the rows of sites the crosswalk does not know: they have no
+# location_key, and the column unmapped_site names them. One pass then gives totals and findings.
+UNMAPPED_SITE = "unmapped_site"
+
+
+def _extra(unknown: bool) -> list[str]:
+    return [UNMAPPED_SITE] if unknown else []
+
+
 def procedures(lines: DataFrame, providers: DataFrame | None, crosswalk: DataFrame,
-               code_map: DataFrame) -> DataFrame:
+               code_map: DataFrame, unknown: bool = False) -> DataFrame:
     """One row per procedure line of every practice system. ``lines`` and ``providers`` come
     from :func:`conform.gather`."""
-    located = to_location(conform.conform_lines(lines, providers), crosswalk)
+    if unknown:  # a line of no known site has no provider there, and is not doubled by one listed twice
+        marked = to_location(lines, crosswalk, unknown=True)
+        known = F.when(F.col(UNMAPPED_SITE).isNull(), F.col("provider_id"))
+        located = conform.conform_lines(marked.withColumn("provider_id", known), providers, ("location_key", UNMAPPED_SITE))
+    else:
+        located = to_location(conform.conform_lines(lines, providers), crosswalk)
     coded = map_code(located, code_map, {"cdt_code": "cdt_code"}, ["category", "is_new_patient_code"])
     return coded.select(
         "location_key", F.col("source_system").alias("pms_system"), "appointment_id",
@@ -35,7 +49,7 @@ def procedures(lines: DataFrame, providers: DataFrame | None, crosswalk: DataFra
                F.coalesce("category", F.lit(conform.UNMAPPED_CODE))).alias("procedure_category"),
         F.coalesce("is_new_patient_code", F.lit(False)).alias("is_new_patient_code"),
         F.col("fee").alias("gross_production"), F.col("writeoff").alias("adjustments"),
-        (F.col("fee") - F.col("writeoff")).alias("net_production"))
+        (F.col("fee") - F.col("writeoff")).alias("net_production"), *_extra(unknown))
 
 
 # Visit statuses in alphabetical order. The last one among a visit's lines wins.
@@ -66,9 +80,9 @@ def payments(rows: DataFrame, crosswalk: DataFrame) -> DataFrame:
 
 
 def labor(timecards: DataFrame, crosswalk: DataFrame, job_map: DataFrame,
-          earning_map: DataFrame) -> DataFrame:
+          earning_map: DataFrame, unknown: bool = False) -> DataFrame:
     """Timecards with role, pay rules, the ledger account their cost posts to, and the cost."""
-    located = to_location(timecards, crosswalk, "ukg", "org_level1")
+    located = to_location(timecards, crosswalk, "ukg", "org_level1", unknown)
     jobs = map_code(located, job_map, {"job_code": "job_code"}, ["role", "is_clinical"],
                     {"role": UNMAPPED_JOB})
     paid = map_code(jobs, earning_map, {"earning_code": "earning_code"},
@@ -82,12 +96,12 @@ def labor(timecards: DataFrame, crosswalk: DataFrame, job_map: DataFrame,
         .otherwise(WAGES_OFFICE).alias("gl_account_no"),
         hours.alias("hours"),
         # the product is cut back to AMOUNT before any sum, else decimal growth eats its scale
-        (hours * rate * F.col("pay_multiplier")).cast(exprs.AMOUNT).alias("labor_cost"))
+        (hours * rate * F.col("pay_multiplier")).cast(exprs.AMOUNT).alias("labor_cost"), *_extra(unknown))
 
 
-def ledger(entries: DataFrame, crosswalk: DataFrame, account_map: DataFrame) -> DataFrame:
+def ledger(entries: DataFrame, crosswalk: DataFrame, account_map: DataFrame, unknown: bool = False) -> DataFrame:
     """Ledger lines signed so that expenses and revenue are both positive."""
-    located = to_location(entries, crosswalk, "sage_intacct", "locationid")
+    located = to_location(entries, crosswalk, "sage_intacct", "locationid", unknown)
     coded = map_code(located, account_map, {"accountno": "account_no"},
                      ["category", "is_opex", "mart_source"])
     sign = F.when(F.col("category") == "Revenue", -1).otherwise(1) * exprs.whole("tr_type")
@@ -96,11 +110,11 @@ def ledger(entries: DataFrame, crosswalk: DataFrame, account_map: DataFrame) ->
         F.col("accountno").alias("account_no"), F.col("accounttitle").alias("account_title"),
         F.col("departmentid").alias("department"),
         F.coalesce("category", F.lit(UNMAPPED_ACCOUNT)).alias("category"), "is_opex", "mart_source",
-        (exprs.amount("amount") * sign).cast(exprs.AMOUNT).alias("amount"))
+        (exprs.amount("amount") * sign).cast(exprs.AMOUNT).alias("amount"), *_extra(unknown))
 
 
-def inventory(usage: DataFrame, crosswalk: DataFrame, category_map: DataFrame) -> DataFrame:
-    located = to_location(usage, crosswalk, "inventory", "site_code")
+def inventory(usage: DataFrame, crosswalk: DataFrame, category_map: DataFrame, unknown: bool = False) -> DataFrame:
+    located = to_location(usage, crosswalk, "inventory", "site_code", unknown)
     coded = map_code(located, category_map, {"vendor_category": "vendor_category"}, ["category"],
                      {"category": UNMAPPED_ITEM})
     cost = exprs.amount("unit_cost")
@@ -108,27 +122,27 @@ def inventory(usage: DataFrame, crosswalk: DataFrame, category_map: DataFrame) -
         "location_key", exprs.parse_date("period", "period").alias("month"), "item_number", "description",
         "category",
         (exprs.amount("qty_issued") * cost).cast(exprs.AMOUNT).alias("supply_cost"),
-        (exprs.amount("qty_on_hand") * cost).cast(exprs.AMOUNT).alias("on_hand_value"))
+        (exprs.amount("qty_on_hand") * cost).cast(exprs.AMOUNT).alias("on_hand_value"), *_extra(unknown))
 
 
 def marketing(performance: DataFrame, crosswalk: DataFrame, channel_map: DataFrame,
-              daily_ads: DataFrame | None = None) -> DataFrame:
+              daily_ads: DataFrame | None = None, unknown: bool = False) -> DataFrame:
     """Channel performance by site and month; ``daily_ads`` is the optional second ad feed, which
     already names its channel. Without it nothing is added, as when its table was never landed."""
-    located = to_location(performance, crosswalk, "marketing", "site_slug")
+    located = to_location(performance, crosswalk, "marketing", "site_slug", unknown)
     coded = map_code(located, channel_map, {"utm_source": "utm_source", "utm_medium": "utm_medium"},
                      ["channel", "is_paid"], {"channel": OTHER_CHANNEL})
     feed = coded.select(
         "location_key", F.col("month").cast("date").alias("month"), "channel", "is_paid",
         F.col("utm_campaign").alias("campaign"), exprs.amount("cost").alias("spend"),
         *[exprs.whole(theirs).alias(ours) for theirs, ours in
-          (("sessions", "sessions"), ("form_submits", "form_leads"), ("appts_booked", "booked_appts"))])
+          (("sessions", "sessions"), ("form_submits", "form_leads"), ("appts_booked", "booked_appts"))], *_extra(unknown))
     if daily_ads is None:
         return feed
     day = "date_col" if "date_col" in daily_ads.columns else "date"
-    ads = to_location(daily_ads, crosswalk, "windsor_facebook", "account_id").select(
+    ads = to_location(daily_ads, crosswalk, "windsor_facebook", "account_id", unknown).select(
         "location_key", exprs.month_of(F.col(day).cast("date")).alias("month"),
         F.lit("Meta").alias("channel"), F.lit(True).alias("is_paid"), "campaign",
         exprs.amount("spend").alias("spend"), exprs.whole("clicks").alias("sessions"),
-        exprs.whole("actions_lead").alias("form_leads"), F.lit(0).alias("booked_appts"))
+        exprs.whole("actions_lead").alias("form_leads"), F.lit(0).alias("booked_appts"), *_extra(unknown))
     return feed.unionByName(ads)

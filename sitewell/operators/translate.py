@@ -14,16 +14,22 @@ CROSSWALK_KEY = ("source_system", "source_location")
 
 
 def to_location(df: DataFrame, crosswalk: DataFrame, system: str | None = None,
-                site: str = "source_location") -> DataFrame:
+                site: str = "source_location", unknown: bool = False) -> DataFrame:
     """Inner join to location_key. Rows of a site the crosswalk does not know leave; see
-    :func:`unmapped_sites`. With ``system`` the frame holds that one system only."""
+    :func:`unmapped_sites`. With ``system`` the frame holds that one system only. With ``unknown`` such
+    rows stay, and ``unmapped_site`` names their system and site; it is null for the others."""
     x = crosswalk.select(F.col("source_system").alias("_system"), F.col("source_location").alias("_site"),
                          "location_key")
     if system is None:
         on = (F.col("source_system") == F.col("_system")) & (F.col(site) == F.col("_site"))
     else:
         x, on = x.where(F.col("_system") == system), F.col(site) == F.col("_site")
-    return df.join(x, on, "inner").drop("_system", "_site")
+    if not unknown:
+        return df.join(x, on, "inner").drop("_system", "_site")
+    named = F.concat(F.col("source_system") if system is None else F.lit(system), F.lit(" / "), F.col(site))
+    marked = df.join(x.withColumn("_known", F.lit(True)), on, "left")
+    return marked.withColumn("unmapped_site", F.when(F.col("_known").isNull(), F.struct(named.alias("value")))) \
+        .drop("_system", "_site", "_known")
 
 
 def unmapped_sites(df: DataFrame, crosswalk: DataFrame) -> DataFrame:

@@ -238,7 +238,8 @@ def source_counts(spark, folder):
     UNION ALL SELECT 'Inventory', count(*) FROM all_supplied
     UNION ALL SELECT 'Marketing / websites', count(*) + count(*) FILTER (event_type = 'view') FROM all_events""")
 def raw_source_counts(s):
-    tables = {**feeds.vendor_tables(publish.settled(s.practice["lines"]), "lines"), **s.raw, "pms_x__payments": s.practice["payments"]}
+    # each delivered line is one row of its practice feed: counts come from the files' footers, nothing is joined
+    tables = {**s.raw, "pms_x__procedures": s.delivered_lines, "pms_x__payments": s.practice["payments"]}
     return publish.source_counts(publish.table_counts(tables), publish.source_group())
 
 
@@ -704,9 +705,7 @@ def operations_monthly(s):
 # --- checks -----------------------------------------------------------------------------------------
 
 def _problems(s: Sample, strict: bool) -> DataFrame:
-    st = s.staged
-    return checks.dq_unmapped(checks.site_keys(s.practice["lines"], s.raw), s.seeds["location_crosswalk"], st["stg_pms_procedures"],
-                              st["stg_sage_gl"], st["stg_ukg_labor"], st["stg_inventory"], st["stg_marketing"], strict)
+    return warehouse.find_problems(s.raw, s.seeds, strict, s.practice)
 
 
 @on_sample("dq_unmapped", "SELECT * FROM unmapped")
@@ -779,7 +778,7 @@ def missing_sides(s):
     UNION ALL SELECT 'variance percent', category, round(CAST(sum(variance) AS DOUBLE) / CAST(sum(ops_amount) AS DOUBLE) * 100, 2)
     FROM recon GROUP BY ALL""")
 def build_summary(s):
-    return checks.summary(_problems(s, False), s.marts["mart_reconciliation"])
+    return warehouse.build_report(s.practice, s.raw, s.seeds)
 
 
 # --- publishing -------------------------------------------------------------------------------------

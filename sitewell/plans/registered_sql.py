@@ -3,6 +3,13 @@ the library: no text round trip, maps as conditions, one statement per query."""
 
 from __future__ import annotations
 
+from sitewell.operators.marts import FACILITY_CATEGORIES, PAYROLL_BURDEN_ACCOUNTS
+
+
+def _listed(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
 SYSTEM = ("CASE {k} % 7 WHEN 0 THEN 'open_dental' WHEN 1 THEN 'dentrix_ascend' WHEN 2 THEN 'sensei' "
           "WHEN 3 THEN 'dolphin' WHEN 4 THEN 'tdo' WHEN 5 THEN 'dentrix' ELSE 'dox' END")
 PREFIX = ("CASE {k} % 7 WHEN 0 THEN 'OD-' WHEN 1 THEN '' WHEN 2 THEN 'SN-' WHEN 3 THEN '' "
@@ -152,15 +159,13 @@ CTES = {
                CASE WHEN is_overtime THEN labor_cost ELSE 0 END AS overtime_cost,
                CASE WHEN is_productive THEN hours ELSE 0 END AS labor_hours,
                CASE WHEN is_overtime THEN hours ELSE 0 END AS overtime_hours FROM labor""",
-    "facts": """
+    "facts": f"""
         SELECT * FROM dated
         UNION ALL BY NAME SELECT location_key, month, amount AS total_opex,
                CASE category WHEN 'Doctor Compensation' THEN amount ELSE 0 END AS doctor_comp,
                CASE account_no WHEN '5200' THEN amount ELSE 0 END AS lab_fees,
-               CASE WHEN account_no BETWEEN '6040' AND '6080' AND account_no LIKE '60_0' THEN amount ELSE 0 END
-               AS payroll_taxes_benefits,
-               CASE WHEN list_contains(['Occupancy', 'Utilities', 'Facilities & Maintenance'], category) THEN amount ELSE 0 END
-               AS facility_costs FROM opex
+               CASE WHEN account_no IN ({_listed(PAYROLL_BURDEN_ACCOUNTS)}) THEN amount ELSE 0 END AS payroll_taxes_benefits,
+               CASE WHEN category IN ({_listed(FACILITY_CATEGORIES)}) THEN amount ELSE 0 END AS facility_costs FROM opex
         UNION ALL BY NAME SELECT location_key, month, supply_cost, on_hand_value AS inventory_on_hand FROM inventory
         UNION ALL BY NAME SELECT location_key, month, spend AS marketing_spend, form_leads AS leads,
                booked_appts AS booked_from_marketing FROM marketing""",

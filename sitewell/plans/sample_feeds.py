@@ -276,6 +276,7 @@ class Sample:
             "ukg__timecards": lambda: timecards(*at), "sage_intacct__gl_detail": lambda: ledger_entries(*at),
             "inventory__usage": lambda: supply_usage(*at),
             "marketing__channel_performance": lambda: channel_performance(*at), DAILY_ADS: lambda: daily_ads(*at)})
+        self.delivered_lines = table(spark, folder, "lineitem")
         self.seeds = seeds(*at)
         self.staged = stage_gathered(self.practice, self.raw, self.seeds)
         self.marts = build_marts(self.staged, self.seeds)

@@ -17,8 +17,7 @@ DAILY_ADS = "windsor__facebook_ads"
 
 def stage(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> Frames:
     """Staging frames by name, lazily, from raw tables as landed."""
-    return stage_gathered(Frames({s: lambda s=s: conform.gather(raw, s) for s in ("lines", "providers", "payments")}),
-                          raw, seeds)
+    return stage_gathered(gathered(raw), raw, seeds)
 
 
 def stage_gathered(practice: Mapping[str, DataFrame], raw: Mapping[str, DataFrame],
@@ -65,12 +64,51 @@ def build_marts(staged: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame])
     return built
 
 
-def find_problems(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], staged: Mapping[str, DataFrame],
-                  strict: bool = False) -> DataFrame:
-    sites = checks.site_keys(conform.gather(raw, "lines"), raw)
-    return checks.dq_unmapped(sites, seeds["location_crosswalk"], staged["stg_pms_procedures"],
-                              staged["stg_sage_gl"], staged["stg_ukg_labor"], staged["stg_inventory"],
-                              staged["stg_marketing"], strict)
+def observe(practice: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame],
+            strict: bool = False) -> Frames:
+    """Totals and findings by subject, each from one pass over its feed; lazily."""
+    site = seeds["location_crosswalk"]
+
+    def seen(subject: str, staged: DataFrame, keys: list[str], sums: list[str]) -> DataFrame:
+        return checks.observed(staged, checks.code_kinds(subject, strict), keys, sums)
+
+    return Frames({
+        "procedures": lambda: seen("procedures", staging.procedures(
+            practice["lines"], practice["providers"], site, seeds["cdt_procedure_map"], unknown=True), [], []),
+        "labor": lambda: seen("labor", staging.labor(
+            raw["ukg__timecards"], site, seeds["ukg_job_map"], seeds["ukg_earning_map"], unknown=True),
+            list(marts.MONTH_KEYS), ["labor_cost"]),
+        "ledger": lambda: seen("ledger", staging.ledger(
+            raw["sage_intacct__gl_detail"], site, seeds["gl_account_map"], unknown=True),
+            [*marts.MONTH_KEYS, "mart_source"], ["amount"]),
+        "inventory": lambda: seen("inventory", staging.inventory(
+            raw["inventory__usage"], site, seeds["inventory_category_map"], unknown=True), list(marts.MONTH_KEYS), ["supply_cost"]),
+        "marketing": lambda: seen("marketing", staging.marketing(
+            raw["marketing__channel_performance"], site, seeds["marketing_channel_map"], raw.get(DAILY_ADS), unknown=True),
+            list(marts.MONTH_KEYS), ["spend"]),
+    })
+
+
+def gathered(raw: Mapping[str, DataFrame]) -> Frames:
+    """The practice feeds of all systems, a table per subject."""
+    return Frames({s: lambda s=s: conform.gather(raw, s) for s in ("lines", "providers", "payments")})
+
+
+def find_problems(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame], strict: bool = False,
+                  practice: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Everything a mapping table does not recognize, (kind, value, row_count), from one pass over each feed."""
+    seen = observe(practice or gathered(raw), raw, seeds, strict)
+    return checks.findings([seen[s] for s in seen])
+
+
+def build_report(practice: Mapping[str, DataFrame], raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> DataFrame:
+    """The build summary from the feeds alone: findings and reconciliation out of the same passes."""
+    lazily = observe(practice, raw, seeds)
+    seen = {s: publish.settled(lazily[s]) for s in lazily}  # of mart size
+    known = {s: checks.without_unknown(df) for s, df in seen.items()}
+    recon = marts.reconciliation(staging.payments(practice["payments"], seeds["location_crosswalk"]), known["labor"],
+                                 known["inventory"], known["marketing"], known["ledger"])
+    return checks.summary(checks.findings(list(seen.values())), recon)
 
 
 def rejects(raw: Mapping[str, DataFrame], seeds: Mapping[str, DataFrame]) -> DataFrame:
@@ -153,7 +191,7 @@ def build(spark: SparkSession, raw: Mapping[str, DataFrame], seeds: Mapping[str,
     staged = write_layer(stage(raw, seeds), "staging")
     left_out = all_rejects(raw, seeds)
     found = write_layer(Frames({**{name: lambda name=name: left_out[name] for name in left_out},
-                                "dq_unmapped": lambda: find_problems(raw, seeds, staged, strict)}), "staging", None)
+                                "dq_unmapped": lambda: find_problems(raw, seeds, strict)}), "staging", None)
     built = write_layer(build_marts(staged, seeds), "marts", None)
     write_layer(findings(raw, seeds, staged, built), "staging", None)
     if documents:

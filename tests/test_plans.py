@@ -51,3 +51,34 @@ def test_feeds_of_seven_systems_join_lines_once(spark, name):
 
 def test_one_scan_of_providers(spark):
     assert plan(spark, "od_providers").count("supplier.parquet") == 1
+
+
+def scans(text, name):
+    return [line for line in text.splitlines() if f"{name}.parquet" in line and "FileScan" in line]
+
+
+@pytest.mark.parametrize("name", ["source_counts", "raw_source_counts"])
+def test_counts_read_no_column(spark, name):
+    text = plan(spark, name)
+    counted = ["orders", "lineitem", "supplier", "pages", "documents", "conversations"] if name == "source_counts" else ["lineitem"]
+    for which in counted:
+        found = scans(text, which)
+        assert found and all("ReadSchema: struct<>" in line for line in found), which
+    assert "SortMergeJoin" not in text
+
+
+def test_findings_read_each_feed_once(spark):
+    for name in ("dq_unmapped", "dq_unmapped_strict"):
+        assert len(scans(plan(spark, name), "lineitem")) == 4, name
+
+
+def test_build_summary_reads_each_feed_once(spark, monkeypatch):
+    from sitewell.operators import publish
+    passes, settled = [], publish.settled
+
+    def counted(df):
+        passes.append(len(scans(df._jdf.queryExecution().executedPlan().toString(), "lineitem")))
+        return settled(df)
+
+    monkeypatch.setattr(publish, "settled", counted)
+    assert len(scans(plan(spark, "build_summary"), "lineitem")) + sum(passes) == 4
