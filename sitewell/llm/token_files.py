@@ -45,7 +45,8 @@ MARKS = frozenset(".,;:!?")
 
 
 class PartEncoder:
-    """Ids of texts by the tokenizers library. Places before which a space stands never fall inside a match
+    """Ids of texts by the tokenizers library as it comes, so the string of a special token in a text is that
+    token. Places before which a space stands never fall inside a match
     of the byte-level split pattern, so parts between them are encoded once, many in one call."""
 
     def __init__(self, path: str):
@@ -53,7 +54,8 @@ class PartEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # strings of special tokens are what the library makes of them: such texts are encoded whole
+        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         size = self.tokenizer.get_vocab_size()
         # each character of a byte-level token stands for one byte
         self.length = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
@@ -73,7 +75,7 @@ class PartEncoder:
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [parts_of(t) for t in texts]
+        split = [(t, []) if any(x in t for x in self.specials) else parts_of(t) for t in texts]
         unseen = set().union(*[rest for _, rest in split])
         if len(self.parts) + len(unseen) > CACHED_PARTS:
             self.parts = {}

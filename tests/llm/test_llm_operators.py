@@ -201,8 +201,9 @@ def test_every_notice_is_confirmed(spark):
 
 def test_token_files_round_trip(spark, edges, tmp_path):
     library = Tokenizer.from_file(BYTE_BPE)
-    library.encode_special_tokens = True
-    for name, docs in (("t", table(spark, "documents")), ("e", edges)):
+    marks = spark.createDataFrame([(1, "a  <|endoftext|> b"), (2, "<|endoftext|>"), (3, "x<|endoftext|>y <|endoftext|>\n\n z"), (4, "<|endoftext")],
+                                  "doc_id long, text string")
+    for name, docs in (("t", table(spark, "documents")), ("e", edges), ("s", marks)):
         token_files.write(docs, str(tmp_path / name), BYTE_BPE)
         got = token_files.read(spark, str(tmp_path / name)).orderBy("start").collect()
         order = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).orderBy(
