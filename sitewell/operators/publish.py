@@ -10,12 +10,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewell.functions import exprs
 from sitewell.session import checkpointing
+from sitewell.sources import landing
 
 # Sites from this key on are connector test accounts; months per chunk.
 TEST_SITE_KEY = 99
@@ -55,6 +56,12 @@ def chunked(df: DataFrame, span: int = SPAN, month: str = "month") -> DataFrame:
         .withColumn("chunk", F.floor(exprs.months_apart(last, month) / F.lit(span)).cast("int"))
 
 
+def calendar_chunks(df: DataFrame, span: int = SPAN, month: str = "month") -> DataFrame:
+    """Add ``chunk``: spans of months counted from year 0, so that a new month never moves an older one to
+    another chunk, as it does in :func:`chunked`."""
+    return df.withColumn("chunk", F.floor((F.year(month) * 12 + F.month(month) - 1) / F.lit(span)).cast("int"))
+
+
 def site_block(block: int = BLOCK) -> Column:
     return F.floor(F.col("location_key") / F.lit(block)).cast("int")
 
@@ -116,6 +123,25 @@ def dictionary(df: DataFrame, keys: list[str], labels: list[str], name: str = "i
     return row_numbers(entries, keys, name)
 
 
+def kept_dictionary(df: DataFrame, keys: list[str], labels: list[str], table: str, name: str = "i") -> DataFrame:
+    """A dictionary that outlives its facts: entries of earlier builds keep their position and label, also when
+    nothing uses them any more, and new ones follow behind. So documents written before stay readable. A
+    missing key is an entry like any other. The table is replaced as a whole once the new one is complete."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        landing.replace_snapshot(dictionary(df, keys, labels, name), table)
+        return spark.table(table)
+    known = spark.table(table)
+    same = reduce(Column.__and__, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys])
+    new = df.alias("n").join(known.select(*keys).alias("o"), same, "left_anti")
+    after = known.agg(F.max(name).alias("last")).first()["last"]
+    added = row_numbers(new.groupBy(*keys).agg(*[F.min(c).alias(c) for c in labels]), keys, name)
+    added = added.withColumn(name, F.col(name) + F.lit(0 if after is None else after + 1))
+    if not added.isEmpty():
+        landing.replace_snapshot(known.unionByName(added), table)
+    return spark.table(table)
+
+
 def encode(df: DataFrame, entries: DataFrame, keys: list[str], name: str = "i") -> DataFrame:
     """Replace ``keys`` by their dictionary position."""
     return df.join(entries.select(*keys, name), keys).drop(*keys)
@@ -231,6 +257,38 @@ def opex_rows(entries: DataFrame, packed: DataFrame) -> DataFrame:
         "account_no", "account_title", "category", "source", F.col("amt").alias("amount"))
 
 
+def write_changed(documents: DataFrame, path: str, by: list[str]) -> DataFrame:
+    """Write only the documents that differ from those published before; returns the rewritten groups.
+
+    ``by`` names the columns that make up a document's place, such as chunk and block; each place is a folder
+    of JSON lines. The digest of every place lies beside the documents, in a folder that readers skip. It is
+    written last, so after a failure the places in doubt are written again. Places that no document has any
+    more are emptied.
+    """
+    spark = documents.sparkSession
+    row = F.md5(F.to_json(F.struct(*documents.columns), {"ignoreNullFields": "false"}))
+    told = settled(documents.withColumn("_digest", row))
+    now = told.groupBy(*by).agg(F.md5(F.array_join(F.array_sort(F.collect_list("_digest")), ",")).alias("digest"))
+    files, beside = _place(spark, f"{path.rstrip('/')}/_digests")
+    before = now.limit(0) if not files.exists(beside) else spark.read.schema(now.schema).parquet(beside.toString())
+    places = reduce(Column.__and__, [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in by])
+    news = settled(now.alias("n").join(before.alias("o"), places & (F.col("n.digest") == F.col("o.digest")), "left_anti"))
+    gone = before.alias("n").join(now.alias("o"), places, "left_anti").select(*by).collect()  # a row per place
+    changed = told.alias("n").join(news.select(*by).alias("o"), places, "left_semi").drop("_digest")
+    if not news.isEmpty():
+        changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).json(path, ignoreNullFields=False)
+    for place in gone:
+        files, at = _place(spark, "/".join([path.rstrip("/"), *[f"{c}={place[c]}" for c in by]]))
+        files.delete(at, True)
+    settled(now).write.mode("overwrite").parquet(beside.toString())
+    return news.select(*by)
+
+
+def _place(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """JSON lines, one document each; replaced as a whole, complete once _SUCCESS appears."""
     documents.write.mode("overwrite").json(path, ignoreNullFields=False)

@@ -871,6 +871,42 @@ def dictionary_encode(spark, folder):
     return entries.join(uses, "i")
 
 
+@registered("dictionary_kept", """
+    SELECT p_type, p_brand, (row_number() OVER (ORDER BY first_use, p_type, p_brand)) - 1 AS i, uses
+    FROM (SELECT p_type, p_brand, min(CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 0 ELSE 1 END) AS first_use, count(*) AS uses
+          FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY p_type, p_brand)""")
+def dictionary_kept(spark, folder):
+    # a first build meets some of the parts, the second all: the entries of the first keep their places
+    part = table(spark, folder, "part").select("p_partkey", "p_type", "p_brand", "p_name")
+    used = table(spark, folder, "lineitem").join(part, F.col("p_partkey") == F.col("l_partkey"))
+    name, keys = f"dictionary_{uuid.uuid4().hex}", ["p_type", "p_brand"]
+    first = used.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7))
+    for facts in (first, used):
+        entries = publish.kept_dictionary(facts, keys, ["p_name"], name)
+    uses = publish.encode(used, entries, keys).groupBy("i").agg(F.count(F.lit(1)).alias("uses"))
+    return entries.join(uses, "i").select(*keys, "i", "uses")
+
+
+@registered("publish_changed", f"""
+    SELECT CAST(floor((year(o_orderdate) * 12 + month(o_orderdate) - 1) / 6) AS INTEGER) AS chunk, count(*) AS orders,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total,
+           max({MONTH.format(d='o_orderdate')}) = (SELECT max({MONTH.format(d='o_orderdate')}) FROM orders) AS rewritten
+    FROM orders GROUP BY 1""")
+def publish_changed(spark, folder):
+    # months published without the newest one, then with it: which chunks are written again, and what all hold
+    per = table(spark, folder, "orders").groupBy(exprs.month_of("o_orderdate").alias("month")).agg(
+        F.count(F.lit(1)).alias("orders"), F.sum(money("o_totalprice")).alias("total"))
+    months = publish.settled(publish.calendar_chunks(per))
+    path, newest = f"{shared_folder(spark)}/published-{uuid.uuid4().hex}", F.lit(months.agg(F.max("month")).first()[0])
+    for some in (months.where(F.col("month") < newest), months):
+        packed = publish.pack(some.withColumn("month", exprs.month_text("month")), ["chunk"], ["month"], ["month", "orders", "total"])
+        again = publish.write_changed(packed, path, ["chunk"])
+    held = spark.read.schema("month array<string>, orders array<bigint>, total array<decimal(28,2)>, chunk int").json(path)
+    rows = publish.unpack(held, ["chunk"], ["month", "orders", "total"])
+    sums = rows.groupBy("chunk").agg(F.sum("orders").alias("orders"), F.sum("total").alias("total"))
+    return doubles(sums.join(again.withColumn("rewritten", F.lit(True)), "chunk", "left").na.fill(False, ["rewritten"]))
+
+
 @on_sample("opex_documents", f"""
     SELECT chunk, 0 AS block, {_arrays("o.month, o.location_key, i", k='o.location_key',
         m='(year(o.month) - year(o.first)) * 12 + month(o.month) - month(o.first)', i='i', amt='CAST(round(amount) AS DECIMAL(28,0))')}

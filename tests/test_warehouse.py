@@ -357,3 +357,40 @@ def test_bounded_documents(spark):
                                     F.lit(1).alias("leads"), F.lit(1).alias("booked"))
     packed = publish.dataset("channels", mart, first_test_key=10_000)
     assert sorted(len(r["spend"]) for r in packed.collect()) == [200, 500, 500]
+
+
+def test_dictionary_keeps_its_positions(spark):
+    first = spark.createDataFrame([("b", "x", "B"), ("d", "x", "D"), (None, "x", "none")], "k string, s string, label string")
+    then = spark.createDataFrame([("a", "x", "A"), ("d", "x", "A new name"), ("c", "y", "C"), (None, "x", "none")], "k string, s string, label string")
+    before = {(r["k"], r["s"]): (r["i"], r["label"]) for r in publish.kept_dictionary(first, ["k", "s"], ["label"], "kept_entries").collect()}
+    assert before == {(None, "x"): (0, "none"), ("b", "x"): (1, "B"), ("d", "x"): (2, "D")}
+    packed = publish.encode(first.where("k is not null"), spark.table("kept_entries"), ["k", "s"]).select("i").collect()
+    for _ in range(2):
+        after = {(r["k"], r["s"]): (r["i"], r["label"]) for r in publish.kept_dictionary(then, ["k", "s"], ["label"], "kept_entries").collect()}
+        assert after == {**before, ("a", "x"): (3, "A"), ("c", "y"): (4, "C")}
+    names = {i: k for (k, _), (i, _) in after.items()}
+    assert sorted(names[r["i"]] for r in packed) == ["b", "d"]  # documents of the first build, read with the new entries
+
+
+def test_only_changed_chunks_are_written(spark, tmp_path):
+    path = str(tmp_path / "docs")
+
+    def published(*facts):
+        rows_in = spark.createDataFrame(facts, "month date, location_key int, v double")
+        packed = publish.pack(publish.calendar_chunks(rows_in), ["chunk"], ["month", "location_key"], ["month", "location_key", "v"])
+        again = sorted(r["chunk"] for r in publish.write_changed(packed, path, ["chunk"]).collect())
+        files = {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "docs").glob("chunk=*/*.json")}
+        return again, files
+
+    old = [(dt.date(2024, m, 1), 1, float(m)) for m in range(1, 13)]
+    first, files = published(*old)
+    assert len(first) == 2 and len(files) == 2
+    january = (dt.date(2025, 1, 1), 1, None)
+    again, more = published(*old, january)
+    assert len(again) == 1 and again[0] not in first and all(more[p] == files[p] for p in files)
+    assert published(*old, january)[0] == []
+    changed, _ = published(*old[:-1], (dt.date(2024, 12, 1), 1, 99.0), january)
+    assert changed == [first[1]]
+    body = spark.read.json(path).where(F.col("chunk") == again[0]).first()
+    assert body["v"] == [None] and body["location_key"] == [1]
+    assert published(*old)[0] == [first[1]] and len(list((tmp_path / "docs").glob("chunk=*"))) == 2
