@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sitewell.functions import exprs
@@ -109,6 +109,34 @@ def nulls(df: DataFrame, columns: list[str]) -> DataFrame:
     return counted.unpivot([], columns, "column_name", "null_rows").where("null_rows > 0")
 
 
+def watched(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Observation]:
+    """A frame to be written, and what its write will have counted: rows, and for each column its nulls and
+    bounds. Nothing is read again for it. The counts are taken in the tasks that write, each of which counts
+    once, also when it is repeated; so no step that shuffles may follow."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("row_count"), *[m for c in columns for m in (
+        F.count_if(F.col(c).isNull()).alias(f"null_rows:{c}"), F.min(F.col(c).cast("string")).alias(f"lowest:{c}"),
+        F.max(F.col(c).cast("string")).alias(f"highest:{c}"))]), seen
+
+
+def counted(table: str, columns: list[str], seen: Observation) -> list[tuple]:
+    """(table, column, row_count, null_rows, lowest, highest) of a write that has ended; bounds are of texts."""
+    got = seen.get  # nothing is counted where the optimizer knows that there are no rows
+    return [(table, c, got.get("row_count", 0), got.get(f"null_rows:{c}", 0), got.get(f"lowest:{c}"), got.get(f"highest:{c}"))
+            for c in columns]
+
+
+WRITE_COUNTS = "table_name string, column_name string, row_count long, null_rows long, lowest string, highest string"
+
+
+def nulls_written(counts: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    """What :func:`nulls` finds in a table, from the counts of its write. A column nobody counted is a finding
+    without a number."""
+    asked = counts.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+    here = counts.where(F.col("table_name") == table).select("column_name", "null_rows")
+    return asked.join(here, "column_name", "left").where("null_rows IS NULL OR null_rows > 0")
+
+
 def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")

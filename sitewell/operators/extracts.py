@@ -8,11 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sitewell.functions import exprs
+from sitewell.operators import checks
 from sitewell.sources.landing import since_window
 
 # Status codes of the source databases and the text styles they print dates in.
@@ -157,6 +158,50 @@ def flatten_xml(pages: DataFrame, text: str, record: str, columns: list[str]) ->
     return pages.select(F.inline(records))
 
 
+def xml_pieces(spark: SparkSession, path: str | list[str], record: str) -> DataFrame:
+    """(file, value): files of ledger pages cut behind each record. The text reader cuts at any separator and
+    reads a file in splits, so a page may be larger than what one task reads."""
+    return spark.read.text(path, lineSep=f"</{record}>").select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def xml_page_faults(pieces: DataFrame, page: str = "response") -> DataFrame:
+    """(file, message) of files that are not one whole page with status ``success``; empty when all are. Counts
+    and words of a file's pieces are folded before they meet. The status is looked for outside ``data``, so a
+    record's own field of that name is not taken for it."""
+    begins, ends = F.col("value").contains(f"<{page}"), F.col("value").contains(f"</{page}>")
+    head = F.when(begins, F.substring_index(F.substring_index("value", "<data", 1), "<result", -1))
+    tail = F.when(F.col("value").contains("</data>"), F.substring_index("value", "</data>", -1))
+    outside = F.concat_ws(" ", head, tail)
+
+    def word(tag: str) -> Column:
+        return F.max(F.nullif(F.regexp_extract(outside, rf"(?s)<{tag}>\s*([^<]*?)\s*</{tag}>", 1), F.lit("")))
+
+    files = pieces.groupBy("file").agg(
+        F.sum(F.regexp_count("value", F.lit(rf"<{page}[\s>]"))).alias("begun"), F.count_if(ends).alias("ended"),
+        word("status").alias("status"), word("description2").alias("said"))
+    message = F.when((F.col("begun") != 1) | (F.col("ended") != 1), "not one whole page").when(
+        F.coalesce(F.col("status") != "success", F.lit(True)), F.coalesce("said", F.lit("no success status")))
+    return files.select("file", message.alias("message")).where("message IS NOT NULL")
+
+
+def read_xml(spark: SparkSession, path: str | list[str], record: str, columns: list[str], page: str = "response") -> DataFrame:
+    """Records of files of ledger pages as text rows, the rows :func:`flatten_xml` gives for the same pages, but
+    a file is read in splits. One page per file; a record's closing tag stands in no comment or CDATA.
+
+    One job over the files first folds what their statuses and ends say: an unsuccessful or torn page fails
+    with its message before any row is handed out. Pieces that do not parse fail when they are read."""
+    pieces = xml_pieces(spark, path, record)
+    checks.expect_empty(xml_page_faults(pieces, page), "ledger pages")
+    # what follows the last closing tag of a page can still hold records of a single, self-closing tag
+    last = F.regexp_extract("value", rf"(?s)((?:<{record}(?:\s[^<>]*)?/>\s*)+)", 1)
+    rest = F.regexp_extract("value", rf"(?s)(<{record}[\s/>].*)", 1)
+    body = F.when(F.col("value").contains(f"</{page}>"), last).when(rest != "", F.concat(rest, F.lit(f"</{record}>")))
+    fields = ", ".join(f"{c} string" for c in columns)
+    parsed = F.from_xml(F.concat(F.lit("<piece>"), body, F.lit("</piece>")), f"{record} array<struct<{fields}>>",
+                        {"rowTag": "piece", "mode": "FAILFAST"})
+    return pieces.where(F.coalesce(body, F.lit("")) != "").select(F.inline(parsed[record]))
+
+
 # --- marketing: three feeds folded to one row per site, month, source and medium -------------------
 
 CHANNEL_KEYS = ["site_slug", "month", "utm_source", "utm_medium"]

@@ -430,6 +430,26 @@ def xml_flatten(spark, folder):
         F.sum(exprs.amount("AMOUNT")).alias("total")))
 
 
+@registered("xml_files", """
+    SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n,
+           CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY ALL""")
+def xml_files(spark, folder):
+    # the orders as files of ledger pages, one page of some thousand records each, read in pieces
+    drop = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    order = table(spark, folder, "orders").select(
+        F.floor(F.col("o_orderkey") / 20000).alias("page"), F.lit(1).alias("place"), F.concat(
+            F.lit("<gldetail><AMOUNT>"), money("o_totalprice").cast("string"), F.lit("</AMOUNT><STATUS>"), "o_orderstatus",
+            F.lit("</STATUS><PRIORITY>"), "o_orderpriority", F.lit("</PRIORITY></gldetail>")).alias("value"))
+    ends = order.select("page").distinct().select("page", F.inline(F.array(
+        F.struct(F.lit(0).alias("place"), F.lit("<response><result><status>success</status><data>").alias("value")),
+        F.struct(F.lit(2), F.lit("</data></result></response>")))))
+    order.unionByName(ends).repartition("page").sortWithinPartitions("page", "place").select("page", "value") \
+        .write.partitionBy("page").text(drop)
+    flat = extracts.read_xml(spark, drop, "gldetail", ["AMOUNT", "STATUS", "PRIORITY"])
+    return doubles(flat.groupBy(F.col("STATUS").alias("status"), F.col("PRIORITY").alias("priority")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(exprs.amount("AMOUNT")).alias("total")))
+
+
 @registered("tag_extract", """
     SELECT regexp_extract(url, 'utm_source=([a-z0-9-]+)', 1) AS site_slug, count(*) AS pages, sum(length(html))::BIGINT AS size
     FROM pages WHERE regexp_extract(url, 'utm_source=([a-z0-9-]+)', 1) <> '' GROUP BY ALL""")
@@ -746,6 +766,19 @@ def check_not_null(s):
     return checks.nulls(s.marts["mart_location_monthly"], ["location_key", "collections", "marketing_spend"])
 
 
+@on_sample("nulls_written", """
+    SELECT * FROM (SELECT 'collections' AS column_name, count(*) FILTER (collections IS NULL) AS null_rows FROM scorecard
+    UNION ALL SELECT 'marketing_spend', count(*) FILTER (marketing_spend IS NULL) FROM scorecard
+    UNION ALL SELECT 'location_key', count(*) FILTER (location_key IS NULL) FROM scorecard) WHERE null_rows > 0""")
+def nulls_written(s):
+    # counted by the tasks that write the mart; the written mart is not read
+    columns, spark = ["location_key", "collections", "marketing_spend"], s.delivered_lines.sparkSession
+    mart, seen = checks.watched(s.marts["mart_location_monthly"], columns)
+    mart.write.parquet(f"{shared_folder(spark)}/watched-{uuid.uuid4().hex}")
+    counts = spark.createDataFrame(checks.counted("scorecard", columns, seen), checks.WRITE_COUNTS)
+    return checks.nulls_written(counts, "scorecard", columns)
+
+
 @registered("check_unique", """
     SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem GROUP BY ALL HAVING count(*) > 1""")
 def check_unique(spark, folder):
@@ -919,6 +952,16 @@ def opex_documents(s):
     return _joined(packed.drop("first_month"), ["k", "m", "i", "amt"])
 
 
+@on_sample("account_entries", """
+    SELECT CAST(row_number() OVER (ORDER BY account_no, source) - 1 AS BIGINT) AS i,
+           concat_ws('|', account_no, min(account_title), min(category), source) AS entry
+    FROM opex WHERE location_key < 20 GROUP BY account_no, source""")
+def account_entries(s):
+    entries, _ = publish.opex_documents(publish.settled(s.marts["mart_opex_monthly"]), first_test_key=20)
+    return entries.select(F.col("i").cast("bigint").alias("i"), publish.entry_text(
+        ["account_no", "account_title", "category", "source"]).alias("entry"))
+
+
 @registered("chunk_months", """
     SELECT chunk, min(month_index)::INTEGER AS first_index, max(month_index)::INTEGER AS last_index, count(*) AS orders FROM (
         SELECT CAST(floor(((year(last) - year(o_orderdate)) * 12 + month(last) - month(o_orderdate)) / 6) AS INTEGER) AS chunk,

@@ -1,6 +1,9 @@
 import datetime as dt
 
-from sitewell.operators import extracts
+import pytest
+from pyspark.sql import functions as F
+
+from sitewell.operators import checks, extracts
 from tests.conftest import rows
 
 DAY = dt.date(2025, 3, 5)
@@ -37,3 +40,43 @@ def test_feeds_fold(spark):
     assert got == {("google", "cpc"): (1.234568, 0, 0), ("facebook", "paid_social"): (0.0, 0, 0),
                    ("google", "organic"): (10.0, 5, 2)}
     assert {r["utm_campaign"] for r in folded.collect()} == {"(not set)"}
+
+
+PAGE = "<response><control><status>success</status></control>\n<result><status>{s}</status>{e}{d}</result></response>\n"
+
+
+def ledger_page(records, status="success", error=""):
+    data = f"<data listtype='gldetail' count='9'>{''.join(records)}</data>" if records is not None else ""
+    return PAGE.format(s=status, e=error, d=data)
+
+
+def test_xml_pages_are_read_in_pieces(spark, tmp_path):
+    detail = [f'<gldetail browse="{i}"><NO>{i}</NO><status>odd</status>' + (f"<MEMO>a &lt; b &amp; {i}\nzwei</MEMO>" if i % 3 else "<MEMO/>")
+              + "</gldetail>\n" for i in range(3000)]
+    pages = {"long": ledger_page(detail), "mixed": ledger_page(["<gldetail/>", *detail[:2], "<gldetail />", "<gldetail/>"]),
+             "none": ledger_page([]), "single": ledger_page(["<gldetail/>"])}
+    for name, text in pages.items():
+        (tmp_path / f"{name}.xml").write_text(text, encoding="utf-8")
+    columns = ["NO", "MEMO", "status", "ABSENT"]
+    whole = extracts.flatten_xml(spark.createDataFrame([(t,) for t in pages.values()], "body string"), "body", "gldetail", columns)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        pieces = extracts.read_xml(spark, str(tmp_path), "gldetail", columns)
+        assert pieces.select(F.spark_partition_id().alias("p")).distinct().count() > 10
+        assert rows(pieces) == rows(whole) and pieces.count() == 3006
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("text, message", [
+    (ledger_page(None, "failure", "<errormessage><error><description2>no such site</description2></error></errormessage>"), "no such site"),
+    (ledger_page(["<gldetail><NO>1</NO></gldetail>"])[:-40], "not one whole page"),
+    (ledger_page(["<gldetail><NO>1</NO></gldetail>"]) * 2, "not one whole page"),
+    (ledger_page(["<gldetail><status>success</status></gldetail>"], "aborted"), "no success status"),
+    ("<html>gone</html>", "not one whole page")])
+def test_bad_xml_files_fail(spark, tmp_path, text, message):
+    (tmp_path / "good.xml").write_text(ledger_page(["<gldetail><NO>1</NO></gldetail>"]))
+    (tmp_path / "bad.xml").write_text(text)
+    with pytest.raises(checks.CheckFailed, match=message):
+        extracts.read_xml(spark, str(tmp_path), "gldetail", ["NO"])

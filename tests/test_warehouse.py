@@ -207,6 +207,27 @@ def test_checks_find_planted_rows(group):
         warehouse.verify(built, warehouse.find_problems(*group[:2]))
 
 
+def test_counts_of_the_write_stand_in_for_a_scan(spark, tmp_path, monkeypatch):
+    rows_of = lambda n: spark.range(n).select(F.col("id").alias("a"), F.when(F.col("id") > 1, "x").alias("b"))
+    for name, df in {"some": rows_of(5).repartition(3), "none": rows_of(0), "known_none": rows_of(5).where(F.lit(False))}.items():
+        watched, seen = checks.watched(df, ["a", "b"])
+        watched.write.parquet(str(tmp_path / name))
+        counts = spark.createDataFrame(checks.counted(name, ["a", "b"], seen), checks.WRITE_COUNTS)
+        found = rows(checks.nulls_written(counts, name, ["a", "b"]))
+        assert found == ([{"column_name": "b", "null_rows": 2}] if name == "some" else []) == rows(checks.nulls(df, ["a", "b"]))
+    assert rows(checks.nulls_written(counts, "another", ["a"])) == [{"column_name": "a", "null_rows": None}]
+    sound = {"mart_location_monthly": spark.sql("SELECT 1 AS location_key, DATE'2025-01-01' AS month, 1.0 AS collections"),
+             "mart_operations_monthly": spark.sql("SELECT 'x' AS category"),
+             "mart_reconciliation": spark.sql("SELECT 'x' AS category, 0.0 AS variance, 1.0 AS ops_amount")}
+    nothing = spark.createDataFrame([], "kind string, value string, row_count long")
+    good = [(m, c, 1, 0, None, None) for m, cs in warehouse.NEVER_NULL.items() for c in cs]
+    monkeypatch.setattr(checks, "nulls", lambda *_: pytest.fail("a mart was read for nulls"))
+    warehouse.verify(sound, nothing, counts=spark.createDataFrame(good, checks.WRITE_COUNTS))
+    bad = [(m, c, 1, int(c == "month"), None, None) for m, c, *_ in good]
+    with pytest.raises(checks.CheckFailed, match="mart_location_monthly"):
+        warehouse.verify(sound, nothing, counts=spark.createDataFrame(bad, checks.WRITE_COUNTS))
+
+
 def test_missing_feeds(group):
     raw, maps, _, _ = group
     only = {"pms_dox__procedures": raw["pms_dox__procedures"]}
@@ -273,6 +294,14 @@ def test_build_writes_everything(spark, tmp_path):
     assert timecards.count() == 5 and {t for _, t in timecards.dtypes} == {"string"}
     assert spark.table("staging.stg_pms_procedures").count() == 20
     assert spark.table("staging.rejects_location").count() == 1
+    counts = spark.table("staging.write_counts")
+    for mart, columns in warehouse.NEVER_NULL.items():
+        written = spark.table(f"marts.{mart}")
+        assert {(r["column_name"], r["null_rows"]) for r in checks.nulls_written(counts, mart, columns).collect()} == {
+            (r["column_name"], r["null_rows"]) for r in checks.nulls(written, columns).collect()}
+        assert {r["row_count"] for r in counts.where(F.col("table_name") == mart).collect()} == {written.count()}
+    months = counts.where("table_name = 'mart_location_monthly' AND column_name = 'month'").first()
+    assert months["lowest"] <= months["highest"]
     left_out = warehouse.all_rejects(raw, maps)
     assert {t.name for t in spark.catalog.listTables("staging")} >= {*left_out, "without_visits", "missing_sides"}
     for name, (feed, subject) in {"rejects_timecards": ("ukg__timecards", "stg_ukg_labor"),
