@@ -442,7 +442,7 @@ def xml_files(spark, folder):
             F.lit("</STATUS><PRIORITY>"), "o_orderpriority", F.lit("</PRIORITY></gldetail>")).alias("value"))
     ends = order.select("page").distinct().select("page", F.inline(F.array(
         F.struct(F.lit(0).alias("place"), F.lit("<response><result><status>success</status><data>").alias("value")),
-        F.struct(F.lit(2), F.lit("</data></result></response>")))))
+        F.struct(F.lit(2).alias("place"), F.lit("</data></result></response>").alias("value")))))
     order.unionByName(ends).repartition("page").sortWithinPartitions("page", "place").select("page", "value") \
         .write.partitionBy("page").text(drop)
     flat = extracts.read_xml(spark, drop, "gldetail", ["AMOUNT", "STATUS", "PRIORITY"])
