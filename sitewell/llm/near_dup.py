@@ -21,7 +21,6 @@ through by `keep_one`. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,31 +38,59 @@ SAMPLES = BANDS * ROWS
 WORD_BUCKETS = 1 << 16
 DRAWS = 1 << 14
 CHUNK = 256
-CACHED_WORDS = 500_000
 GROUP_CHARS = 200_000
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+PIECE = 1 << 18  # bytes hashed at once
+BASE = 0xD6E8FEB86659FD93
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Words(dict):
-    """64-bit hashes of words, kept for a bounded number of them."""
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
-    def __missing__(self, word: str) -> int:
-        import xxhash
 
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word.encode())
-        return h
+def _powers(base: int) -> np.ndarray:
+    out = np.full(PIECE, base, dtype=np.uint64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
 
-    def of(self, text: str | None) -> np.ndarray:
-        found = _WORD.findall(text) if text else []
-        return np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
 
+class WordHashes:
+    """64-bit hashes of the words of many texts at once. A word's hash is a polynomial over its bytes, cut out
+    of the running sum over the whole piece: bytes times powers of an odd base, moved to the word's start by the
+    base's inverse. Words longer than a piece, which is always cut between words, are hashed alone."""
 
-def _mixed(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
+    def __init__(self):
+        self.power, self.inverse = _powers(BASE), _powers(pow(BASE, -1, 1 << 64))
+        self.value = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+        self.blank = np.zeros(256, dtype=bool)
+        self.blank[[0x20, *range(0x09, 0x0E)]] = True
+
+    def of(self, texts: list[str | None]) -> list[np.ndarray]:
+        """By text, its words in order."""
+        raw = [(t or "").encode() for t in texts]
+        data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
+        edges = np.flatnonzero(np.diff(self.blank.take(data), prepend=True))
+        starts, ends = edges[::2], edges[1::2]
+        out = np.empty(len(starts), dtype=np.uint64)
+        k = 0
+        while k < len(starts):
+            first = starts[k]
+            last = int(np.searchsorted(ends, first + PIECE, "right"))
+            if last == k:
+                import xxhash
+
+                out[k] = xxhash.xxh64_intdigest(data[first:ends[k]].tobytes())
+                k += 1
+                continue
+            piece = data[first:ends[last - 1]]
+            sums = np.zeros(len(piece) + 1, dtype=np.uint64)
+            np.cumsum(self.value.take(piece) * self.power[:len(piece)], out=sums[1:])
+            begin = starts[k:last] - first
+            out[k:last] = _mixed((sums[ends[k:last] - first] - sums[begin]) * self.inverse[begin] * _M)
+            k = last
+        # a text ends before the line break that follows it
+        return np.split(out, np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raw])[:-1])) if raw else []
 
 
 def weighted_runs(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,10 +151,14 @@ class Sampler:
 
 
 def _frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words, found = Words(), np.zeros(WORD_BUCKETS, dtype=np.int64)
+    hashes, found = WordHashes(), np.zeros(WORD_BUCKETS, dtype=np.int64)
     for batch in batches:
-        for text in batch["text"]:
-            found[np.unique(words.of(text) & np.uint64(WORD_BUCKETS - 1)).astype(np.intp)] += 1
+        texts = batch["text"].tolist()
+        for a, b in groups(texts, len, GROUP_CHARS):
+            words = hashes.of(texts[a:b])
+            text = np.repeat(np.arange(b - a, dtype=np.int64), [len(w) for w in words])
+            bucket = (np.concatenate(words) & np.uint64(WORD_BUCKETS - 1)).astype(np.int64)
+            found += np.bincount(np.unique(text * WORD_BUCKETS + bucket) % WORD_BUCKETS, minlength=WORD_BUCKETS)
     some = np.flatnonzero(found)
     yield pd.DataFrame({"bucket": some.astype(np.int32), "n": found[some]})
 
@@ -153,8 +184,8 @@ class _Cell:
     """Texts of one cell, compared through the runs that at least two of them have."""
 
     def __init__(self, texts: list[str], idf: np.ndarray):
-        words = Words()
-        runs = [weighted_runs(words.of(t), idf) for t in texts]
+        hashes = WordHashes()
+        runs = [weighted_runs(w, idf) for a, b in groups(texts, len, GROUP_CHARS) for w in hashes.of(texts[a:b])]
         self.n = len(runs)
         self.total = np.array([w.sum() for _, w in runs])
         doc = np.repeat(np.arange(self.n), [len(r) for r, _ in runs])
@@ -213,11 +244,12 @@ def components(links: DataFrame) -> DataFrame:
 def signatures(docs: DataFrame, idf: np.ndarray) -> DataFrame:
     """doc_id, key (of the whole text), bands (empty for a text without words)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, sampler = Words(), Sampler()
+        hashes, sampler = WordHashes(), Sampler()
         for batch in batches:
-            for a, b in groups(batch["text"].tolist(), len, GROUP_CHARS):
+            texts = batch["text"].tolist()
+            for a, b in groups(texts, len, GROUP_CHARS):
                 part = batch.iloc[a:b]
-                runs = [weighted_runs(words.of(t), idf) for t in part["text"]]
+                runs = [weighted_runs(w, idf) for w in hashes.of(texts[a:b])]
                 some = [i for i, r in enumerate(runs) if len(r[0])]
                 bands = [[]] * len(runs)
                 for i, row in zip(some, sampler.bands([runs[i] for i in some]) if some else []):

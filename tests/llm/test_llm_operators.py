@@ -258,8 +258,8 @@ def test_quality_edges(edges, nothing):
 
 def brute_classes(texts, idf):
     """By doc_id: the least id of the component, over all pairs."""
-    hashed = near_dup.Words()
-    runs = {i: near_dup.weighted_runs(hashed.of(t), idf) for i, t in texts.items()}
+    hashed = near_dup.WordHashes()
+    runs = {i: near_dup.weighted_runs(hashed.of([t])[0], idf) for i, t in texts.items()}
     parent = {i: i for i in texts}
 
     def root(i):
@@ -276,6 +276,22 @@ def brute_classes(texts, idf):
     return {i: root(i) for i in ids}
 
 
+def test_word_hashes_follow_the_word_alone(monkeypatch):
+    """Whatever stands around a word and wherever pieces are cut; words longer than a piece included."""
+    monkeypatch.setattr(near_dup, "PIECE", 64)
+    rng = np.random.default_rng(3)
+    vocabulary = ["a", "b", "ab", "ba", "é", "日本語", "x\u00a0y", "\u3000", "\x1f", "w" * 63, "w" * 64, "w" * 65, "w" * 500, "\0", "\0\0"]
+    texts = ["".join(rng.choice(vocabulary) + rng.choice([" ", "\n", "\t\t", "\r\n "]) for _ in range(rng.integers(0, 40))) for _ in range(200)]
+    texts += [None, "", "  ", " a", *vocabulary]
+    hashes, known = near_dup.WordHashes(), {}
+    for text, found in zip(texts, hashes.of(texts), strict=True):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        assert len(words) == len(found)
+        assert all(known.setdefault(w, int(h)) == int(h) for w, h in zip(words, found))
+    assert len(set(known.values())) == len(known) == len(vocabulary)
+    assert hashes.of([]) == []
+
+
 def test_near_duplicates_equal_all_pairs(spark):
     docs = table(spark, "documents")
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
