@@ -4,8 +4,8 @@ Both sides are assigned to the nearest of a bounded set of pivots. Per pivot a s
 largest distance, the smallest of k + 1 different ids) bounds what the group can score for a query: with x in
 the group of pivot p, q.x lies within |q| * |x - p| of q.p. A query's k-th best score is at least the k-th best
 of these lower bounds over other ids than its own, so a data row is copied to a chunk of queries only if its
-own upper bound reaches that for one of them. Each cell, a chunk of queries beside a share of the rows it needs, is solved by one matrix
-product; a window keeps the best k of a query's cells.
+own upper bound reaches that for one of them. The rows a chunk needs are counted and dealt into as many cells as
+they fill; each cell is solved by one matrix product, and a window keeps the best k of a query's cells.
 
 Pivots are a sample of at most MAX_PIVOTS vectors, the only thing that is ever gathered whole; every row is
 assigned, bounded and searched. Chunks and cells have bounded sizes, so a vector that makes up a third of
@@ -13,7 +13,7 @@ all rows spreads over many cells.
 
 Defined results: components are floor(256 * x). Vectors that are null or hold a null or non-finite
 component, and rows without an id, take no part. The shorter of two vectors counts as padded with zeros. A
-row's own id is no candidate of it; further rows with equal ids and vectors are candidates of other queries
+row's own id is no candidate of it; equal scores rank by the smaller id; further rows with equal ids and vectors are candidates of other queries
 as often as they occur, and one query. Scores beyond a long are held at its ends. Empty tables give no rows.
 """
 
@@ -135,6 +135,16 @@ def _wanted(queries: DataFrame, pivots: np.ndarray, summary: list, k: int, width
     return found.groupBy("chunk", "grp").agg(F.min("least").alias("least"))
 
 
+def _copied(rows: DataFrame, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(chunk, cell, id, v) of the rows each chunk of queries needs, and (chunk, cells): into how many cells it
+    deals them. Rows are dealt by their number, so those of one frequent id spread like any others."""
+    needed = F.col("dist") >= F.col("least")
+    cells = settled(rows.select("grp", "dist").join(wanted, "grp").where(needed).groupBy("chunk").agg(
+        F.ceil(F.count("*") / ROWS_PER_CELL).cast("int").alias("cells")))
+    copied = rows.join(wanted.join(cells, "chunk"), "grp").where(needed)
+    return copied.select("chunk", F.pmod(F.xxhash64("nth"), "cells").cast("int").alias("cell"), "id", "v"), cells
+
+
 def _solver(k: int, width: int):
     def solve(asked: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -163,7 +173,7 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         return empty
     width = max(1, size["w"], asked_size)
     pivots = _pivots(data, size["n"], width)
-    rows = settled(_assigned(data, pivots, width))
+    rows = settled(_assigned(data, pivots, width).withColumn("nth", F.monotonically_increasing_id()))
     # smallest distances of k + 1 different ids per group: first of each share of the group, then of the shares' results
     shares = F.pmod(F.xxhash64("id"), F.lit(max(1, size["n"] // ROWS_PER_CELL + 1)))
     nth = lambda *of: F.row_number().over(Window.partitionBy(*of).orderBy("dist", "id"))
@@ -179,11 +189,9 @@ def top_k(data: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     asked = settled(asked.select("id", "v", key.alias("key"), (
         first[F.col("grp")] + F.pmod(key, parts[F.col("grp")])).cast("long").alias("chunk")))
 
-    cells = max(1, -(-size["n"] // ROWS_PER_CELL))
-    wanted = _wanted(asked, pivots, summary, k, width)
-    copied = rows.join(wanted, "grp").where("dist >= least").select(
-        "chunk", F.pmod(F.xxhash64("id"), F.lit(cells)).cast("int").alias("cell"), "id", "v")
-    spread = asked.select("key", "id", "v", "chunk", F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
+    copied, cells = _copied(rows, settled(_wanted(asked, pivots, summary, k, width)))
+    spread = asked.join(cells, "chunk").select(
+        "key", "id", "v", "chunk", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)).alias("cell"))
     solved = spread.groupBy("chunk", "cell").cogroup(copied.groupBy("chunk", "cell")).applyInPandas(
         _solver(k, width), "key long, query_id long, vec_id long, score long")
     best = Window.partitionBy("key", "query_id").orderBy(F.desc("score"), "vec_id")

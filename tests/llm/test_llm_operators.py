@@ -448,6 +448,21 @@ def test_top_k_of_ids_that_repeat(spark, monkeypatch):
     assert sorted(r["vec_id"] for r in knn.query(alone).collect()) == [35, 36, 37, 38, 39]
 
 
+def test_cells_hold_what_a_chunk_needs(spark, monkeypatch):
+    """One id holds a third of all rows: its rows fill several cells, and a chunk has no more cells than it needs."""
+    monkeypatch.setattr(knn, "ROWS_PER_CELL", 50)
+    rows = spark.range(900).select(F.when(F.col("id") < 300, 7).otherwise(F.col("id")).alias("id"), F.array(F.lit(1)).alias("v"),
+                                   (F.col("id") % 3).cast("int").alias("grp"), F.col("id").cast("double").alias("dist"),
+                                   F.col("id").alias("nth"))
+    wanted = spark.createDataFrame([(0, 0, -1.0), (0, 1, -1.0), (1, 2, 870.0), (2, 1, 5000.0)], "chunk long, grp int, least double")
+    copied, cells = knn._copied(rows, wanted)
+    assert {r["chunk"]: r["cells"] for r in cells.collect()} == {0: 12, 1: 1}
+    sizes = [r["count"] for r in copied.groupBy("chunk", "cell").count().collect()]
+    assert sum(sizes) == 610 and max(sizes) <= 100
+    hot = copied.where("chunk = 0 AND id = 7").groupBy("cell").count().collect()
+    assert len(hot) > 8
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (50, [1.0, 2.0])], "vec_id long, embedding array<float>")
     got = sorted(map(tuple, knn.query(df).select("query_id", "rank", "vec_id", "score").collect()))
