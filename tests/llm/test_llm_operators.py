@@ -390,25 +390,105 @@ def test_windows_score_each_id_once():
     assert ids[keep].tolist() == np.concatenate(flat).tolist()
 
 
+def small_model(monkeypatch, scale=2):
+    """Five single ids and eleven groups of sixteen; every weight of the model away from its start."""
+    monkeypatch.setattr(causal_lm, "SINGLES", 4)
+    monkeypatch.setattr(causal_lm, "SIDE", 16)
+    rng = np.random.default_rng(2)
+    flat = causal_lm.Model.start(np.full((16, 16), 1 / 16), rng.normal(0, 1, (11, 16))) * np.float32(scale)
+    return flat + rng.normal(0, 0.1, len(flat)).astype(np.float32)
+
+
 def test_attention_gradient(monkeypatch):
-    monkeypatch.setattr(causal_lm, "CLASSES", 8)
-    shapes = {k: tuple(8 if d == 128 else d for d in s) for k, s in causal_lm.Model.SHAPES.items()}
-    monkeypatch.setattr(causal_lm.Model, "SHAPES", shapes)
-    flat = causal_lm.Model.start(np.full((8, 8), 1 / 8)) * 2
-    ids, targets, keep, _ = causal_lm.windows([np.random.default_rng(2).integers(0, 8, 90).astype(np.uint8)])
-    loss = lambda f: -causal_lm.Model(f).scores(ids, targets, keep).astype(np.float64).mean()
-    gradient = causal_lm.Model(flat).gradient(ids, targets, keep)
-    for i in np.random.default_rng(4).integers(0, len(flat), 25):
-        step = np.zeros_like(flat)
-        step[i] = 1e-2
-        assert (loss(flat + step) - loss(flat - step)) / 2e-2 == pytest.approx(gradient[i], abs=2e-4)
-    later = targets.copy()
+    flat = small_model(monkeypatch)
+    ids, targets, keep, _ = causal_lm.windows([np.random.default_rng(2).integers(0, 5 + 11 * 16, 90).astype(np.int32)])
+    loss = lambda f: -causal_lm.Model(f, 11).scores(ids, targets, keep).astype(np.float64).sum()
+    found = causal_lm.Model(np.zeros_like(flat), 11)
+    for name, (rows, g) in causal_lm.Model(flat, 11).gradient(ids, targets, keep).items():
+        (found.inner if name == "inner" else found.p[name])[slice(None) if rows is None else rows] += g
+    gradient = np.concatenate([found.p[n].ravel() for n in found.shapes(11)])
+    at = 0
+    for shape in found.shapes(11).values():
+        size = int(np.prod(shape))
+        most = at + np.argsort(-np.abs(gradient[at:at + size]))[:4]
+        for i in [*most, *np.random.default_rng(4).integers(at, at + size, 3)]:
+            step = np.zeros_like(flat)
+            step[i] = 1e-2
+            assert (loss(flat + step) - loss(flat - step)) / 2e-2 == pytest.approx(gradient[i], abs=2e-2, rel=1e-2)
+        at += size
     changed = ids.copy()
     changed[:, 20:] = (changed[:, 20:] + 1) % 8
     early = np.zeros_like(keep)
     early[:, :20] = keep[:, :20]
-    model = causal_lm.Model(flat)
-    assert np.allclose(model.scores(ids, later, early), model.scores(changed, later, early))  # causal
+    model = causal_lm.Model(flat, 11)
+    assert np.allclose(model.scores(ids, targets, early), model.scores(changed, targets, early))  # causal
+
+
+def test_attention_scores_sum_to_one(monkeypatch):
+    """Over all ids, at every place of a window."""
+    model = causal_lm.Model(small_model(monkeypatch), 11)
+    ids = np.random.default_rng(3).integers(0, 5 + 11 * 16, (1, causal_lm.WINDOW)).astype(np.int64)
+    total = sum(np.exp(model.scores(ids, np.full_like(ids, t), np.ones(ids.shape, bool))) for t in range(5 + 11 * 16))
+    assert np.allclose(total, 1, atol=1e-4)
+
+
+def test_ids_are_told_apart():
+    """Every id has a code of its own, inside a group of its class."""
+    counts = np.random.default_rng(1).integers(0, 50, 3000).astype(float)
+    classes = causal_lm.Classes(counts, 7, np.arange(3000) % 3 == 0)
+    assert len(set(classes.code)) == 3000 and classes.code.min() == 1
+    assert classes.code.max() <= causal_lm.SINGLES + classes.groups * causal_lm.SIDE and classes.of.max() < classes.n
+    for g in range(classes.groups):
+        spaced = (np.arange(3000) % 3 == 0)[classes.of == 1 + causal_lm.SINGLES + g]
+        assert len(set(spaced)) <= 1
+    assert np.allclose(np.exp(classes.bias).sum(1), 1) and np.isclose(classes.frequency.sum(), 1)
+
+
+def test_lm_scores_by_brute_force(spark, monkeypatch):
+    """Each text by its own: every id by a softmax over the whole vocabulary, in the one window that reaches it."""
+    kept, scored = [], causal_lm._scored
+    monkeypatch.setattr(causal_lm, "_scored", lambda *a: kept.append(a) or scored(*a))
+    monkeypatch.setattr(causal_lm, "TOP", 300)  # most words come by the join
+    docs = table(spark, "documents").where("length(text) < 4000").limit(40)
+    rows = docs.select("doc_id", "text").collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in causal_lm.query(docs, BYTE_BPE).collect()}
+    flat, classes, path, _, _ = kept[0]
+    p, codes = causal_lm.Model(flat, classes.groups).p, causal_lm.WordCodes(path, classes)
+    split = lambda t: (t or "").encode().lower().split()
+    learned = [split(r["text"]) for r in rows if not is_held(r["doc_id"], 10)]
+    count = Counter(w for ws in learned for w in ws)
+    n, v = sum(count.values()) + len(learned), len(count) + 1
+    share = lambda c: (c + 0.1) / (n + 0.1 * (v + 1))
+    width, single = causal_lm.WIDTH, causal_lm.SINGLES
+
+    def chance(before, target):
+        x = p["emb"][before] + p["pos"][:len(before)]
+        q, k = (np.clip(x @ p[z], -2 / s, 2 / s) for z, s in (("q", width ** -0.5), ("k", 1)))
+        a = np.exp((k @ q[-1]) * width ** -0.5)
+        h = x[-1] + (a / a.sum()) @ (x @ p["v"])
+        own = lambda c: c if c <= single else 1 + single + (c - 1 - single) // causal_lm.SIDE
+        z = p["out"] @ h + p["pair"][own(before[-1])]
+        found = z[own(target)] - np.log(np.exp(z).sum())
+        if target > single:
+            g, slot = divmod(target - 1 - single, causal_lm.SIDE)
+            z = p["inner"][g * causal_lm.SIDE:(g + 1) * causal_lm.SIDE] @ h + p["bias"][g]
+            found += z[slot] - np.log(np.exp(z).sum())
+        return float(found)
+
+    for r in rows[:12]:
+        words = split(r["text"])
+        codes.learn(set(words))
+        parts = [codes.ids[codes.start[i]:][:codes.length[i]].tolist() for i in (codes.number[w] for w in words)] + [[0]]
+        text, wanted, place = [0, *(c for part in parts for c in part)], 0.0, 0
+        for part, seen in zip(parts, [*(count[w] for w in words), len(learned)]):
+            log = 0.0
+            for c in part:
+                nth = max(0, -(-(place + 1 - causal_lm.WINDOW) // causal_lm.STRIDE))
+                log += chance(np.array(text[nth * causal_lm.STRIDE:place + 1]), c)
+                place += 1
+            wanted += math.log10(causal_lm.MIX * math.exp(log) + (1 - causal_lm.MIX) * share(seen))
+        assert got[r["doc_id"]] == pytest.approx(wanted, rel=1e-4)
 
 
 # --- 9 exact top-k ----------------------------------------------------------------------------------
