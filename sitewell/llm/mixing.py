@@ -12,8 +12,9 @@ reversed, and counting the earlier ones is a sum over the bits. Positions need n
 sums per bucket of the shuffle hash come first, then running sums inside each bucket.
 
 Defined results: a null text has size 0 and takes nothing; null sources are one source, the last; a null
-doc_id hashes as an empty text. Repeated rows are rows of their own. Extra columns are ignored by `mix`
-and passed through by `repeated`. An empty table gives an empty mix.
+doc_id hashes as an empty text. Repeated rows are rows of their own in `mix` and `taken`; `repeated` gives rows
+of one id, source and text as many copies each as they are taken on average, rounded. Extra columns are ignored
+by `mix` and passed through by `repeated`. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
@@ -33,8 +34,9 @@ CELL = 1024
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words, and the shuffle hash."""
+    """doc_id, source, size in words, the shuffle hash, and a digest of the text."""
     return docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"),
+                       F.xxhash64(text_of()).alias("digest"),
                        F.md5(F.concat(F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("h"))
 
 
@@ -97,10 +99,10 @@ def _placed(docs: DataFrame, share: float, block: int) -> DataFrame:
     buckets = max(1, -(-rows.count() // ROWS_PER_BUCKET))
     place = F.floor(F.conv(F.substring("h", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32))
     rows = rows.alias("r").join(sources.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source"))).select(
-        "r.doc_id", "r.source", "size", "h", "sid", "source_size", "target", "words", place.alias("bucket"))
+        "r.doc_id", "r.source", "size", "h", "digest", "sid", "source_size", "target", "words", place.alias("bucket"))
     sums = rows.groupBy("sid", "bucket").agg(F.sum("size").alias("n")).select(
         "sid", "bucket", (F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("before"))
-    inside = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size")
+    inside = Window.partitionBy("sid", "bucket").orderBy("h", "doc_id", "size", "digest")
     stream = (
         rows.join(sums, ["sid", "bucket"])
         .withColumn("nth", F.row_number().over(inside))
@@ -127,20 +129,32 @@ def mix(docs: DataFrame, share: float = SHARE, block: int = BLOCK) -> DataFrame:
 
 
 def taken(docs: DataFrame, share: float = SHARE, block: int = BLOCK) -> DataFrame:
-    """One row per row of docs: doc_id, size, source, source_size, target, words taken."""
+    """One row per row of docs: doc_id, size, source, source_size, target, words taken, in how many pieces, and
+    the turns at which the first and the second pass through the source begin with it (null: not reached)."""
+    begun = F.when(F.col("piece") > 0, F.col("turn"))
     return _placed(docs, share, block).groupBy(
-        "sid", "bucket", "nth", "doc_id", "source", "size", "source_size", "target").agg(
-        F.sum("piece").alias("taken")).select("doc_id", "source", "size", "source_size", "target", "taken")
+        "sid", "bucket", "nth", "doc_id", "source", "size", "source_size", "target", "digest").agg(
+        F.sum("piece").alias("taken"), F.count(begun).alias("pieces"),
+        F.min(F.when(F.col("pass") == 0, begun)).alias("first_turn"),
+        F.min(F.when(F.col("pass") == 1, begun)).alias("second_turn")).select(
+        "doc_id", "source", "size", "source_size", "target", "taken", "pieces", "first_turn", "second_turn", "digest")
 
 
 def repeated(docs: DataFrame, share: float = SHARE, block: int = BLOCK) -> DataFrame:
-    """docs with each row as often as the mix takes it: words taken over size, rounded."""
-    times = taken(docs, share, block).where("taken > 0").groupBy("doc_id").agg(
-        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("_times"))
-    kept = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id")).where(text_of("_row.text") != "")
-    return kept.join(times.where("_times > 0"), F.col("_id").eqNullSafe(F.col("doc_id"))).select(
-        "_row", F.explode(F.sequence(F.lit(1), F.col("_times")))).select("_row.*")
+    """docs with each row as often as the mix takes it (words taken over size, rounded), in the order of the turns
+    that begin with the copies: partitions are ranges of turns, sorted inside."""
+    times = taken(docs, share, block).where("taken > 0").groupBy("doc_id", "source", "digest").agg(
+        F.floor(F.sum("taken") / F.sum("size") + 0.5).cast("int").alias("_times"),
+        F.min("first_turn").alias("_first"), F.coalesce(F.min("second_turn"), F.min("first_turn")).alias("_second"))
+    kept = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.col("source").alias("_source"),
+                       F.xxhash64(text_of()).alias("_digest"), F.monotonically_increasing_id().alias("_n")).where(text_of("_row.text") != "")
+    copies = kept.join(times.where("_times > 0"), F.col("_id").eqNullSafe(F.col("doc_id"))
+                       & F.col("_source").eqNullSafe(F.col("source")) & (F.col("_digest") == F.col("digest")))
+    turn = F.when(F.col("_copy") == 1, F.col("_first")).otherwise(F.col("_second"))
+    # repeated rows begin at one turn: the number of the row parts them
+    return copies.select("_row", "_first", "_second", "_n", F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("_copy")).select(
+        "_row", turn.alias("_turn"), "_n").repartitionByRange("_turn", "_n").sortWithinPartitions("_turn", "_n").select("_row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:
-    return taken(docs).select("doc_id", "size", "source_size", "target", "taken")
+    return taken(docs).drop("source", "digest")

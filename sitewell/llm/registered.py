@@ -75,8 +75,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged
 """
 
-# The turns of all slots together cover words 0 to floor(target) of a source's stream, so that a document's
-# share follows from its place in the stream alone.
+# Blocks are cut out of each source's stream; a slot's rank among its source's turns names the block it draws.
 SQL["op3_source_mix"] = r"""
 WITH d AS (
     SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
@@ -97,14 +96,36 @@ water AS (SELECT arg_min(level, struct_pack(a := ratio, b := sid)) AS lam FROM f
 t AS (
     SELECT source, s, CASE WHEN lam IS NULL OR ratio <= lam THEN (2 * s)::DOUBLE ELSE lam * w END AS target
     FROM filling, water),
+ends AS (
+    SELECT source, floor(target)::BIGINT AS words, ceil(floor(target) / 1024)::BIGINT AS slots,
+           (sum(ceil(floor(target) / 1024)) OVER (ORDER BY source NULLS LAST))::BIGINT AS high
+    FROM t),
+size AS (SELECT CASE WHEN max(high) > 1 THEN length(bin(max(high) - 1)) ELSE 1 END AS bits FROM ends),
+slots AS (SELECT source, unnest(range(high - slots, high)) AS j FROM ends),
+turns AS (
+    SELECT source, list_sum([((j >> b) & 1) << (bits - 1 - b) for b in range(0, bits)])::BIGINT AS turn
+    FROM slots, size),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY turn) - 1 AS rank FROM turns),
 placed AS (
-    SELECT d.doc_id, d.size, t.s, t.target, floor(t.target)::BIGINT AS words,
+    SELECT d.doc_id, d.source, d.size, t.s, t.target, floor(t.target)::BIGINT AS words, row_number() OVER () AS k,
            (sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h, d.doc_id NULLS FIRST, d.size
             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size)::BIGINT AS start
-    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, s AS source_size, target,
-       greatest(0, least(start + size, words) - start) + greatest(0, least(start + size + s, words) - start - s) AS taken
-FROM placed
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+passes AS (SELECT *, unnest([0, 1]) AS pass FROM placed),
+pieces AS (
+    SELECT k, source, pass, start + pass * s AS low, least(start + pass * s + size, words) AS high,
+           unnest(range((start + pass * s) // 1024, (greatest(start + pass * s, start + pass * s + size - 1)) // 1024 + 1)) AS rank
+    FROM passes),
+drawn AS (
+    SELECT k, pass, turn, least(high, (p.rank + 1) * 1024) - greatest(low, p.rank * 1024) AS piece
+    FROM pieces p JOIN ranked r ON p.source IS NOT DISTINCT FROM r.source AND p.rank = r.rank),
+sums AS (
+    SELECT k, sum(piece) AS taken, count(*) AS pieces, min(turn) FILTER (pass = 0) AS first_turn,
+           min(turn) FILTER (pass = 1) AS second_turn
+    FROM drawn WHERE piece > 0 GROUP BY k)
+SELECT doc_id, size, s AS source_size, target, coalesce(taken, 0)::BIGINT AS taken, coalesce(pieces, 0)::BIGINT AS pieces,
+       first_turn, second_turn
+FROM placed LEFT JOIN sums USING (k)
 """
 
 SQL["op9_exact_top_k"] = """

@@ -134,7 +134,7 @@ def test_mix_takes_the_targets_and_twice_at_most(spark, edges):
         for r in per_source:
             assert r["size"] == r["source_size"] and r["taken"] == math.floor(r["target"]) <= 2 * r["size"]
         assert sum(r["target"] for r in per_source) == pytest.approx(1.5 * sum(r["size"] for r in per_source))
-        assert all(taken <= 2 * size for _, size, _, _, taken in first)
+        assert all(taken <= 2 * size for _, size, _, _, taken, *_ in first)
 
 
 def test_mix_is_the_schedule(spark):
@@ -164,6 +164,25 @@ def test_mix_of_nothing(nothing):
     assert mixing.query(nothing).count() == 0 and mixing.repeated(nothing).count() == 0
 
 
+def test_copies_by_row_in_order_of_turns(spark):
+    """Rows that share an id, or have none, are counted by source and text; copies come in the order of turns."""
+    rows = [(i % 7 if i % 5 else None, "abc"[i % 3], prose(20 + 13 * i, 1000 * i)) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    taken = mixing.taken(docs, block=64).collect()
+    key = {(i, s, len(words(t))): t for i, s, t in rows}
+    assert len(key) == len(rows) == len(taken)
+    turns = {key[r["doc_id"], r["source"], r["size"]]: [
+        r["first_turn"], r["second_turn"] if r["second_turn"] is not None else r["first_turn"]][:int(r["taken"] / r["size"] + 0.5)]
+        for r in taken}
+    got = [r["text"] for r in mixing.repeated(docs, block=64).collect()]
+    assert Counter(got) == Counter({t: len(n) for t, n in turns.items() if n})
+    seen, order = Counter(), []
+    for t in got:
+        order.append(turns[t][seen[t]])
+        seen[t] += 1
+    assert order == sorted(order) and len(set(order)) > 50
+
+
 def test_repeated_keeps_columns(edges):
     got = mixing.repeated(edges)
     assert got.columns == edges.columns and 0 < got.count() <= 2 * edges.count()
