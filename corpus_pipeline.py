@@ -5,7 +5,8 @@ their number, and the digests of the ids and of the bytes they decode to.
 
 Defined results: documents whose text is null, empty or too short leave by the quality rules. Repeated rows
 are copies, of which near-duplicate detection keeps one. Extra columns stay until the tokens are written. An
-empty table gives no rows.
+empty table gives no rows. Null sources are one source of the mix; rows without an id are told apart by their text.
+Folders of stages are removed when the next one is written; the last one holds the result.
 """
 
 from __future__ import annotations
@@ -58,10 +59,17 @@ STAGES = [("quality rules", quality_stage), ("toxicity", toxicity_stage), ("near
 ORACLE_SQL = None
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
         docs = spark.read.parquet(f"{folder}/{k}")
+        if k:  # what the stage read is not needed again
+            remove(spark, f"{folder}/{k - 1}")
     return docs
