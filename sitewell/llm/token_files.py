@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sitewell.llm.bpe import groups, parts_of
+from sitewell.llm.bpe import groups, has_odd_space, parts_of
 from sitewell.llm.common import shared_folder, text_of
 
 MAGIC = 0x5249414752455031
@@ -38,16 +38,22 @@ SHARD_IDS = 1_000_000
 MIN_COUNT = 64
 LEAST_GAIN = 0.001  # a round that shortens the sequence by less is the last
 END_ID = 0
-CACHED_PARTS = 1_000_000
+CACHED_PARTS, CACHED_IDS, CACHED_OTHER_BYTES = 1_500_000, 15_000_000, 50_000_000
 GROUP_CHARS = 4_000_000
+KEY_BYTES = 32  # whole eights
+LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
+MIXER = np.uint64(0x9E3779B97F4A7C15)
 HEADER = 10
-MARKS = frozenset(".,;:!?")
+SLOT_BITS = 20
+SLOTS = 1 << SLOT_BITS
+MARKS = b".,;:!?"
 
 
 class PartEncoder:
     """Ids of texts by the tokenizers library as it comes, so the string of a special token in a text is that
-    token. Places before which a space stands never fall inside a match
-    of the byte-level split pattern, so parts between them are encoded once, many in one call."""
+    token. Places before which a space stands never fall inside a match of the byte-level split pattern, so each
+    part between them is encoded once, many in one call. The parts of many texts are told apart in numpy, by a
+    hash and then by their bytes; those of more than KEY_BYTES bytes by a dictionary."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,35 +65,118 @@ class PartEncoder:
         size = self.tokenizer.get_vocab_size()
         # each character of a byte-level token stands for one byte
         self.length = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
-        self.parts: dict[str, bytes] = {}
-        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, dtype="<u4").tobytes() for m in MARKS}
-
-    def _many(self, parts: list[str]) -> list[bytes]:
-        """Ids of parts, each with the space before it."""
-        out: list[bytes] = []
-        for start in range(0, len(parts), 2000):
-            some = [" " + p for p in parts[start:start + 2000]]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.cumsum([len(p.encode()) for p in some])
-            cuts = np.searchsorted(np.cumsum(self.length[ids]), ends) + 1
-            raw = ids.tobytes()
-            out += [raw[4 * a:4 * b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist())]
+        self.marks = np.concatenate(self._ids([chr(m) for m in MARKS]))
+        self.mark = np.full(256, -1)  # where a mark's id lies in `ids`
+        self.mark[list(MARKS)] = np.arange(len(MARKS))
+        self._forget()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _forget(self) -> None:
+        """Of the known parts: the ids, `n` of them from `start` on; whether they are letters only; the bytes, the
+        size last. Their hashes are kept in order, with the part of each."""
+        self.ids = self.marks
+        self.start, self.n, self.letters = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+        self.keys = [np.zeros(0, np.uint64) for _ in range(KEY_BYTES // 8 + 1)]
+        self.hash, self.part = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.others: dict[bytes, int] = {}
+        self.other_bytes = 0
+
+    def _learn(self, parts: list[bytes], keys: list[np.ndarray]) -> np.ndarray:
+        """Numbers of new parts, each encoded with the space before it."""
+        first, counts, found = len(self.n), [], []
+        for begin in range(0, len(parts), 2000):
+            some = parts[begin:begin + 2000]
+            ids = self._ids([(b" " + b" ".join(some)).decode()])[0]
+            ends = np.cumsum([len(p) + 1 for p in some])
+            counts.append(np.diff(np.searchsorted(np.cumsum(self.length[ids]), ends) + 1, prepend=0))
+            found.append(ids)
+        n = np.concatenate(counts)
+        self.start = np.append(self.start, len(self.ids) + np.cumsum(n) - n)
+        self.ids = np.concatenate([self.ids, *found])
+        self.n = np.append(self.n, n)
+        self.letters = np.append(self.letters, [p.decode().isalpha() for p in parts])
+        self.keys = [np.append(known, k) for known, k in zip(self.keys, keys)]
+        return np.arange(first, len(self.n), dtype=np.int32)
+
+    def _others(self, parts: list[bytes]) -> list[int]:
+        new = list(dict.fromkeys(p for p in parts if p not in self.others))
+        if new:
+            none = np.zeros(len(new), dtype=np.uint64)  # no size of a part with a hash
+            self.others.update(zip(new, self._learn(new, [none] * len(self.keys)).tolist()))
+            self.other_bytes += sum(map(len, new))
+        return [self.others[p] for p in parts]
+
+    def _numbers(self, data: bytes, eights: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Number of each part data[begin:begin + size]; eights: the eight bytes from each place on."""
+        out = np.zeros(len(begin), dtype=np.int32)
+        short = np.flatnonzero(size <= KEY_BYTES)
+        at, n = begin[short], size[short]
+        keys = [eights[at + k] & LOW_BYTES[np.clip(n - k, 0, 8)] for k in range(0, KEY_BYTES, 8)] + [n.astype(np.uint64)]
+        mixed = np.zeros(len(at), dtype=np.uint64)
+        for key in keys:
+            mixed = (mixed ^ key) * MIXER
+            mixed ^= mixed >> np.uint64(29)
+        hashes, which = np.unique(mixed, return_inverse=True)
+        place = np.minimum(np.searchsorted(self.hash, hashes), len(self.hash) - 1)
+        new = np.flatnonzero(self.hash[place] != hashes) if len(self.hash) else np.arange(len(hashes))
+        if len(new):
+            one = np.zeros(len(hashes), dtype=np.int64)
+            one[which] = np.arange(len(which))
+            one = one[new]
+            parts = [data[a:b] for a, b in zip(at[one].tolist(), (at[one] + n[one]).tolist())]
+            learned = self._learn(parts, [k[one] for k in keys])
+            order = np.argsort(hashed := np.append(self.hash, hashes[new]), kind="stable")
+            self.hash, self.part = hashed[order], np.append(self.part, learned)[order]
+            place = np.searchsorted(self.hash, hashes)
+        number = self.part[place][which] if len(hashes) else out[:0]
+        out[short] = number
+        same = np.ones(len(short), dtype=bool)
+        for known, key in zip(self.keys, keys):
+            same &= known[number] == key
+        rest = np.append(short[~same], np.flatnonzero(size > KEY_BYTES))
+        out[rest] = self._others([data[a:b] for a, b in zip(begin[rest].tolist(), (begin[rest] + size[rest]).tolist())])
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [(t, []) if any(x in t for x in self.specials) else parts_of(t) for t in texts]
-        unseen = set().union(*[rest for _, rest in split])
-        if len(self.parts) + len(unseen) > CACHED_PARTS:
-            self.parts = {}
-        unseen -= self.parts.keys()
+        if len(self.n) > CACHED_PARTS or len(self.ids) > CACHED_IDS or self.other_bytes > CACHED_OTHER_BYTES:
+            self._forget()
+        whole = [any(x in t for x in self.specials) for t in texts]
+        raw = [b"" if w else t.encode() for t, w in zip(texts, whole)]
+        data = b" ".join([*raw, b""])  # a space ends each text
+        offsets = np.append(0, np.cumsum([len(r) + 1 for r in raw]))
+        flat = np.frombuffer(data, dtype=np.uint8)
+        ends = np.flatnonzero(flat == 32)
+        odd = [k for k, (t, w) in enumerate(zip(texts, whole)) if not w and has_odd_space(t)]
+        if odd:  # not every space of these ends a part
+            kept, ours = np.ones(len(ends), dtype=bool), []
+            for k in odd:
+                kept[slice(*np.searchsorted(ends, offsets[k:k + 2]))] = False
+                first, rest = parts_of(texts[k])
+                ours.append(offsets[k] - 1 + np.cumsum([len(p.encode()) + 1 for p in (first, *rest)]))
+            ends = np.sort(np.concatenate([ends[kept], *ours]))
+        begin = np.append(0, ends[:-1] + 1)
+        lead = np.searchsorted(begin, offsets)  # the first part of each text, no space before it
+        firsts = self._ids([t if w else data[a:b].decode() for t, w, a, b in zip(
+            texts, whole, offsets.tolist(), ends[lead[:-1]].tolist())])
+        rest = np.ones(len(begin), dtype=bool)
+        rest[lead[:-1]] = False
+        begin, ends = begin[rest], ends[rest]
         # letters with a mark behind them are two matches of the pattern
-        marked = [p for p in unseen if p[-1:] in MARKS and p[:-1].isalpha()]
-        plain = list(unseen.difference(marked) | {p[:-1] for p in marked} - self.parts.keys())
-        self.parts.update(zip(plain, self._many(plain)))
-        self.parts.update((p, self.parts[p[:-1]] + self.marks[p[-1]]) for p in marked)
-        firsts = self.tokenizer.encode_batch([f for f, _ in split], add_special_tokens=False)
-        return [np.array(f.ids, dtype="<u4").tobytes() + b"".join(map(self.parts.__getitem__, rest))
-                for f, (_, rest) in zip(firsts, split)]
+        mark = np.where(ends - begin > 1, self.mark[flat[ends - 1]], -1)
+        eights = np.ndarray(len(data) + KEY_BYTES, "<u8", data + bytes(KEY_BYTES + 7), strides=(1,)).copy()
+        number = self._numbers(data, eights, begin, ends - begin - (mark >= 0))
+        together = np.flatnonzero((mark >= 0) & ~self.letters[number])
+        mark[together] = -1
+        number[together] = self._numbers(data, eights, begin[together], (ends - begin)[together])
+        count = self.n[number] + (mark >= 0)
+        upto = np.append(0, np.cumsum(count))
+        source = np.arange(upto[-1]) + np.repeat(self.start[number] - upto[:-1], count)
+        source[upto[1:][mark >= 0] - 1] = mark[mark >= 0]
+        ids = self.ids[source].tobytes()
+        cuts = (4 * upto[lead - np.arange(len(lead))]).tolist()
+        return [f.tobytes() + ids[a:b] for f, a, b in zip(firsts, cuts, cuts[1:])]
 
 
 _encoders: dict[str, PartEncoder] = {}
@@ -104,32 +193,53 @@ def re_pair(ids: np.ndarray, first: int, min_count: int = MIN_COUNT) -> tuple[np
     """(symbols, rules): rule k says which two symbols `first` + k stands for. In each round every pair that
     is frequent enough is replaced wherever no commoner pair overlaps it."""
     seq, rules, n_rules = ids.astype(np.int64), [], 0
+    named = np.zeros(SLOTS, dtype=np.int64)  # the key last met in each slot
     while len(seq) > 1:
         key = (seq[:-1] << 32) | seq[1:]
         # counts by a small hash rule out most rare pairs before the exact counts
-        slot = ((key * np.int64(-7046029254386353131)) >> 44) & 0xFFFFF
-        at = np.flatnonzero(np.bincount(slot, minlength=1 << 20)[slot] >= min_count)
+        slot = (key * np.int64(-7046029254386353131)).view(np.uint64) >> np.uint64(64 - SLOT_BITS)
+        slot = slot.astype(np.int32)
+        often = np.bincount(slot, minlength=SLOTS) >= min_count
+        at = np.flatnonzero(often[slot])
         if len(at) < len(seq) * LEAST_GAIN or not len(at):
             break
-        pairs, which, count = np.unique(key[at], return_inverse=True, return_counts=True)
-        order = np.empty(len(pairs), dtype=np.int64)
-        order[np.lexsort((pairs, -count))] = np.arange(len(pairs))
-        never = len(pairs)
-        rank = np.full(len(seq) + 1, never)
-        rank[at + 1] = np.where(count[which] >= min_count, order[which], never)
+        slots = np.flatnonzero(often)
+        number = np.zeros(SLOTS, dtype=np.int32)
+        number[slots] = np.arange(len(slots), dtype=np.int32)
+        kept = key[at]
+        named[slot[at]] = kept
+        which, pairs = number[slot[at]], named[slots]
+        shared = np.flatnonzero(pairs[which] != kept)
+        if len(shared):  # other keys of a slot get numbers of their own
+            others, theirs = np.unique(kept[shared], return_inverse=True)
+            which[shared] = len(pairs) + theirs
+            pairs = np.append(pairs, others)
+        count = np.bincount(which, minlength=len(pairs))
+        enough = np.flatnonzero(count >= min_count)
+        never = len(enough)
+        order = np.full(len(pairs), never, dtype=np.int32)
+        ranked = enough[np.lexsort((pairs[enough], -count[enough]))]
+        order[ranked] = np.arange(never, dtype=np.int32)
+        rank = np.full(len(seq) + 1, never, dtype=np.int32)
+        rank[at + 1] = order[which]
         mine = rank[1:-1]  # by the place of a pair's left symbol; one more at either end
+        chosen = (mine < never) & (mine <= rank[:-2]) & (mine <= rank[2:])
         # in a run of one pair every second place is free
-        head = np.maximum.accumulate(np.where(mine != rank[:-2], np.arange(len(mine)), 0))
-        second = (mine == rank[:-2]) & ((np.arange(len(mine)) - head) % 2 == 0)
-        chosen = (mine < never) & ((mine < rank[:-2]) | second) & (mine <= rank[2:])
-        used = np.bincount(mine[chosen], minlength=never)
-        chosen &= np.append(used, 0)[mine] >= min_count
+        again = np.flatnonzero(chosen & (mine == rank[:-2]))
+        if len(again):
+            heads = np.flatnonzero(mine != rank[:-2])
+            chosen[again] = (again - heads[np.searchsorted(heads, again) - 1]) % 2 == 0
         left = np.flatnonzero(chosen)
+        used = np.bincount(mine[left], minlength=never)
+        left = left[used[mine[left]] >= min_count]
         if len(left) < len(seq) * LEAST_GAIN:
             break
-        kinds, number = np.unique(key[left], return_inverse=True)
-        rules.append(np.stack([kinds >> 32, kinds & 0xFFFFFFFF], axis=1))
-        seq[left] = first + n_rules + number
+        kinds = np.flatnonzero(used >= min_count)
+        kinds = kinds[np.argsort(pairs[ranked[kinds]])]
+        symbol = np.zeros(never, dtype=np.int64)
+        symbol[kinds] = first + n_rules + np.arange(len(kinds))
+        rules.append(np.stack([pairs[ranked[kinds]] >> 32, pairs[ranked[kinds]] & 0xFFFFFFFF], axis=1))
+        seq[left] = symbol[mine[left]]
         n_rules += len(kinds)
         stay = np.ones(len(seq), dtype=bool)
         stay[left + 1] = False
@@ -217,8 +327,24 @@ class Shard:
     def document(self, k: int) -> np.ndarray:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
+    def all_ids(self) -> np.ndarray:
+        """Each rule is expanded once and copied to where its symbol stands."""
+        length = np.diff(self.ends, prepend=0)
+        ruled = np.flatnonzero(self.symbols >= self.first)
+        out = np.empty(self.n_ids, dtype="<u4")
+        plain = self.symbols < self.first
+        out[self.ends[plain] - 1] = self.symbols[plain]
+        used, which = np.unique(self.symbols[ruled], return_inverse=True)
+        table = expand(used, self.rules, self.first).astype("<u4")
+        size = np.zeros(len(used), dtype=np.int64)
+        size[which] = length[ruled]
+        n = length[ruled]
+        nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        out[np.repeat(self.ends[ruled] - n, n) + nth] = table[np.repeat((np.cumsum(size) - size)[which], n) + nth]
+        return out
+
     def documents(self) -> Iterator[np.ndarray]:
-        flat = self.ids(0, self.n_ids)
+        flat = self.all_ids()
         for a, b in zip(self.starts[:-1], self.starts[1:]):
             yield flat[a:b]
 

@@ -3,6 +3,7 @@
 import math
 import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -236,6 +237,33 @@ def test_token_files_round_trip(spark, edges, tmp_path):
             start += len(ids)
 
 
+def test_parts_are_told_apart(monkeypatch):
+    """Parts longer than the key, with marks, and whose hashes are equal."""
+    library, rng = Tokenizer.from_file(BYTE_BPE), np.random.default_rng(0)
+    letters = list("ab.,é \n9%' \u3000<\x00日")
+    texts = [*ODD, " ".join(["q" * n + m for n in (31, 32, 33, 1) for m in ("", ",", ".5", "..")]), "a a\x00 . , x. é! ', 9."]
+    texts += ["".join(rng.choice(letters, rng.integers(0, 60))) for _ in range(300)]
+    for mixer in (token_files.MIXER, np.uint64(1 << 60)):
+        monkeypatch.setattr(token_files, "MIXER", mixer)
+        encoder = token_files.PartEncoder(BYTE_BPE)
+        for some in (texts, texts[::-1]):
+            got = [np.frombuffer(g, "<u4").tolist() for g in encoder.encode(some)]
+            assert got == [library.encode(t, add_special_tokens=False).ids for t in some]
+
+
+def test_cost_of_a_text_does_not_grow_with_the_parts_met():
+    def seconds(encoder):
+        encoder.encode(["one two three, four"])
+        begin = time.process_time()
+        for _ in range(50):
+            encoder.encode(["one two three, four"])
+        return time.process_time() - begin
+
+    full = token_files.PartEncoder(BYTE_BPE)
+    full.encode([" ".join(f"w{i:x}" for i in range(100_000))])
+    assert seconds(full) < 5 * seconds(token_files.PartEncoder(BYTE_BPE)) + 0.05
+
+
 def test_token_files_of_nothing(nothing, spark, tmp_path):
     token_files.write(nothing, str(tmp_path / "n"), BYTE_BPE)
     assert token_files.read(spark, str(tmp_path / "n")).count() == 0
