@@ -479,6 +479,31 @@ def test_attention_scores_sum_to_one(monkeypatch):
     assert np.allclose(total, 1, atol=1e-4)
 
 
+def test_words_are_cut_once_for_all_tasks_of_a_worker(monkeypatch):
+    """And their codes are those of each word alone, also after the worker has begun anew."""
+    words = [sorted({f"{a}{b}{m}".encode() for a in ("ab", "é", "x1", "日本", "-") for b in range(20 * k, 20 * k + 20) for m in ("", ",", "..")})
+             for k in range(5)]
+    counts = np.random.default_rng(1).integers(0, 50, 60_000)[:causal_lm.subwords(BYTE_BPE).size].astype(float)
+    classes, shares = causal_lm.Classes(counts, 7, causal_lm.subwords(BYTE_BPE).spaced), {w: 1.0 * k for k, w in enumerate(words[0])}
+    library, cut = Tokenizer.from_file(BYTE_BPE), []
+    for most in (1_000, 700):
+        monkeypatch.setattr(causal_lm, "CACHED_WORDS", most)
+        monkeypatch.setattr(causal_lm, "_subwords", {})
+        worker = causal_lm.subwords(BYTE_BPE)
+        monkeypatch.setattr(worker, "of", lambda some, of=worker.of: cut.extend(some) or of(some))
+        cut.clear()
+        for _ in range(3):  # tasks
+            known = causal_lm.WordCodes(BYTE_BPE, classes, shares)
+            for some in words[:3]:
+                known.learn(set(some))
+                number, codes = known.texts([some, some[::2]])
+                wanted = [classes.code[library.encode(" " + w.decode(), add_special_tokens=False).ids].tolist() for w in some]
+                assert [c.tolist() for c in codes] == [[*sum(part, []), causal_lm.END] for part in (wanted, wanted[::2])]
+                assert np.array_equal(known.shares_of(number), [shares.get(w, np.nan) for w in some + some[::2]], equal_nan=True)
+        assert len(worker.number) <= most
+        assert most < 1_000 or len(cut) == len({w for some in words[:3] for w in some})
+
+
 def test_ids_are_told_apart():
     """Every id has a code of its own, inside a group of its class."""
     counts = np.random.default_rng(1).integers(0, 50, 3000).astype(float)
