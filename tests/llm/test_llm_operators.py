@@ -479,6 +479,96 @@ def test_attention_scores_sum_to_one(monkeypatch):
     assert np.allclose(total, 1, atol=1e-4)
 
 
+@pytest.mark.parametrize("scale", [1, 40])
+def test_softmax_in_pieces_and_with_large_exponents(monkeypatch, scale):
+    """Scores and gradients do not depend on how many rows are taken at once, nor on whether exponents are raised as they are."""
+    flat = small_model(monkeypatch)
+    texts = [np.random.default_rng(k).integers(0, 5 + 11 * 16, n).astype(np.int32) for k, n in enumerate((1, 90, 33, 260))]
+    ids, targets, keep, _ = causal_lm.windows(texts)
+    model = causal_lm.Model(flat, 11)
+    model.p["out"] *= scale  # at 40 some exponents are far above SAFE
+    model.p["inner"] *= scale
+    found = []
+    for piece, safe in ((7, causal_lm.SAFE), (10_000, causal_lm.SAFE), (7, -1)):
+        monkeypatch.setattr(causal_lm, "PIECE", piece)
+        monkeypatch.setattr(causal_lm, "SAFE", safe)
+        fresh = causal_lm.Model(flat, 11)
+        found.append((fresh.scores(ids, targets, keep), fresh.gradient(ids, targets, keep)))
+    h, p = model.hidden(ids)[0][keep].astype(np.float64), {n: z.astype(np.float64) for n, z in model.p.items()}
+    t, before = targets[keep], causal_lm.class_of(ids[keep])
+    z = h @ p["out"].T + p["pair"][before]
+    wanted = z[np.arange(len(t)), causal_lm.class_of(t)] - np.logaddexp.reduce(z, axis=1)
+    for i in np.flatnonzero(t > 4):
+        g, slot = divmod(t[i] - 5, 16)
+        z = p["inner"][16 * g:16 * g + 16] @ h[i] + p["bias"][g]
+        wanted[i] += z[slot] - np.logaddexp.reduce(z)
+    for scores, gradient in found:
+        assert np.allclose(scores, wanted, rtol=1e-4, atol=1e-3)
+        for name, (rows, g) in gradient.items():
+            assert np.array_equal(rows, found[0][1][name][0]) if rows is not None else found[0][1][name][0] is None
+            assert np.allclose(g, found[0][1][name][1], rtol=1e-3, atol=1e-3 * scale)
+
+
+def test_learner_counts_the_batches_of_each_row(monkeypatch):
+    """One number for each row or group, and the changes carry it for all their weights."""
+    flat = small_model(monkeypatch)
+    learner = causal_lm.Learner(flat, 11)
+    assert sum(n.size for n in learner.used.values()) < len(flat) / 8
+    texts = [np.array([3, 9, 9, 40], dtype=np.int32), np.array([3, 7], dtype=np.int32)]
+    for text in texts:
+        learner.step(*causal_lm.windows([text])[:3])
+    got = learner.changes().set_index("at")["n"]
+    wanted, at = {}, 0
+    before = [{0, *t.tolist()[:-1]} for t in texts]  # a window's places behind the text repeat one of them
+    for name, shape in causal_lm.Model.shapes(11).items():
+        for row in range(shape[0]):
+            if name == "emb":
+                n = sum(row in x for x in before)
+            elif name == "pair":
+                n = sum(row in causal_lm.class_of(np.array([*x])) for x in before)
+            elif name in ("inner", "bias"):
+                group = row // 16 if name == "inner" else row
+                n = sum(any(c > 4 and (c - 5) // 16 == group for c in t.tolist()) for t in texts)
+            else:
+                n = 2
+            wanted |= {(at + row * shape[1]) // 16 + k: n for k in range(shape[1] // 16) if n}
+        at += shape[0] * shape[1]
+    assert got.to_dict() == wanted
+
+
+def test_common_words_stay_known_when_the_store_is_full(monkeypatch):
+    """They are met first; a store that begins with nothing would cut them again and again."""
+    monkeypatch.setattr(causal_lm, "CACHED_WORDS", 200)
+    monkeypatch.setattr(causal_lm, "_subwords", {})
+    worker, cut = causal_lm.subwords(BYTE_BPE), []
+    monkeypatch.setattr(worker, "of", lambda some, of=worker.of: cut.extend(some) or of(some))
+    library = Tokenizer.from_file(BYTE_BPE)
+    classes = causal_lm.Classes(np.ones(worker.size), 7, worker.spaced)
+    known = causal_lm.WordCodes(BYTE_BPE, classes)
+    common = [f"common{k}".encode() for k in range(60)]
+    for turn in range(12):
+        some = [*common, *(f"rare{turn}x{k}".encode() for k in range(50 if turn else 0))]
+        known.learn(set(some))
+        codes = known.texts([some, some[::3]])[1]
+        wanted = [classes.code[library.encode(" " + w.decode(), add_special_tokens=False).ids].tolist() for w in some]
+        assert [c.tolist() for c in codes] == [[*sum(part, []), causal_lm.END] for part in (wanted, wanted[::3])]
+        assert len(worker.number) <= 200 and list(worker.number) == worker.words
+    assert sum(w.startswith(b"common") for w in cut) == 60
+
+
+def test_counted_words_with_their_ids(spark):
+    library = Tokenizer.from_file(BYTE_BPE)
+    words = ["the", "house,", "日本語", "a" * 300, "naïve.", "x1;"]
+    counts = causal_lm.with_ids(spark.createDataFrame([(w.encode(), 3 + k) for k, w in enumerate(words)], "word binary, n long"), BYTE_BPE)
+    ids = {w: library.encode(" " + w, add_special_tokens=False).ids for w in words}
+    assert {bytes(r["word"]).decode(): np.frombuffer(r["ids"], "<i4").tolist() for r in counts.collect()} == ids
+    wanted = Counter()
+    for k, w in enumerate(words):
+        for i in ids[w]:
+            wanted[i] += 3 + k
+    assert {r["id"]: r["n"] for r in causal_lm.id_counts(counts, causal_lm.subwords(BYTE_BPE).size).collect()} == wanted
+
+
 def test_words_are_cut_once_for_all_tasks_of_a_worker(monkeypatch):
     """And their codes are those of each word alone, also after the worker has begun anew."""
     words = [sorted({f"{a}{b}{m}".encode() for a in ("ab", "é", "x1", "日本", "-") for b in range(20 * k, 20 * k + 20) for m in ("", ",", "..")})
